@@ -15,7 +15,10 @@ FIRST_VERSION = "1"
 
 
 def last_success(attempts: DataFrame) -> DataFrame:
-    """(id_oferta, num_tecnologias, version_prompt) of each offer's latest success."""
+    """(id_oferta, num_tecnologias, version_prompt) of each offer's latest success.
+
+    Ties are broken by list and reply, as in staging, so both see the same one.
+    """
     good = attempts.filter(F.col("error").isNull() & F.col("id_oferta").isNotNull()).select(
         F.col("id_oferta").cast("string").alias("id_oferta"),
         "fecha_extraccion",

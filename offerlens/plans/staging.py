@@ -81,11 +81,11 @@ def latest_attempts(attempts: DataFrame) -> DataFrame:
         F.col("id_oferta").cast("string").alias("id_oferta"),
         "fecha_extraccion",
         "tecnologias",
+        "respuesta_llm",
         "seniority",
         "modalidad",
         "salario_min",
         "salario_max",
-        "respuesta_llm",
     )
     latest = latest_by(good, ["id_oferta"], [F.col("fecha_extraccion").desc_nulls_last()])
     return clean_attempts(latest)

@@ -5,7 +5,10 @@ import tempfile
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+TESTS = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, os.path.dirname(TESTS))
+# Python workers import the package and the test helpers as well
+os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(TESTS), TESTS])
 
 
 def make_session() -> SparkSession:
