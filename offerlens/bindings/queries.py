@@ -112,8 +112,7 @@ def _landed_offers(spark: SparkSession, d: str) -> DataFrame:
     """Orders as nested offer objects (id, oferta), as the source would send them."""
     customers = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     nations = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    orders = lookup.lookup_join(table(spark, d, "orders"), customers, "o_custkey")
-    orders = lookup.lookup_join(orders, nations, "c_nationkey")
+    orders = table(spark, d, "orders").join(customers, "o_custkey").join(nations, "c_nationkey")
     offer = F.struct(
         F.col("o_orderkey").alias("id"),
         F.concat(F.lit("token-"), F.col("o_orderkey")).alias("adref"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import entry_key, literal_map
+from .text import entry_key, lookup
 
 
 def size_or(arr: Column, default: int) -> Column:
@@ -20,9 +20,9 @@ def array_lookup(
 ) -> Column:
     """Canonical names of the known elements, in order of first appearance.
 
-    For dictionaries of a few hundred entries; larger ones take
-    ``operators.lookup.array_lookup_join``.
+    For dictionaries small enough to travel in the plan; see
+    ``operators.lookup.canonical_items`` for any size.
     """
-    names = literal_map(mapping)
-    found = F.transform(arr, lambda t: F.try_element_at(names, key(t)))
+    keys = F.transform(arr, key)
+    found = F.transform(keys, lambda k: lookup(mapping, k))
     return F.array_distinct(F.filter(found, lambda name: name.isNotNull()))

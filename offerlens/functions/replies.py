@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ _OPEN_FENCE = r"^\s*```(?:json)?\s*"
 _CLOSE_FENCE = r"\s*```\s*$"
 
 
+def once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)`` with ``c`` evaluated a single time, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def strict_json(c: Column) -> Column:
     """Variant of a text that is one whole JSON value, else NULL.
 
@@ -18,8 +25,12 @@ def strict_json(c: Column) -> Column:
     first element of an array with a known second one: trailing text breaks it.
     """
     probe = F.try_parse_json(F.concat(F.lit("["), c, F.lit(f',"{_END}"]')))
-    whole = F.try_variant_get(probe, "$[1]", "string") == _END
-    return F.when(whole, F.try_variant_get(probe, "$[0]", "variant"))
+    return once(
+        probe,
+        lambda p: F.when(
+            F.try_variant_get(p, "$[1]", "string") == _END, F.try_variant_get(p, "$[0]", "variant")
+        ),
+    )
 
 
 def kind(v: Column) -> Column:
@@ -33,18 +44,21 @@ def is_object(v: Column) -> Column:
 
 def lenient_json(c: Column) -> Column:
     """Variant of a reply without its code fences, else of its outermost braces."""
-    bare = F.regexp_replace(
-        F.regexp_replace(F.coalesce(c, F.lit("")), _OPEN_FENCE, ""), _CLOSE_FENCE, ""
-    )
-    # prose is not worth a failing parse
-    whole = F.when(F.rlike(bare, F.lit(r'^\s*[\[{"0-9tfn-]')), strict_json(bare))
-    return F.coalesce(whole, strict_json(F.regexp_extract(bare, r"(?s)\{.*\}", 0)))
+
+    def whole_or_inner(bare: Column) -> Column:
+        # prose is not worth a failing parse
+        value = F.rlike(bare, F.lit(r'^\s*(?:[\[{"0-9-]|true|false|null)'))
+        inner = F.regexp_extract(bare, r"(?s)\{.*\}", 0)
+        braces = once(inner, lambda t: F.when(t != "", strict_json(t)))
+        return F.coalesce(F.when(value, strict_json(bare)), braces)
+
+    opened = F.regexp_replace(F.coalesce(c, F.lit("")), _OPEN_FENCE, "")
+    return once(F.regexp_replace(opened, _CLOSE_FENCE, ""), whole_or_inner)
 
 
 def lenient_json_object(c: Column) -> Column:
     """``lenient_json`` restricted to objects."""
-    v = lenient_json(c)
-    return F.when(is_object(v), v)
+    return once(lenient_json(c), lambda v: F.when(is_object(v), v))
 
 
 def json_list(c: Column, name: str) -> Column:
@@ -60,7 +74,7 @@ def json_list(c: Column, name: str) -> Column:
     )
     # texts without braces are not worth a failing parse
     braced = F.startswith(bare, F.lit("{")) & F.endswith(bare, F.lit("}"))
-    return F.when(braced & (probe["end"] == _END), probe["reply"][name])
+    return F.when(braced, once(probe, lambda p: F.when(p["end"] == _END, p["reply"][name])))
 
 
 def text_items(obj: Column, path: str) -> Column:
@@ -74,8 +88,10 @@ def text_items(obj: Column, path: str) -> Column:
 
 def text_field(obj: Column, path: str) -> Column:
     """The value at ``path`` when it is a JSON string, else NULL."""
-    v = F.try_variant_get(obj, path, "variant")
-    return F.when(kind(v) == "STRING", F.try_variant_get(obj, path, "string"))
+    return once(
+        F.try_variant_get(obj, path, "variant"),
+        lambda v: F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string")),
+    )
 
 
 def salary_text(c: Column) -> Column:
@@ -86,10 +102,13 @@ def salary_text(c: Column) -> Column:
 
 def lenient_salary(obj: Column, path: str) -> Column:
     """Positive salary at ``path``: a number, or a text such as ``45.000 €``."""
-    v = F.try_variant_get(obj, path, "variant")
-    name = kind(v)
-    number = (
-        F.when(name == "STRING", salary_text(F.try_variant_get(obj, path, "string")))
-        .when(name != "BOOLEAN", F.try_variant_get(obj, path, "double"))
-    )
-    return F.when((number > 0) & ~F.isnan(number), number)
+
+    def number(v: Column) -> Column:
+        text = F.try_variant_get(v, "$", "string")
+        return (
+            F.when(kind(v) == "STRING", salary_text(text))
+            .when(kind(v) != "BOOLEAN", F.try_variant_get(v, "$", "double"))
+        )
+
+    found = once(F.try_variant_get(obj, path, "variant"), number)
+    return once(found, lambda n: F.when((n > 0) & ~F.isnan(n), n))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import zlib
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -88,18 +89,27 @@ def canonical_mode(c: Column) -> Column:
     return F.replace(canonical_level(c), F.lit("í"), F.lit("i"))
 
 
-def literal_map(values: dict[str, str]) -> Column:
-    """A small dictionary as one constant map, folded by the optimizer."""
-    return F.from_json(F.lit(json.dumps(values, ensure_ascii=False)), "map<string,string>")
+def lookup(mapping: dict[str, str], key: Column) -> Column:
+    """Value of a key in a dictionary that travels in the plan as one constant.
+
+    Map lookups scan their keys, so the entries are spread over as many buckets by
+    checksum and a lookup reads one bucket.
+    """
+    size = max(len(mapping), 1)
+    buckets: list[dict[str, str]] = [{} for _ in range(size)]
+    for k, v in mapping.items():
+        buckets[zlib.crc32(k.encode()) % size][k] = v
+    table = F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,string>>")
+    return F.try_element_at(F.get(table, (F.crc32(key) % size).cast("int")), key)
 
 
 def alias_map(c: Column, aliases: dict[str, str]) -> Column:
     """Canonical category of a text, or NULL when it is no known alias."""
-    return F.try_element_at(literal_map(aliases), F.lower(strip(c)))
+    return lookup(aliases, F.lower(strip(c)))
 
 
 def label_map(c: Column, labels: dict[str, str]) -> Column:
-    return F.try_element_at(literal_map(labels), c)
+    return lookup(labels, c)
 
 
 def fixed_rank(c: Column, order: list[str]) -> Column:
@@ -134,7 +144,7 @@ def unescape(c: Column) -> Column:
 
     The semicolon is optional; an unknown name stays as it is, without it.
     """
-    named = literal_map({k[:-1]: v for k, v in html5.items() if k.endswith(";")})
+    named = {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
 
     def decode(piece: Column) -> Column:
         name = F.regexp_extract(piece, r"^([A-Za-z][-.A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6})", 1)
@@ -142,7 +152,7 @@ def unescape(c: Column) -> Column:
         value = (
             F.when(F.rlike(name, F.lit("^#[0-9]")), _code_point(F.substr(name, F.lit(2)), 10))
             .when(F.rlike(name, F.lit("^#[xX]")), _code_point(F.substr(name, F.lit(3)), 16))
-            .otherwise(F.try_element_at(named, name))
+            .otherwise(lookup(named, name))
         )
         known = F.concat(F.coalesce(value, F.concat(F.lit("&"), name)), rest)
         return F.when(name != "", known).otherwise(F.concat(F.lit("&"), piece))

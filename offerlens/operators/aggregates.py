@@ -3,6 +3,9 @@ single task's work; the exact median below is split the same way over value rang
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,14 +60,18 @@ def exact_median(df: DataFrame, value: str, *keys: str) -> DataFrame:
     )
     low = F.expr("(_all - 1) div 2")
     high = F.expr("_all div 2")
-    middle = placed.filter((F.col("_before") <= high) & (F.col("_upto") > low))
+    middle = placed.filter((F.col("_before") <= high) & (F.col("_upto") > low)).select(
+        *[F.col(k).alias(f"_m_{k}") for k in (*keys, "_band")], "_before", "_all", "_sum"
+    )
+    # NULL is a group too; and a plain join would filter one side and compute the counts twice
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in (*keys, "_band")])
     inside = (
         Window.partitionBy(*keys, "_band")
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = (
-        counted.join(middle, [*keys, "_band"])
+        counted.join(middle, same)
         .withColumn("_last", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_first", F.col("_last") - F.col("_n"))
     )

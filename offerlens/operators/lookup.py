@@ -1,4 +1,4 @@
-"""Joins against dictionaries, with the dictionary's size measured before it is broadcast."""
+"""Lookups in dictionaries, whose size is measured before they are sent to every task."""
 
 from __future__ import annotations
 
@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.arrays import array_lookup
 from ..functions.text import term_key
 
+MAX_INLINE_ENTRIES = 5_000
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
@@ -83,9 +85,8 @@ def array_lookup_join(
 ) -> DataFrame:
     """Add ``out``: canonical names of the array's known elements, in order of first appearance.
 
-    Rows of ``df`` must be distinct. NULL arrays stay NULL, arrays without a
-    known element become empty. When ``df`` is already hash-partitioned by some
-    of its columns and the catalogue is broadcast, no row moves.
+    For catalogues of any size. Rows of ``df`` must be distinct. NULL arrays stay
+    NULL, arrays without a known element become empty.
     """
     columns = df.columns
     entries = catalog.select(
@@ -99,6 +100,33 @@ def array_lookup_join(
     return hits.select(*columns, F.when(F.col(items).isNotNull(), names).alias(out))
 
 
+def inline_entries(catalog: DataFrame, max_entries: int = MAX_INLINE_ENTRIES) -> dict[str, str] | None:
+    """The catalogue as a dictionary; None when it is too large or a variant repeats."""
+    rows = catalog.select("variante", "nombre_canonico").limit(max_entries + 1).collect()
+    entries = {r.variante: r.nombre_canonico for r in rows}
+    return entries if len(rows) <= max_entries and len(entries) == len(rows) else None
+
+
+def canonical_items(
+    df: DataFrame,
+    items: str,
+    catalog: DataFrame | dict[str, str],
+    out: str,
+    key: Callable[[Column], Column] = term_key,
+    max_entries: int = MAX_INLINE_ENTRIES,
+) -> DataFrame:
+    """Add ``out`` as in ``array_lookup_join``, row by row when the catalogue allows it.
+
+    A catalogue of up to ``max_entries`` travels in the plan, so no row is copied
+    or moved; a larger one is joined.
+    """
+    entries = catalog if isinstance(catalog, dict) else inline_entries(catalog, max_entries)
+    if entries is None:
+        return array_lookup_join(df, items, catalog, out, key)
+    named = {k: v for k, v in entries.items() if k is not None and v is not None}
+    return df.withColumn(out, array_lookup(F.col(items), named, key))
+
+
 def matched(left: DataFrame, right: DataFrame, key: str, flag: str) -> DataFrame:
     """Keep every left row and say whether its key occurs on the right."""
     present = right.select(key).distinct().withColumn(flag, F.lit(True))

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.arrays import array_lookup
 from ..functions.numbers import ordered_bounds
 from ..functions.replies import (
     is_object,
@@ -27,7 +26,7 @@ from ..functions.text import (
     entry_key,
     prompt,
 )
-from ..operators.lookup import array_lookup_join
+from ..operators.lookup import canonical_items
 from ..operators.tables import materialize, read_table
 from ..sources.offer_pages import utc_now
 from .queue import MAX_PER_RUN, pending_offers
@@ -78,10 +77,7 @@ def run_extractor(df: DataFrame, fn: Callable[[str], str]) -> DataFrame:
 
 
 def parse_replies(replies: DataFrame, catalog: DataFrame | dict[str, str]) -> DataFrame:
-    """Attempt fields from (id_oferta, respuesta_llm, call_error); ids must be distinct.
-
-    A dictionary is looked up inline; a catalogue table goes through a join.
-    """
+    """Attempt fields from (id_oferta, respuesta_llm, call_error); ids must be distinct."""
     parsed = replies.withColumn(
         "_v", F.when(F.col("call_error").isNull(), lenient_json(F.col("respuesta_llm")))
     )
@@ -104,10 +100,7 @@ def parse_replies(replies: DataFrame, catalog: DataFrame | dict[str, str]) -> Da
         "error",
         "respuesta_llm",
     )
-    if isinstance(catalog, dict):
-        named = fields.withColumn("tecnologias", array_lookup(F.col("_items"), catalog))
-    else:
-        named = array_lookup_join(fields, "_items", catalog, "tecnologias", key=entry_key)
+    named = canonical_items(fields, "_items", catalog, "tecnologias", key=entry_key)
     low, high = ordered_bounds(F.col("_lo"), F.col("_hi"))
     return named.select(
         "id_oferta",

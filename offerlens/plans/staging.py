@@ -1,8 +1,7 @@
 """Staging: one clean row per offer, joined to its latest successful extraction.
 
 Plan: two shuffles by offer id (one per raw table) that the join reuses, and one
-by re-post key. The catalogue lookup happens on the attempt side, which is already
-partitioned by offer id, so canonical names cost no shuffle of their own.
+by re-post key. Canonical names are looked up row by row and cost no shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from ..functions.numbers import gate, prefer_pair, safe_double
 from ..functions.replies import json_list
 from ..functions.text import canonical_level, canonical_mode, sql_trim, surrogate_key, term_key
 from ..operators.dedup import latest_by, repost_dedup
-from ..operators.lookup import array_lookup_join, lookup_join
+from ..operators.lookup import canonical_items, lookup_join
 
 STAGED = [
     "id_oferta",
@@ -124,7 +123,7 @@ def stg_offers(
     NULL for unclassified offers and empty when nothing known was found."""
     best = latest_attempts(attempts)
     if catalog is not None:
-        best = array_lookup_join(best, "tecnologias", catalog, CANONICAL)
+        best = canonical_items(best, "tecnologias", catalog, CANONICAL)
     joined = offers_with_attempts(latest_offers(offers, with_description), best)
     kept = repost_dedup(joined, "titulo", "empresa", "fecha_publicacion", "id_oferta", "tecnologias")
     return kept.select(*[c for c in [*STAGED, CANONICAL] if c in kept.columns])

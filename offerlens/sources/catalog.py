@@ -7,12 +7,9 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import blank_to_null, entry_key, strip
-from ..operators.lookup import fits_broadcast
+from ..operators.lookup import MAX_INLINE_ENTRIES, inline_entries
 from ..operators.quality import require_columns
 
-MAX_INLINE_ENTRIES = 5_000
-
-
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
     """The CSV as it is, all text; fails when a required column is missing."""
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
@@ -58,7 +55,8 @@ def load_catalog(spark: SparkSession, path: str, self_variants: bool = True) ->
 
 
 def catalog_map(catalog: DataFrame, max_entries: int = MAX_INLINE_ENTRIES) -> dict[str, str]:
-    """The catalogue as a dictionary for inline lookups; refuses one too large for that."""
-    if not fits_broadcast(catalog, max_entries):
-        raise ValueError(f"catalogue exceeds {max_entries} entries: use array_lookup_join")
-    return {r.variante: r.nombre_canonico for r in catalog.collect()}
+    """The catalogue as a dictionary; refuses one too large for that."""
+    entries = inline_entries(catalog, max_entries)
+    if entries is None:
+        raise ValueError(f"catalogue exceeds {max_entries} entries or repeats a variant")
+    return entries

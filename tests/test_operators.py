@@ -87,9 +87,17 @@ def test_array_lookup_join(spark, max_rows):
         [(1, ["SQL", "Py", "x", "python"]), (2, []), (3, None), (4, ["x"])], "id int, a array<string>"
     )
     out = lookup.array_lookup_join(df, "a", catalog, "names", max_rows=max_rows)
-    assert [(r.id, r.names) for r in out.orderBy("id").collect()] == [
-        (1, ["SQL", "Python"]), (2, []), (3, None), (4, [])
-    ]
+    expected = [(1, ["SQL", "Python"]), (2, []), (3, None), (4, [])]
+    assert [(r.id, r.names) for r in out.orderBy("id").collect()] == expected
+    inline = lookup.canonical_items(df, "a", catalog, "names", max_entries=3 if max_rows else 2)
+    assert [(r.id, r.names) for r in inline.orderBy("id").collect()] == expected
+
+
+def test_repeated_variants_are_joined(spark):
+    catalog = spark.createDataFrame([("x", "A"), ("x", "B")], schemas.CATALOG)
+    assert lookup.inline_entries(catalog) is None
+    df = spark.createDataFrame([(1, ["X"])], "id int, a array<string>")
+    assert sorted(lookup.canonical_items(df, "a", catalog, "names").first().names) == ["A", "B"]
 
 
 def test_exact_median(spark):
@@ -99,10 +107,10 @@ def test_exact_median(spark):
         size = rng.choice([1, 2, 3, 50, 401])
         pool = [rng.uniform(-50, 50) if key % 2 else rng.choice([20000.0, 20000.5, 1e6]) for _ in range(size)]
         data += [(key, v) for v in pool]
-    data += [(0, None)]
+    data += [(0, None), (None, 1.0), (None, 4.0)]
     df = spark.createDataFrame(data, "k int, v double")
     found = {r.k: (r.n, r.media, r.mediana) for r in aggregates.exact_median(df, "v", "k").collect()}
-    for key in range(12):
+    for key in [*range(12), None]:
         values = [v for k, v in data if k == key and v is not None]
         n, mean, median = found[key]
         assert n == len(values)

@@ -134,7 +134,8 @@ def test_end_to_end(spark, catalog, tmp_path):
     ) == (2, 1, 50.0)
 
 
-def test_marts_when_the_catalogue_cannot_be_broadcast(spark, catalog, monkeypatch):
+@pytest.mark.parametrize("fits", [True, False])
+def test_marts_with_a_catalogue_too_large_for_the_plan(spark, catalog, monkeypatch, fits):
     from offerlens.operators import lookup
 
     offers = offers_of(
@@ -149,7 +150,8 @@ def test_marts_when_the_catalogue_cannot_be_broadcast(spark, catalog, monkeypatc
         "id_oferta string, tecnologias array<string>, fecha_extraccion timestamp_ntz",
     )
     small = marts.monthly_demand(staging.stg_offers(offers, attempts, catalog)).orderBy("tecnologia").collect()
-    monkeypatch.setattr(lookup, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(lookup, "inline_entries", lambda *_: None)
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda *_: fits)
     large = marts.monthly_demand(staging.stg_offers(offers, attempts, catalog)).orderBy("tecnologia").collect()
     assert small == large
     assert {(r.tecnologia, r.num_ofertas, r.total_ofertas_con_tecnologia_mes) for r in small} == {
