@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions import arrays, dates, numbers, replies, text
+from ..functions import dates, numbers, replies, text
 from ..operators import aggregates, dedup, fingerprint, lookup, quality, tables
 from ..plans import extraction, marts, queue, reports, staging
 from ..sources import catalog as catalogs
@@ -116,7 +116,7 @@ def _landed_offers(spark: SparkSession, d: str) -> DataFrame:
     offer = F.struct(
         F.col("o_orderkey").alias("id"),
         F.concat(F.lit("token-"), F.col("o_orderkey")).alias("adref"),
-        F.lit("Adzuna::API::Response::Job").alias("__CLASS__"),
+        F.lit("Job").alias("__CLASS__"),
         F.concat(F.lit("<strong>"), "o_orderpriority", F.lit("</strong> &amp;\n"), "o_orderstatus").alias(
             "title"
         ),
@@ -593,7 +593,7 @@ def _length_extractor(prompt: str) -> str:
 
 
 def x1_run_extractor(spark: SparkSession, d: str) -> DataFrame:
-    prompt = text.prompt(F.col("source"), F.col("text"), TEMPLATE).alias("prompt")
+    prompt = text.prompt(F.col("source"), F.col("text"), TEMPLATE, max_chars=None).alias("prompt")
     docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id_oferta"), prompt)
     return tables.materialize(extraction.run_extractor(docs, _length_extractor))
 

@@ -190,12 +190,12 @@ def prompt(
     title: Column,
     description: Column,
     template: str = DEFAULT_TEMPLATE,
-    max_chars: int = MAX_DESCRIPTION_CHARS,
+    max_chars: int | None = MAX_DESCRIPTION_CHARS,
 ) -> Column:
-    """Prompt of an offer: NULLs read as empty text, description cut at ``max_chars``."""
+    """Prompt of an offer: NULLs read as empty text, description cut at ``max_chars`` if given."""
     head, rest = template.split("{titulo}", 1)
     middle, tail = rest.split("{descripcion}", 1)
-    cut = F.substring(F.coalesce(description, F.lit("")), 1, max_chars)
-    return F.concat(
-        F.lit(head), F.coalesce(title, F.lit("")), F.lit(middle), cut, F.lit(tail)
-    )
+    body = F.coalesce(description, F.lit(""))
+    if max_chars is not None:
+        body = F.substring(body, 1, max_chars)
+    return F.concat(F.lit(head), F.coalesce(title, F.lit("")), F.lit(middle), body, F.lit(tail))

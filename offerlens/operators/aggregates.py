@@ -28,10 +28,15 @@ def match_rate(df: DataFrame, missing: Column, *keys: str) -> DataFrame:
     )
 
 
+# Above the band of every finite double, so that infinities and NaN sort last.
+_TOP_BAND = 80_000
+
+
 def _band(value: Column) -> Column:
     """Non-decreasing integer band of a value, about 1 % wide; at most 142,000 bands exist."""
-    size = F.floor(F.ln(F.abs(value) + F.lit(1.0)) * F.lit(100.0))
-    return F.when(value < 0, -size).otherwise(size).cast("int")
+    size = F.least(F.floor(F.ln(F.abs(value) + F.lit(1.0)) * F.lit(100.0)), F.lit(_TOP_BAND))
+    signed = F.when(value < 0, -size).otherwise(size)
+    return F.when(F.isnan(value), F.lit(_TOP_BAND + 1)).otherwise(signed).cast("int")
 
 
 def exact_median(df: DataFrame, value: str, *keys: str) -> DataFrame:

@@ -34,7 +34,7 @@ def fits_broadcast(
 
 def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys that hold more than ``share`` of all rows; at most ``1 / share`` of them can exist."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n"))
     return counts.filter(F.col("_n") > F.lit(share) * total.scalar()).select(
         key, F.lit(True).alias("_hot")
@@ -52,7 +52,8 @@ def lookup_join(
 
     A dictionary within the limits is broadcast and the rows stay where they
     are. A larger one is shuffled; rows of a hot key are then spread over
-    ``SALTS`` partitions and only the hot entries are copied to all of them.
+    ``SALTS`` partitions and only the hot entries are copied to all of them. Rows
+    without a key are spread freely.
     """
     if fits_broadcast(dictionary, max_rows):
         return rows.join(F.broadcast(dictionary), key, how)
@@ -62,13 +63,15 @@ def lookup_join(
         if c.name != key and not isinstance(c.dataType, (T.MapType, T.VariantType))
     ]
     hot = F.broadcast(hot_keys(rows, key))
-    spread = F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    salted_rows = rows.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
+    spread = F.xxhash64(*others)
+    salt = (
+        F.when(F.col(key).isNull(), spread)  # matches nothing, so it may go anywhere
+        .when(F.col("_hot"), F.pmod(spread, F.lit(SALTS)))
+        .otherwise(F.lit(0))
     )
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    copies = F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))).cast("array<bigint>")
+    salted_rows = rows.join(hot, key, "left").withColumn("_salt", salt.cast("bigint"))
     salted_entries = dictionary.join(hot, key, "left").withColumn("_salt", F.explode(copies))
     return (
         salted_rows.drop("_hot").join(salted_entries.drop("_hot"), [key, "_salt"], how).drop("_salt")

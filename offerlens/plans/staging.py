@@ -39,8 +39,8 @@ def clean_offers(offers: DataFrame, with_description: bool = True) -> DataFrame:
         sql_trim(F.col("titulo")).alias("titulo"),
         safe_date(F.col("fecha_publicacion")).alias("fecha_publicacion"),
         sql_trim(F.col("empresa")).alias("empresa"),
-        gate(F.col("salario_min_anunciado")).alias("salario_min_adzuna"),
-        gate(F.col("salario_max_anunciado")).alias("salario_max_adzuna"),
+        gate(F.col("salario_min_anunciado")).alias("salario_min_publicado"),
+        gate(F.col("salario_max_anunciado")).alias("salario_max_publicado"),
     ]
     if with_description:
         # last, so that it is also the last tie-break between copies of an id
@@ -100,8 +100,8 @@ def offers_with_attempts(offers: DataFrame, attempts: DataFrame) -> DataFrame:
     source, low, high = prefer_pair(
         F.col("_llm_min"),
         F.col("_llm_max"),
-        F.col("salario_min_adzuna"),
-        F.col("salario_max_adzuna"),
+        F.col("salario_min_publicado"),
+        F.col("salario_max_publicado"),
         ("llm", "adzuna"),
     )
     columns = [c for c in [*STAGED, CANONICAL] if c in joined.columns]

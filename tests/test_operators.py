@@ -54,6 +54,7 @@ def terms(spark):
     return spark.range(9_000).select(
         "id",
         F.when(F.col("id") % 3 == 0, F.lit("t0"))
+        .when(F.col("id") % 3 == 1, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("t"), (F.col("id") % 700).cast("string")))
         .alias("k"),
     )
@@ -118,6 +119,14 @@ def test_exact_median(spark):
         assert median == pytest.approx(statistics.median(values))
 
 
+def test_exact_median_of_extreme_values(spark):
+    inf = float("inf")
+    data = [("a", v) for v in (-inf, -1e300, 0.0, 1e300, inf)] + [("b", v) for v in (1.0, 2.0, inf, float("nan"))]
+    df = spark.createDataFrame(data, "k string, v double")
+    found = {r.k: r.mediana for r in aggregates.exact_median(df, "v", "k").collect()}
+    assert found == {"a": 0.0, "b": inf}
+
+
 def test_approximate_median_is_close(spark):
     df = spark.range(1, 1002).select(F.lit("a").alias("k"), F.col("id").cast("double").alias("v"))
     out = aggregates.mean_median_by(df, "v", "k", approx=True).first()

@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from offerlens import schemas
+from offerlens.operators.quality import QualityError
 from offerlens.operators.tables import ensure_schema
 from offerlens.plans import extraction, marts, queue, reports, staging
 from offerlens.plans.build import build_all
-from offerlens.sources.catalog import catalog_map, load_catalog
+from offerlens.sources.catalog import catalog_map, load_catalog, read_seed
 from offerlens.sources.marts import load_marts
 
 ENTRIES = [
@@ -27,10 +28,20 @@ ENTRIES = [
 
 
 @pytest.fixture(scope="module")
-def catalog(spark, tmp_path_factory):
+def seed_path(tmp_path_factory):
     path = tmp_path_factory.mktemp("seed") / "catalog.csv"
     path.write_text("variante,nombre_canonico\n" + "".join(f"{v},{c}\n" for v, c in ENTRIES))
-    return load_catalog(spark, str(path))
+    return str(path)
+
+
+@pytest.fixture(scope="module")
+def catalog(spark, seed_path):
+    return load_catalog(spark, seed_path)
+
+
+@pytest.fixture(scope="module")
+def seed(spark, seed_path):
+    return read_seed(spark, seed_path)
 
 
 def offers_of(spark, rows, columns):
@@ -49,7 +60,7 @@ def reply(names, low=None, high=None, level=None, mode=None):
     )
 
 
-def test_staging_rules(spark, catalog, tmp_path):
+def test_staging_rules(spark, seed, tmp_path):
     offers = offers_of(
         spark,
         [
@@ -73,7 +84,7 @@ def test_staging_rules(spark, catalog, tmp_path):
         "id_oferta string, tecnologias array<string>, respuesta_llm string, salario_min double, "
         "salario_max double, fecha_extraccion timestamp_ntz",
     )
-    built = build_all(spark, offers, attempts, catalog, str(tmp_path / "out"))
+    built = build_all(spark, offers, attempts, seed, str(tmp_path / "out"))
     stg = built["stg_ofertas"].orderBy("id_oferta").collect()
     assert [(r.id_oferta, r.fuente_salario, r.salario_min, r.salario_max) for r in stg] == [
         ("A", "adzuna", 40000.0, 50000.0),
@@ -84,13 +95,13 @@ def test_staging_rules(spark, catalog, tmp_path):
     pairs = built["int_tecnologias_por_oferta"].orderBy("id_oferta", "tecnologia").collect()
     expected = [("A", "Linux"), ("A", "Yocto"), ("C", "Python"), ("D", "Selenium")]
     assert [(r.id_oferta, r.tecnologia) for r in pairs] == expected
-    looked_up = staging.offer_technologies(built["stg_ofertas"], catalog)
+    looked_up = staging.offer_technologies(built["stg_ofertas"], seed)
     assert sorted(map(tuple, looked_up.collect())) == sorted(map(tuple, pairs))
     coverage = built["cobertura_extraccion_mensual"].collect()
     assert [(r.total_ofertas_clasificadas, r.ofertas_sin_tecnologia) for r in coverage] == [(3, 0)]
 
 
-def test_end_to_end(spark, catalog, tmp_path):
+def test_end_to_end(spark, catalog, seed, tmp_path):
     offers = offers_of(
         spark,
         [
@@ -116,7 +127,7 @@ def test_end_to_end(spark, catalog, tmp_path):
     assert (stored.seniority, stored.modalidad, stored.error) == ("senior", "remoto", None)
     assert (stored.proveedor_llm, stored.modelo_llm, stored.version_prompt) == ("local", "regla", "2")
 
-    build_all(spark, offers, attempts, catalog, str(tmp_path / "out"))
+    build_all(spark, offers, attempts, seed, str(tmp_path / "out"))
     built = load_marts(spark, str(tmp_path / "out"))
     demand = built["demanda_tecnologias_mensual"].orderBy("tecnologia").collect()
     assert [(r.tecnologia, r.num_ofertas, r.pct_ofertas) for r in demand] == [
@@ -159,6 +170,21 @@ def test_marts_with_a_catalogue_too_large_for_the_plan(spark, catalog, monkeypat
     }
 
 
+def test_a_failing_check_stops_the_build(spark, seed, tmp_path):
+    offers = offers_of(spark, [("1", "t")], "id string, titulo string")
+    attempts = attempts_of(
+        spark,
+        [("1", "jefe", datetime(2026, 9, 1))],
+        "id_oferta string, seniority string, fecha_extraccion timestamp_ntz",
+    )
+    untidy = seed.unionByName(spark.createDataFrame([("Go ", "Go")], schemas.CATALOG))
+    with pytest.raises(QualityError) as failed:
+        build_all(spark, offers, attempts, untidy, str(tmp_path / "out"))
+    assert str(failed.value) == (
+        "accepted_values_stg_ofertas_seniority: 1; catalog_normalized_catalogo_tecnologias: 1"
+    )
+
+
 def test_late_attempts_and_failures(spark):
     attempts = attempts_of(
         spark,
