@@ -162,11 +162,9 @@ def t1_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     """Land all orders as pages, ingest them as a stream, land them again: nothing is added."""
     root = tables.work_dir(spark)
     offers = _landed_offers(spark, d)
-    pages = offers.groupBy(F.expr("o_orderkey div 50").alias("page")).agg(
-        F.count(F.lit(1)).alias("count"), F.collect_list("offer").alias("results")
-    )
+    pages = offers.select(F.lit(1).alias("count"), F.array("offer").alias("results"))
     for _ in range(2):
-        pages.select("count", "results").write.mode("append").json(f"{root}/landing")
+        pages.write.mode("append").json(f"{root}/landing")
         ingest.stream_ingest(
             spark, f"{root}/landing", f"{root}/raw", f"{root}/state", multi_line=False
         ).awaitTermination()
@@ -265,7 +263,7 @@ def j9_array_lookup(spark: SparkSession, d: str) -> DataFrame:
         F.upper("p_type"), F.concat(F.lit("  "), "p_name"), "p_brand", "p_name", F.lit("nada")
     )
     lists = table(spark, d, "part").select("p_partkey", items.alias("items"))
-    named = lookup.array_lookup_join(lists, "items", catalog(spark, d), "nombres", key=text.entry_key)
+    named = lookup.canonical_items(lists, "items", catalog(spark, d), "nombres", key=text.entry_key)
     return named.select("p_partkey", _joined_list("nombres"))
 
 

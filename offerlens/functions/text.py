@@ -114,7 +114,8 @@ def label_map(c: Column, labels: dict[str, str]) -> Column:
 
 def fixed_rank(c: Column, order: list[str]) -> Column:
     """Zero-based position of a value in a fixed order, NULL when absent."""
-    return F.nullif(F.array_position(F.array(*[F.lit(v) for v in order]), c), F.lit(0)) - 1
+    position = F.array_position(F.array(*[F.lit(v) for v in order]), c).cast("int")
+    return F.nullif(position, F.lit(0)) - 1
 
 
 def clean_url(c: Column) -> Column:

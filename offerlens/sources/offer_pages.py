@@ -23,20 +23,27 @@ def field(offer: Column, name: str, path: str = "$", kind: str = "string") -> Co
 
 
 def page_order() -> list[Column]:
-    """Files by name, numerically by a trailing page number, then position in the page."""
+    """Files by name, numerically by a trailing page number, then position in the page.
+
+    Content decides last, for files that hold several pages.
+    """
     stem = F.regexp_extract("_file", r"^(.*?)(\d*)\.[^./]*$", 1)
     number = F.regexp_extract("_file", r"^(.*?)(\d*)\.[^./]*$", 2).try_cast("long")
-    return [stem.asc(), number.asc_nulls_first(), F.col("_pos").asc()]
+    return [stem.asc(), number.asc_nulls_first(), F.col("_pos").asc(), F.col("_hash").asc()]
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:
-    """Columns (id, oferta, _file, _pos) of every offer that has an id, duplicates included."""
+    """Columns (id, oferta, _file, _pos, _hash) of every offer that has an id, duplicates included."""
     offers = pages.select(
         F.col("_metadata.file_path").alias("_file"), F.posexplode("results").alias("_pos", "oferta")
     )
-    return offers.select(field(F.col("oferta"), "id").alias("id"), "oferta", "_file", "_pos").filter(
-        "id IS NOT NULL"
-    )
+    return offers.select(
+        field(F.col("oferta"), "id").alias("id"),
+        "oferta",
+        "_file",
+        "_pos",
+        F.xxhash64(F.to_json("oferta")).alias("_hash"),
+    ).filter("id IS NOT NULL")
 
 
 def read_offer_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -86,6 +86,21 @@ def test_stream_ingest_over_overlapping_pages(spark, tmp_path):
     assert spark.read.parquet(table).count() == 3
 
 
+def test_files_with_one_page_per_line(spark, tmp_path):
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    lines = [json.dumps({"count": 1, "results": [{"id": i % 3, "title": f"t{i}"}]}) for i in range(9)]
+    kept = set()
+    for order in (lines, lines[::-1]):
+        (folder / "d.json").write_text("\n".join(order))
+        table = str(tmp_path / f"raw{len(kept)}")
+        state = str(tmp_path / f"state{len(kept)}")
+        stream_ingest(spark, str(folder), table, state, multi_line=False).awaitTermination()
+        kept.add(tuple(sorted((r.id, r.titulo) for r in spark.read.parquet(table).collect())))
+        assert spark.read.parquet(table).count() == 3
+    assert len(kept) == 1
+
+
 def test_catalog(spark, tmp_path):
     path = tmp_path / "c.csv"
     path.write_text(
