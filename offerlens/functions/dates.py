@@ -1,5 +1,9 @@
 """Date expressions. Dates come as text and are never trusted."""
 
+from __future__ import annotations
+
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,3 +23,16 @@ def month_start(d: Column) -> Column:
 
 def year_month(d: Column) -> Column:
     return F.date_format(d, "yyyy-MM")
+
+
+def utc_text(ts: datetime | None = None) -> str:
+    """Naive UTC text of a moment, by default now; fixed once on the driver for a whole run."""
+    ts = ts or datetime.now(timezone.utc)
+    if ts.tzinfo is not None:
+        ts = ts.astimezone(timezone.utc)
+    return ts.strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
+def utc_stamp(ts: datetime | None = None) -> Column:
+    """The same moment as a timestamp without time zone, whatever the session's zone is."""
+    return F.to_timestamp_ntz(F.lit(utc_text(ts)))

@@ -6,10 +6,11 @@ from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.dates import utc_stamp
 from ..functions.numbers import ordered_bounds
 from ..functions.replies import (
     is_object,
@@ -28,7 +29,6 @@ from ..functions.text import (
 )
 from ..operators.lookup import canonical_items
 from ..operators.tables import materialize, read_table
-from ..sources.offer_pages import utc_now
 from .queue import MAX_PER_RUN, pending_offers
 
 # Fixed value: version stored with every attempt made with the default template.
@@ -118,12 +118,11 @@ def record_attempts(
     parsed: DataFrame, provider: str, model: str, prompt_version: str, ts: datetime | None = None
 ) -> DataFrame:
     """Attempt rows, failures included, stamped with their origin and time."""
-    when: Column = F.lit(ts).cast("timestamp_ntz") if ts else F.to_timestamp_ntz(F.lit(utc_now()))
     stamped = parsed.withColumns(
         {
             "proveedor_llm": F.lit(provider),
             "modelo_llm": F.lit(model),
-            "fecha_extraccion": when,
+            "fecha_extraccion": utc_stamp(ts),
             "version_prompt": F.lit(prompt_version),
         }
     )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.dates import utc_stamp
 from ..functions.numbers import safe_double
 from ..functions.text import clean_url, html_text
 from ..operators.dedup import latest_by
@@ -64,7 +65,6 @@ def flatten_offers(
     kept = F.map_filter(o, lambda k, _: ~k.isin(*drop, "redirect_url"))
     bare_url = F.create_map(F.lit("redirect_url"), F.try_parse_json(F.to_json(F.array(url))))
     link = F.transform_values(bare_url, lambda _, v: F.try_variant_get(v, "$[0]", "variant"))
-    stamp = F.lit(ts).cast("timestamp_ntz") if ts else F.to_timestamp_ntz(F.lit(utc_now()))
     values = {
         "id": F.col("id"),
         "titulo": html_text(field(o, "title")),
@@ -77,12 +77,7 @@ def flatten_offers(
         "salario_min_anunciado": safe_double(field(o, "salary_min")),
         "salario_max_anunciado": safe_double(field(o, "salary_max")),
         "fuente": F.lit(source),
-        "fecha_ingesta": stamp,
+        "fecha_ingesta": utc_stamp(ts),
         "payload": F.to_json(F.map_concat(kept, link), {"ignoreNullFields": "false"}),
     }
     return offers.select(*[values[f.name].alias(f.name) for f in schemas.RAW_OFFERS.fields])
-
-
-def utc_now() -> str:
-    """Current naive UTC time, fixed once on the driver for a whole run."""
-    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")

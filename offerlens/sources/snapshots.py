@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import utc_text
 from ..operators.fingerprint import fingerprint_all
 from ..operators.tables import read_table
-from .offer_pages import utc_now
 
 MANIFEST = T.StructType(
     [
@@ -39,12 +39,12 @@ def publish_snapshot(tables: dict[str, DataFrame], root: str) -> str:
     a large one many. The fingerprint is taken from the written files.
     """
     spark = next(iter(tables.values())).sparkSession
-    version = f"{utc_now()[:19].translate(str.maketrans('', '', '-: '))}-{uuid.uuid4().hex[:8]}"
+    version = f"{utc_text()[:19].translate(str.maketrans('', '', '-: '))}-{uuid.uuid4().hex[:8]}"
     for name, df in tables.items():
         df.hint("rebalance").write.mode("errorifexists").parquet(f"{root}/versions/{version}/{name}")
     names = sorted(tables)
     found = fingerprint_all(read_snapshot(spark, root, version, names))
-    entry = spark.createDataFrame([(version, found, names, utc_now())], MANIFEST)
+    entry = spark.createDataFrame([(version, found, names, utc_text())], MANIFEST)
     entry.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
     return found
 

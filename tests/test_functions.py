@@ -28,6 +28,20 @@ def test_month(spark):
     assert out == [datetime.date(2026, 9, 1), None]
 
 
+def test_stamps_are_naive_utc_in_any_session_zone(spark):
+    zone = datetime.timezone(datetime.timedelta(hours=2))
+    spark.conf.set("spark.sql.session.timeZone", "America/Lima")
+    try:
+        row = spark.range(1).select(
+            dates.utc_stamp(datetime.datetime(2026, 9, 20, 6)).alias("a"),
+            dates.utc_stamp(datetime.datetime(2026, 9, 20, 6, tzinfo=zone)).alias("b"),
+            dates.year_month(dates.safe_date(F.lit("2026-09-01"))).alias("c"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert tuple(row) == (datetime.datetime(2026, 9, 20, 6), datetime.datetime(2026, 9, 20, 4), "2026-09")
+
+
 def test_term_keys(spark):
     given = ["  Embedded  Linux ", "React.JS", "a\t\nb", " Go ", None]
     assert evaluate(spark, text.term_key, given) == ["embedded linux", "react.js", "a b", "go", None]
