@@ -5,19 +5,44 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from offerlens.llm import exact, near
+from offerlens.llm import exact, mixing, near, pieces
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> bytes:
+    """A public tokenizer's file; its bytes travel with the tasks."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.draws(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact.exact_duplicates(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str, file: str = "piece_bpe_32k.model") -> DataFrame:
+    model = tokenizer_file(file)
+    out = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents"), model), model)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near.near_duplicates(_table(spark, sf_dir, "documents"), size=2, percent=80)
     return out.select("doc_id", "n_shingles", "component_id", "kept")
