@@ -15,5 +15,32 @@ FROM texts JOIN groups USING (clean)
 """
 
 
+#: roles are rendered as they are where nothing conflicts; the escape adds a backslash to each ``<`` ``|`` pair
+CHAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -1, i, role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, role)
+), sized AS (
+    SELECT *,
+        contains(text, '<|im_start|>') OR contains(text, '<|im_end|>') OR regexp_matches(text, '<\\+\|')
+            OR contains(role, '<|im_start|>') OR contains(role, '<|im_end|>') OR contains(role, chr(10))
+            OR contains(role, chr(92)) AS conflict,
+        length(replace(replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n'), '|', chr(92) || 'p'))
+            + length(regexp_replace(text, '<(\\*)\|', '<\1_|', 'g')) AS escaped_chars
+    FROM turns
+)
+SELECT
+    conv_id,
+    count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(CASE WHEN bool_or(conflict) THEN sum(escaped_chars) ELSE sum(length(role) + length(text)) END
+        + 24 * count(*) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT}
+    return {"op3_exact_dedup": EXACT, "op8_chat": CHAT}
