@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from offerlens.llm import licenses
+
 _SPACE = r"[\x20\x09-\x0D]+"
 
 EXACT = rf"""
@@ -42,5 +44,66 @@ FROM sized GROUP BY conv_id
 """
 
 
+_GRAMS = ", ".join(f"({t}, {i}, '{g}')" for t, i, g in licenses.template_rows())
+_NAMES = ", ".join(
+    f"({i}, {len(p.split()) - 1}, '{label}')"
+    for i, (p, label) in enumerate([*licenses.PHRASES.items(), *licenses.NOTICES.items()])
+)
+LICENSES = rf"""
+WITH grams(template, pos, known) AS (VALUES {_GRAMS}), names(template, n, label) AS (VALUES {_NAMES}),
+texts AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '{licenses.WORD}') AS words
+    FROM documents
+), places AS (
+    SELECT doc_id, words, unnest(range(1, len(words))) AS i FROM texts
+), votes AS (
+    SELECT doc_id, template, i - 1 - pos AS diagonal, bit_or(1::BIGINT << pos) AS bits
+    FROM places JOIN grams ON words[i] || ' ' || words[i + 1] = known AND template >= 0 GROUP BY ALL
+), steps AS (
+    SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w > {licenses.REACH} THEN 1 ELSE 0 END AS apart
+    FROM votes WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)
+), runs AS (
+    SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM steps
+), spans AS (
+    SELECT doc_id, template, label, bit_count(bit_or(bits)) / n AS share,
+        count(*) FILTER (WHERE bit_count(bits) = n) AS places,
+        min(diagonal) FILTER (WHERE bit_count(bits) = n) AS first_word,
+        max(diagonal) FILTER (WHERE bit_count(bits) = n) AS last_word,
+        template < {len(licenses.PHRASES)} AS base
+    FROM runs JOIN names USING (template) GROUP BY doc_id, template, label, n, span
+)
+SELECT
+    doc_id, any_value(len(words)) AS n_words,
+    CAST(coalesce(sum(places) FILTER (WHERE base), 0) AS BIGINT) AS n_base,
+    min(first_word) FILTER (WHERE base) AS first_word,
+    max(last_word) FILTER (WHERE base) AS last_word,
+    coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (WHERE base AND places > 0))), ','), '') AS base_labels,
+    coalesce(array_to_string(list_sort(list_distinct(list(label) FILTER (
+        WHERE CASE WHEN base THEN places > 0 ELSE share >= {licenses.SHARE} END))), ','), '') AS labels,
+    coalesce(max(share), 0)::DOUBLE AS score
+FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+"""
+
+TOP_K = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * x::DOUBLE) AS BIGINT)) AS q FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[]) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+) WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT, "op8_chat": CHAT}
+    return {
+        "op2_licenses": LICENSES,
+        "op3_exact_dedup": EXACT,
+        "op4_top_k": TOP_K,
+        "op8_chat": CHAT,
+    }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm import chat, counting, exact, mixing, near, pieces
+from offerlens.llm import bitslice, chat, counting, exact, licenses, mixing, near, pieces
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,11 +27,19 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact.exact_duplicates(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str, file: str = "piece_bpe_32k.model") -> DataFrame:
     model = tokenizer_file(file)
     out = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents"), model), model)
