@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm import bitslice, chat, counting, exact, licenses, mixing, near, pieces
+from offerlens.llm import bitslice, chat, counting, exact, licenses, mixing, near, pieces, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,14 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.repeated_spans(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return out.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str, file: str = "piece_bpe_32k.model") -> DataFrame:
     model = tokenizer_file(file)
     out = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents"), model), model)
