@@ -236,6 +236,7 @@ def j2_catalog_join(spark: SparkSession, d: str) -> DataFrame:
 def j3_counts_and_totals(spark: SparkSession, d: str) -> DataFrame:
     """Distinct offers per (technology, month) joined to the month's distinct offers."""
     pairs = m0_offer_tech(spark, d).filter("fecha_publicacion IS NOT NULL")
+    pairs = tables.materialize(pairs.select("id_oferta", "tecnologia", "fecha_publicacion"))
     monthly = pairs.withColumn("mes", dates.month_start(F.col("fecha_publicacion")))
     counts = aggregates.distinct_count_by(monthly, "id_oferta", "tecnologia", "mes")
     totals = aggregates.distinct_count_by(
@@ -245,7 +246,7 @@ def j3_counts_and_totals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def j4_technology_salaries(spark: SparkSession, d: str) -> DataFrame:
-    stg = staged(spark, d)
+    stg = tables.materialize(staged(spark, d, with_description=False))
     salary = numbers.midpoint(F.col("salario_min"), F.col("salario_max")).alias("salario")
     paid = stg.select("id_oferta", salary).filter("salario IS NOT NULL")
     pairs = staging.offer_technologies(stg).select("id_oferta", "tecnologia")
@@ -492,21 +493,16 @@ def m4_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def r1_kpis(spark: SparkSession, d: str) -> DataFrame:
-    stg = staged(spark, d)
+    stg = tables.materialize(staged(spark, d))
     return reports.kpis(marts.extraction_coverage(stg), marts.monthly_demand(stg), *PERIOD)
 
 
-def _written(mart: DataFrame) -> DataFrame:
-    """Reports read a mart more than once, so it is written first, as in a build."""
-    return tables.materialize(mart)
-
-
 def r2_ranking(spark: SparkSession, d: str) -> DataFrame:
-    return reports.technology_ranking(_written(m1_demand(spark, d)), 15, *PERIOD)
+    return reports.technology_ranking(m1_demand(spark, d), 15, *PERIOD)
 
 
 def r3_mode_split(spark: SparkSession, d: str) -> DataFrame:
-    return reports.work_mode_split(_written(m3_trend(spark, d)), *PERIOD)
+    return reports.work_mode_split(m3_trend(spark, d), *PERIOD)
 
 
 def r4_tech_series(spark: SparkSession, d: str) -> DataFrame:

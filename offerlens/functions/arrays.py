@@ -12,7 +12,7 @@ from .text import entry_key, lookup
 
 def size_or(arr: Column, default: int) -> Column:
     """Length of an array; ``default`` for NULL."""
-    return F.coalesce(F.size(arr), F.lit(default))
+    return F.coalesce(F.array_size(arr), F.lit(default))
 
 
 def array_lookup(

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 # Closes the probes below; a reply never contains it.
 _END = "end of the reply"
-_OPEN_FENCE = r"^\s*```(?:json)?\s*"
-_CLOSE_FENCE = r"\s*```\s*$"
+_FENCE = "```"
 
 
 def once(c: Column, use: Callable[[Column], Column]) -> Column:
@@ -42,6 +41,22 @@ def is_object(v: Column) -> Column:
     return F.startswith(kind(v), F.lit("OBJECT"))
 
 
+def unfenced(c: Column) -> Column:
+    """A reply without a leading code fence and its language, and without a closing one."""
+    blanks = F.lit(" \t\r\n\f")
+
+    def opened(t: Column) -> Column:
+        body = F.substr(t, F.lit(len(_FENCE) + 1))
+        body = F.when(F.startswith(body, F.lit("json")), F.substr(body, F.lit(5))).otherwise(body)
+        return F.btrim(F.when(F.startswith(t, F.lit(_FENCE)), body).otherwise(t), blanks)
+
+    def closed(t: Column) -> Column:
+        body = F.left(t, F.length(t) - len(_FENCE))
+        return F.btrim(F.when(F.endswith(t, F.lit(_FENCE)), body).otherwise(t), blanks)
+
+    return once(once(F.btrim(c, blanks), opened), closed)
+
+
 def lenient_json(c: Column) -> Column:
     """Variant of a reply without its code fences, else of its outermost braces."""
 
@@ -52,8 +67,7 @@ def lenient_json(c: Column) -> Column:
         braces = once(inner, lambda t: F.when(t != "", strict_json(t)))
         return F.coalesce(F.when(value, strict_json(bare)), braces)
 
-    opened = F.regexp_replace(F.coalesce(c, F.lit("")), _OPEN_FENCE, "")
-    return once(F.regexp_replace(opened, _CLOSE_FENCE, ""), whole_or_inner)
+    return once(unfenced(F.coalesce(c, F.lit(""))), whole_or_inner)
 
 
 def lenient_json_object(c: Column) -> Column:

@@ -44,8 +44,6 @@ WORK_MODE_ALIASES = {
 WORK_MODES = ["remoto", "hibrido", "presencial"]
 WORK_MODE_LABELS = {"remoto": "Remoto", "hibrido": "Híbrido", "presencial": "Presencial"}
 
-MAX_DESCRIPTION_CHARS = 6000
-
 
 def sql_trim(c: Column) -> Column:
     """Trim as SQL ``trim`` does: every Unicode space separator, no control characters."""
@@ -100,7 +98,11 @@ def lookup(mapping: dict[str, str], key: Column) -> Column:
     for k, v in mapping.items():
         buckets[zlib.crc32(k.encode()) % size][k] = v
     table = F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,string>>")
-    return F.try_element_at(F.get(table, (F.crc32(key) % size).cast("int")), key)
+    # the key is evaluated once, although it chooses the bucket and the entry
+    found = F.transform(
+        F.array(key), lambda k: F.try_element_at(F.get(table, (F.crc32(k) % size).cast("int")), k)
+    )
+    return F.get(found, F.lit(0))
 
 
 def alias_map(c: Column, aliases: dict[str, str]) -> Column:
@@ -128,8 +130,11 @@ def clean_url(c: Column) -> Column:
 
 
 _BREAK = "\u0001"
-_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template)\b[^>]*>.*?(?:</\1\s*>|\z)"
-_TAG = r"""<[/!?A-Za-z](?:[^'">]++|"[^"]*+"|'[^']*+')*+>"""
+# Outside quotes a tag ends at the next angle bracket, so each piece of text is read once.
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template)\b[^<>]*>.*?(?:</\1\s*>|\z)"
+_TAG = r"""<[/!?A-Za-z](?:[^'"<>]++|"[^"]*+"|'[^']*+')*+>"""
+# Numeric references 128 to 159 mean the characters of this code page; its gaps stay as they are.
+_LATIN = [bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160)]
 
 
 def _code_point(digits: Column, base: int) -> Column:
@@ -137,7 +142,8 @@ def _code_point(digits: Column, base: int) -> Column:
     code = F.conv(digits, base, 10).cast("int")
     usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     wide = F.lpad(F.hex(F.when(usable, code).otherwise(32)), 8, "0")
-    return F.when(usable, F.decode(F.unhex(wide), "UTF-32"))
+    latin = F.get(F.array(*map(F.lit, _LATIN)), code - 128)
+    return F.when(code.between(128, 159), latin).when(usable, F.decode(F.unhex(wide), "UTF-32"))
 
 
 def unescape(c: Column) -> Column:
@@ -191,7 +197,7 @@ def prompt(
     title: Column,
     description: Column,
     template: str = DEFAULT_TEMPLATE,
-    max_chars: int | None = MAX_DESCRIPTION_CHARS,
+    max_chars: int | None = None,
 ) -> Column:
     """Prompt of an offer: NULLs read as empty text, description cut at ``max_chars`` if given."""
     head, rest = template.split("{titulo}", 1)

@@ -1,5 +1,5 @@
 """Aggregates. Counting distinct ids is split by Spark over (group, id), so a large group is no
-single task's work; the exact median below is split the same way over value ranges."""
+single task's work; the exact median below is split over sorted runs of values."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import round_half_away
+from .tables import materialize
 
 
 def distinct_count_by(df: DataFrame, row_id: str, *keys: str, out: str = "num_ofertas") -> DataFrame:
@@ -28,55 +29,42 @@ def match_rate(df: DataFrame, missing: Column, *keys: str) -> DataFrame:
     )
 
 
-# Above the band of every finite double, so that infinities and NaN sort last.
-_TOP_BAND = 80_000
-
-
-def _band(value: Column) -> Column:
-    """Non-decreasing integer band of a value, about 1 % wide; at most 142,000 bands exist."""
-    size = F.least(F.floor(F.ln(F.abs(value) + F.lit(1.0)) * F.lit(100.0)), F.lit(_TOP_BAND))
-    signed = F.when(value < 0, -size).otherwise(size)
-    return F.when(F.isnan(value), F.lit(_TOP_BAND + 1)).otherwise(signed).cast("int")
-
-
 def exact_median(df: DataFrame, value: str, *keys: str) -> DataFrame:
     """Rows (keys, n, media, mediana) with the interpolated median over all non-null values.
 
-    Values are counted, the counts ranked by band to find the one or two bands
-    that hold the middle, and only those are ranked value by value. No task ever
-    sorts a whole group.
+    Equal values are counted first; the counts are then sorted by group and value over all
+    tasks, wherever the cuts between tasks fall, and written. What each task holds of a
+    group tells which tasks reach its middle, so a group of any size and any closeness of
+    values is spread evenly. Only per-task totals of a group meet in one place.
     """
-    rows = df.filter(F.col(value).isNotNull()).withColumn("_band", _band(F.col(value)))
-    counted = rows.groupBy(*keys, "_band", F.col(value).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    bands = counted.groupBy(*keys, "_band").agg(
-        F.sum("_n").alias("_n"), F.sum(F.col("_v") * F.col("_n")).alias("_s")
+    rows = df.filter(F.col(value).isNotNull())
+    counted = rows.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    order = [F.col(k).asc_nulls_first() for k in (*keys, "_v")]
+    cut = materialize(
+        counted.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
     )
     group = Window.partitionBy(*keys)
-    upto = group.orderBy("_band").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = bands.select(
-        *keys,
-        "_band",
-        (F.sum("_n").over(upto) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(upto).alias("_upto"),
-        F.sum("_n").over(group).alias("_all"),
+    earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = cut.groupBy(*keys, "_part").agg(
+        F.sum("_n").alias("_here"), F.sum(F.col("_v") * F.col("_n")).alias("_s")
+    )
+    placed = parts.select(
+        *[F.col(k).alias(f"_p_{k}") for k in (*keys, "_part")],
+        F.coalesce(F.sum("_here").over(earlier), F.lit(0)).alias("_before"),
+        "_here",
+        F.sum("_here").over(group).alias("_all"),
         F.sum("_s").over(group).alias("_sum"),
     )
     low = F.expr("(_all - 1) div 2")
     high = F.expr("_all div 2")
-    middle = placed.filter((F.col("_before") <= high) & (F.col("_upto") > low)).select(
-        *[F.col(k).alias(f"_m_{k}") for k in (*keys, "_band")], "_before", "_all", "_sum"
-    )
-    # NULL is a group too; and a plain join would filter one side and compute the counts twice
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in (*keys, "_band")])
+    middle = placed.filter((F.col("_before") <= high) & (F.col("_before") + F.col("_here") > low))
+    # NULL is a group too
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_p_{k}")) for k in (*keys, "_part")])
     inside = (
-        Window.partitionBy(*keys, "_band")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = (
-        counted.join(middle, same)
+        cut.join(middle, same)
         .withColumn("_last", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_first", F.col("_last") - F.col("_n"))
     )

@@ -29,11 +29,11 @@ def _top_row(df: DataFrame, keys: list[str | Column], order: list[Column]) -> Da
     return df.withColumn("_rank", F.row_number().over(by)).filter("_rank = 1").drop("_rank")
 
 
-def _rest(df: DataFrame, keys: list[str]) -> list[Column]:
+def _rest(df: DataFrame, known: set[str]) -> list[Column]:
     return [
         F.col(f.name).desc_nulls_last()
         for f in df.schema.fields
-        if f.name not in keys and _sortable(f.dataType)
+        if f.name not in known and _sortable(f.dataType)
     ]
 
 
@@ -42,9 +42,13 @@ def latest_by(
     keys: list[str],
     order_by: list[Column],
     tie_break: list[Column] | None = None,
+    ordered: tuple[str, ...] = (),
 ) -> DataFrame:
-    """First row of each key in ``order_by``; remaining ties fall to the other columns."""
-    ties = _rest(df, keys) if tie_break is None else tie_break
+    """First row of each key in ``order_by``; remaining ties fall to the other columns.
+
+    ``ordered`` names columns that ``order_by`` already decides, so they are not sorted again.
+    """
+    ties = _rest(df, {*keys, *ordered}) if tie_break is None else tie_break
     return _top_row(df, list(keys), [*order_by, *ties])
 
 

@@ -14,7 +14,6 @@ from ..functions.text import term_key
 MAX_INLINE_ENTRIES = 5_000
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 HOT_SHARE = 0.001
 
 
@@ -33,11 +32,12 @@ def fits_broadcast(
 
 
 def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows; at most ``1 / share`` of them can exist."""
+    """Keys that hold more than ``share`` of all rows, with ``_hot``, the partitions to spread them
+    over: one per ``share`` held. At most ``1 / share`` such keys can exist."""
     counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n"))
-    return counts.filter(F.col("_n") > F.lit(share) * total.scalar()).select(
-        key, F.lit(True).alias("_hot")
+    part = F.lit(share) * counts.agg(F.sum("_n")).scalar()
+    return counts.filter(F.col("_n") > part).select(
+        key, F.ceil(F.col("_n") / part).cast("bigint").alias("_hot")
     )
 
 
@@ -51,9 +51,9 @@ def lookup_join(
     """Equi-join (inner or left) of many rows to a dictionary sharing the column ``key``.
 
     A dictionary within the limits is broadcast and the rows stay where they
-    are. A larger one is shuffled; rows of a hot key are then spread over
-    ``SALTS`` partitions and only the hot entries are copied to all of them. Rows
-    without a key are spread freely.
+    are. A larger one is shuffled; rows of a hot key are then spread over partitions in
+    proportion to its share of all rows, and only the hot entries are copied to all of
+    theirs. Rows without a key are spread freely.
     """
     if fits_broadcast(dictionary, max_rows):
         return rows.join(F.broadcast(dictionary), key, how)
@@ -63,14 +63,15 @@ def lookup_join(
         if c.name != key and not isinstance(c.dataType, (T.MapType, T.VariantType))
     ]
     hot = F.broadcast(hot_keys(rows, key))
-    spread = F.xxhash64(*others)
+    # the partition spreads rows that are equal in every column too, and is the same when a task is run again
+    spread = F.xxhash64(*others, F.spark_partition_id())
     salt = (
         F.when(F.col(key).isNull(), spread)  # matches nothing, so it may go anywhere
-        .when(F.col("_hot"), F.pmod(spread, F.lit(SALTS)))
+        .when(F.col("_hot").isNotNull(), F.pmod(spread, F.col("_hot")))
         .otherwise(F.lit(0))
     )
-    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    copies = F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))).cast("array<bigint>")
+    every = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_hot", F.lit(1).cast("bigint")) - 1)
+    copies = every
     salted_rows = rows.join(hot, key, "left").withColumn("_salt", salt.cast("bigint"))
     salted_entries = dictionary.join(hot, key, "left").withColumn("_salt", F.explode(copies))
     return (
@@ -88,19 +89,27 @@ def array_lookup_join(
 ) -> DataFrame:
     """Add ``out``: canonical names of the array's known elements, in order of first appearance.
 
-    For catalogues of any size. Rows of ``df`` must be distinct. NULL arrays stay
-    NULL, arrays without a known element become empty.
+    For catalogues of any size; equal rows stay separate rows. The rows are numbered and
+    written once, then only numbers and terms move, and known names come back by number.
+    A repeated variant gives all its names. NULL arrays stay NULL, arrays without a known
+    element become empty.
     """
+    from .tables import materialize  # which uses this module
+
     columns = df.columns
     entries = catalog.select(
         F.col("variante").alias("_key"), F.col("nombre_canonico").alias("_name")
-    )
-    terms = df.select(*columns, F.posexplode_outer(items).alias("_pos", "_item"))
-    known = lookup_join(terms.withColumn("_key", key(F.col("_item"))), entries, "_key", "left", max_rows)
-    hit = F.when(F.col("_name").isNotNull(), F.struct("_pos", "_name"))
-    hits = known.groupBy(*columns).agg(F.sort_array(F.collect_list(hit)).alias("_hits"))
+    ).dropna().distinct()
+    numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
+    terms = numbered.select("_row", F.posexplode(items).alias("_pos", "_item"))
+    known = lookup_join(terms.withColumn("_key", key(F.col("_item"))), entries, "_key", "inner", max_rows)
+    hits = known.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_pos", "_name"))).alias("_hits"))
     names = F.array_distinct(F.transform("_hits", lambda h: h["_name"]))
-    return hits.select(*columns, F.when(F.col(items).isNotNull(), names).alias(out))
+    found = numbered.join(hits, "_row", "left")
+    none = F.array().cast("array<string>")
+    return found.select(
+        *columns, F.when(F.col(items).isNotNull(), F.coalesce(names, none)).alias(out)
+    )
 
 
 def inline_entries(catalog: DataFrame, max_entries: int = MAX_INLINE_ENTRIES) -> dict[str, str] | None:

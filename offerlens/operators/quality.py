@@ -170,6 +170,8 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check] = OFFER_CHECKS)
     All row-wise checks of a table share one scan; the others take one each.
     """
     todo = [c for c in checks if c.table in tables]
+    if not todo:
+        raise ValueError("no check applies to the given tables")
     results = []
     for name in dict.fromkeys(c.table for c in todo):
         df = tables[name]

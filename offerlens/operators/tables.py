@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -50,15 +49,8 @@ def append_new(
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's shared checkpoint folder.
-
-    Only a local session without that setting falls back to a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="offerlens-")
+    """New folder for intermediate tables, in the shared checkpoint folder, else in the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/offerlens/{uuid.uuid4().hex}"
 
 

@@ -29,7 +29,7 @@ from ..functions.text import (
 )
 from ..operators.lookup import canonical_items
 from ..operators.tables import materialize, read_table
-from .queue import MAX_PER_RUN, pending_offers
+from .queue import pending_offers
 
 # Fixed value: version stored with every attempt made with the default template.
 PROMPT_VERSION = "2"
@@ -149,14 +149,15 @@ def classify_pending(
     model: str,
     prompt_version: str = PROMPT_VERSION,
     template: str = DEFAULT_TEMPLATE,
-    limit: int | None = MAX_PER_RUN,
+    limit: int | None = None,
     reprocess_empty: bool = False,
     parallelism: int | None = None,
     ts: datetime | None = None,
 ) -> tuple[int, int]:
     """Extract the pending offers and append the attempts; returns (processed, failed).
 
-    ``parallelism`` bounds the number of concurrent callers; 1 keeps the queue order.
+    ``parallelism`` sets the number of callers, by default as many as the session has slots; 1 keeps
+    the queue order.
     """
     attempts = read_table(spark, attempts_path, schemas.RAW_ATTEMPTS)
     queue = pending_offers(offers, attempts, prompt_version, limit, reprocess_empty)
@@ -165,8 +166,9 @@ def classify_pending(
     )
     if parallelism == 1:
         work = work.coalesce(1)
-    elif parallelism:
-        work = work.repartition(parallelism, "id_oferta")
+    else:
+        # a queue with a limit is one partition
+        work = work.repartition(parallelism or spark.sparkContext.defaultParallelism, "id_oferta")
     replies = materialize(run_extractor(work, fn))
     rows = materialize(
         record_attempts(parse_replies(replies, catalog), provider, model, prompt_version, ts)

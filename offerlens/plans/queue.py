@@ -9,8 +9,7 @@ from ..functions.arrays import size_or
 from ..functions.replies import json_list
 from ..operators.dedup import latest_by
 
-# Offers per run, and the version that attempts without one count as.
-MAX_PER_RUN = 250
+# Fixed value: the version that attempts without one count as.
 FIRST_VERSION = "1"
 
 
@@ -26,7 +25,7 @@ def last_success(attempts: DataFrame) -> DataFrame:
         "respuesta_llm",
         "version_prompt",
     )
-    latest = latest_by(good, ["id_oferta"], [F.col("fecha_extraccion").desc_nulls_last()])
+    latest = latest_by(good, ["id_oferta"], [F.col("fecha_extraccion").desc_nulls_last()], ordered=("fecha_extraccion",))
     listed = F.coalesce(json_list(F.col("respuesta_llm"), "tecnologias"), F.col("tecnologias"))
     return latest.select(
         "id_oferta",
@@ -39,10 +38,10 @@ def pending_offers(
     offers: DataFrame,
     attempts: DataFrame,
     prompt_version: str,
-    limit: int | None = MAX_PER_RUN,
+    limit: int | None = None,
     reprocess_empty: bool = False,
 ) -> DataFrame:
-    """Offers without a success, newest first, at most ``limit`` of them per run.
+    """Offers without a success, newest first; with ``limit``, at most so many per run.
 
     ``reprocess_empty`` adds those whose last success found nothing under another
     prompt version; it ends by itself, as each such offer gets the new version.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import round_half_even
@@ -39,25 +39,32 @@ def kpis(coverage: DataFrame, demand: DataFrame, low=None, high=None) -> DataFra
 
 def technology_ranking(demand: DataFrame, top: int = 15, low=None, high=None) -> DataFrame:
     """The ``top`` technologies of a period; shares are of the period's offers, not monthly means."""
-    chosen = in_period(demand, low, high)
-    months = chosen.groupBy("mes").agg(F.max("total_ofertas_con_tecnologia_mes").alias("t"))
-    total = months.agg(F.sum("t"))
-    counts = chosen.groupBy("tecnologia").agg(F.sum("num_ofertas").alias("num_ofertas"))
-    ranked = counts.orderBy(F.desc("num_ofertas"), F.asc("tecnologia")).limit(top)
-    share = round_half_even(F.lit(100.0) * F.col("num_ofertas") / total.scalar(), 1)
-    return ranked.withColumn("pct_ofertas", share)
+    # one pass over the mart: per technology, and per month for the period's offers
+    both = in_period(demand, low, high).groupingSets([["tecnologia"], ["mes"]], "tecnologia", "mes").agg(
+        F.grouping("mes").alias("_by_technology"),
+        F.sum("num_ofertas").alias("num_ofertas"),
+        F.max("total_ofertas_con_tecnologia_mes").alias("_month"),
+    )
+    of_month = F.when(F.col("_by_technology") == 0, F.col("_month"))
+    total = F.sum(of_month).over(Window.partitionBy())  # as many rows as technologies and months
+    share = round_half_even(F.lit(100.0) * F.col("num_ofertas") / total, 1)
+    ranked = both.withColumn("pct_ofertas", share).filter("_by_technology = 1")
+    return (
+        ranked.select("tecnologia", "num_ofertas", "pct_ofertas")
+        .orderBy(F.desc("num_ofertas"), F.asc("tecnologia"))
+        .limit(top)
+    )
 
 
 def work_mode_split(trend: DataFrame, low=None, high=None) -> DataFrame:
     """Work modes of a period with label and share, in their fixed order."""
-    chosen = in_period(trend, low, high)
-    counts = chosen.groupBy("modalidad").agg(F.sum("num_ofertas").alias("num_ofertas"))
-    total = chosen.agg(F.sum("num_ofertas"))
+    counts = in_period(trend, low, high).groupBy("modalidad").agg(F.sum("num_ofertas").alias("num_ofertas"))
+    total = F.sum("num_ofertas").over(Window.partitionBy())  # as many rows as work modes
     return counts.select(
         "modalidad",
         label_map(F.col("modalidad"), WORK_MODE_LABELS).alias("etiqueta"),
         "num_ofertas",
-        round_half_even(F.lit(100.0) * F.col("num_ofertas") / total.scalar(), 1).alias("pct_ofertas"),
+        round_half_even(F.lit(100.0) * F.col("num_ofertas") / total, 1).alias("pct_ofertas"),
         fixed_rank(F.col("modalidad"), WORK_MODES).alias("orden"),
     ).orderBy("orden")
 

@@ -54,6 +54,7 @@ def latest_offers(offers: DataFrame, with_description: bool = True) -> DataFrame
         clean_offers(offers, with_description),
         ["id_oferta"],
         [F.col("fecha_publicacion").desc_nulls_last()],
+        ordered=("fecha_publicacion",),
     )
 
 
@@ -86,7 +87,7 @@ def latest_attempts(attempts: DataFrame) -> DataFrame:
         "salario_min",
         "salario_max",
     )
-    latest = latest_by(good, ["id_oferta"], [F.col("fecha_extraccion").desc_nulls_last()])
+    latest = latest_by(good, ["id_oferta"], [F.col("fecha_extraccion").desc_nulls_last()], ordered=("fecha_extraccion",))
     return clean_attempts(latest)
 
 

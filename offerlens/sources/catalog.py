@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import blank_to_null, entry_key, strip
-from ..operators.lookup import MAX_INLINE_ENTRIES, inline_entries
 from ..operators.quality import require_columns
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
@@ -52,11 +51,3 @@ def load_catalog(spark: SparkSession, path: str, self_variants: bool = True) ->
     """Catalogue from a CSV file, whose row order decides between repeated variants."""
     raw = read_seed(spark, path).withColumn("_row", F.monotonically_increasing_id())
     return build_catalog(raw, "_row", self_variants)
-
-
-def catalog_map(catalog: DataFrame, max_entries: int = MAX_INLINE_ENTRIES) -> dict[str, str]:
-    """The catalogue as a dictionary; refuses one too large for that."""
-    entries = inline_entries(catalog, max_entries)
-    if entries is None:
-        raise ValueError(f"catalogue exceeds {max_entries} entries or repeats a variant")
-    return entries
