@@ -16,9 +16,10 @@ sampled suffixes are sorted by comparison and all others are induced from them:
    common are repeats.
 
 Hot seeds: a task first merges equal surroundings, so copies of a document are sent once per task. A seed that
-still has more than ``HOT`` different surroundings is not brought together: its windows are named by digests, first
-in ranges of ``RANGE`` neighbouring windows by the bytes these share, then one by one where a range occurs twice.
-Counting names is combined before it is shuffled.
+still has more than ``HOT`` different surroundings is not brought together. Ranges of ``RANGE`` neighbouring windows
+are named by a digest of the bytes these share; names that occur twice are shards for another round of sorting and
+inducing, and where a range itself is that hot its windows are named one by one. Counts of names are combined before
+they are shuffled.
 
 Tuples are small against the texts; texts are shuffled once, and those with a repeated seed once more.
 """
@@ -128,59 +129,47 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _surroundings(places_wanted: bool):
-    """Of texts and their samples, in either run the same slots: the distinct surroundings of a dictionary, or the
-    places they stand at. Surroundings met twice in a dictionary repeat in all their windows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() * _PER_TASK
-        slots: dict[tuple, list] = {}
-        held = 0
-
-        def sent() -> pa.RecordBatch:
-            if places_wanted:
-                out = [
-                    (first + i, row, at, key[3], key[4], len(places) > 1)
-                    for i, (key, places) in enumerate(slots.items())
-                    for row, at in places
-                ]
-                kinds = [("slot", pa.int64()), ("row", pa.int64()), ("at", pa.int32()), ("far", pa.int16()),
-                         ("near", pa.int16()), ("repeats", pa.bool_())]
-            else:
-                out = [(first + i, *key) for i, key in enumerate(slots)]
-                kinds = [("slot", pa.int64()), ("seed", pa.int64()), ("left", pa.binary()), ("right", pa.binary()),
-                         ("far", pa.int16()), ("near", pa.int16())]
-            cols = list(zip(*out)) or [()] * len(kinds)
-            return pa.record_batch([pa.array(c, k) for c, (_, k) in zip(cols, kinds)], schema=pa.schema(kinds))
-
-        for batch in batches:
-            for row, text, samples in zip(
-                batch.column("row").to_pylist(), batch.column("text"), batch.column("samples").to_pylist()
-            ):
-                text = text.as_py()
-                for s in sorted(samples, key=lambda s: s["at"]):
-                    at, far, near = s["at"], s["far"], s["near"]
-                    right = text[at : at + LENGTH - near].ljust(LENGTH, bytes([_NONE]))
-                    key = (s["seed"], text[at - far : at], right, far, near)
-                    places = slots.get(key)
-                    if places is None:
-                        slots[key] = [(row, at)]
-                        held += 2 * LENGTH + 300
-                    else:
-                        places.append((row, at))
-                        held += 100
-                    if held > MERGED:
-                        yield sent()
-                        first += len(slots)
-                        slots, held = {}, 0
-        if slots:
-            yield sent()
-
-    return run
+def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of texts and their samples, the distinct surroundings of a bounded dictionary and the places each stands at."""
+    first = TaskContext.get().partitionId() * _PER_TASK
+    place = pa.list_(pa.struct([("row", pa.int64()), ("at", pa.int32())]))
+    schema = pa.schema(
+        [("slot", pa.int64()), ("seed", pa.int64()), ("left", pa.binary()), ("right", pa.binary()), ("far", pa.int16()),
+         ("near", pa.int16()), ("places", place)]
+    )
+    slots: dict[tuple, list] = {}
+    held = 0
 
+    def sent() -> pa.RecordBatch:
+        cols = [range(first, first + len(slots)), *zip(*slots), slots.values()]
+        return pa.record_batch([pa.array(list(c), f.type) for c, f in zip(cols, schema)], schema=schema)
 
-_CONTEXT = "slot long, seed long, left binary, right binary, far short, near short"
-_PLACE = "slot long, row long, at int, far short, near short, repeats boolean"
+    for batch in batches:
+        for row, text, samples in zip(
+            batch.column("row").to_pylist(), batch.column("text"), batch.column("samples").to_pylist()
+        ):
+            text = text.as_py()
+            for s in sorted(samples, key=lambda s: s["at"]):
+                at, far, near = s["at"], s["far"], s["near"]
+                right = text[at : at + LENGTH - near].ljust(LENGTH, bytes([_NONE]))
+                key = (s["seed"], text[at - far : at], right, far, near)
+                places = slots.get(key)
+                if places is None:
+                    places = slots[key] = []
+                    held += 2 * LENGTH + 300
+                places.append({"row": row, "at": at})
+                held += 250
+                if held > MERGED:
+                    yield sent()
+                    first += len(slots)
+                    slots, held = {}, 0
+    if slots:
+        yield sent()
+
+
+_CONTEXT = (
+    "slot long, seed long, left binary, right binary, far short, near short, places array<struct<row: long, at: int>>"
+)
 
 
 def induced(left: np.ndarray, right: np.ndarray, far: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +192,7 @@ def induced(left: np.ndarray, right: np.ndarray, far: np.ndarray, near: np.ndarr
                 kept = np.flatnonzero(stays)
                 if not len(kept):
                     break
-                common = np.minimum.reduceat(common, np.r_[0, kept[:-1] + 1])
+                common = np.minimum.reduceat(common[: kept[-1] + 1], np.r_[0, kept[:-1] + 1])
                 common[0] = 0
                 order = order[kept]
             byte = left[order, distance - 1]
@@ -240,11 +229,12 @@ def _bytes_matrix(rows: list[bytes], width: int) -> np.ndarray:
 
 
 def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pops sorted tuples and induces them, some thousand at a time, never parting equal seeds."""
+    """Pops tuples sorted by (shard, right) and induces them, some thousand at a time, never parting a shard: equal
+    windows are in one shard, and between shards common prefixes are only underrated."""
     held: list[tuple] = []
 
     def done(rows: list[tuple]) -> pa.RecordBatch:
-        slot, left, right, far, near = zip(*rows)
+        slot, left, right, far, near, _ = zip(*rows)
         far, near = np.array(far, np.int64), np.array(near, np.int64)
         low, high = induced(
             _bytes_matrix([x[::-1] for x in left], max(1, int(far.max()))), _bytes_matrix(list(right), LENGTH), far, near
@@ -256,10 +246,10 @@ def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        held += zip(*(batch.column(c).to_pylist() for c in ("slot", "left", "right", "far", "near")))
+        held += zip(*(batch.column(c).to_pylist() for c in ("slot", "left", "right", "far", "near", "shard")))
         if len(held) >= ROWS:
             cut = len(held) - 1
-            while cut > 0 and held[cut][2][:SEED] == held[cut - 1][2][:SEED]:
+            while cut > 0 and held[cut][5] == held[cut - 1][5]:
                 cut -= 1
             if cut:
                 yield done(held[:cut])
@@ -309,11 +299,41 @@ def _named(single: bool):
     return run
 
 
-def _twice(hot: DataFrame, single: bool) -> DataFrame:
-    """``(slot, distance)`` whose name occurs at least twice."""
-    named = hot.mapInArrow(_named(single), "slot long, distance int, name binary")
-    again = store(named.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "names")
-    return store(named.join(again, "name").select("slot", "distance"), "repeated")
+_NAMED = "slot long, distance int, name binary"
+
+
+def _sorted_and_induced(tuples: DataFrame) -> DataFrame:
+    """``(slot, low, high)`` of tuples that are sharded by ``shard``."""
+    queue = tuples.select("shard", "slot", "left", "right", "far", "near").repartition("shard")
+    found = queue.sortWithinPartitions("shard", "right").mapInArrow(_induce, "slot long, low long, high long")
+    return store(found, "found")
+
+
+def _hot(hot: DataFrame) -> DataFrame:
+    """``(slot, low, high)`` of surroundings of hot seeds. Ranges of windows that occur twice become shards of their
+    own, sorted and induced like any other; only the windows of ranges that are hot themselves are named singly."""
+    ranges = hot.mapInArrow(_named(False), _NAMED)
+    again = store(ranges.groupBy("name").agg(F.count("*").alias("n")).where("n > 1"), "ranges")
+    open_ = store(ranges.join(again, "name").select("slot", F.col("distance").alias("base"), "name", "n"), "open-ranges")
+    some = hot.join(open_.where(F.col("n") <= HOT), "slot")
+    far = F.least(F.col("far"), F.col("base") + RANGE - 1).cast("short")
+    found = _sorted_and_induced(
+        some.select(
+            F.col("name").alias("shard"),
+            "slot",
+            F.substring("left", F.col("far") - far + 1, far.cast("int")).alias("left"),
+            "right",
+            far.alias("far"),
+            F.greatest("near", "base").cast("short").alias("near"),
+        )
+    )
+    many = open_.where(F.col("n") > HOT).groupBy("slot").agg(F.collect_list("base").alias("bases"))
+    single = store(hot.join(many, "slot"), "hot-ranges").mapInArrow(_named(True), _NAMED)
+    twice = store(single.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "windows")
+    ends = single.join(twice, "name").groupBy("slot").agg(
+        F.min("distance").cast("long").alias("low"), F.max("distance").cast("long").alias("high")
+    )
+    return found.unionByName(ends).groupBy("slot").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
@@ -323,7 +343,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     bytes covers which also starts anywhere else, in the same document too; ``kept_sha256`` is the digest of the
     other bytes. A null text counts as empty; texts of fewer than ``LENGTH`` bytes and an empty table have none."""
     docs = keyed(documents)
-    samples = store(docs.select("row", "text").mapInArrow(_sample, "seed long, row long, at int, far short, near short"), "samples")
+    samples = store(docs.select("row", "text").mapInArrow(_sample, "seed long, row long, at int, far short, near short"), "samples", "zstd")
     seeds = store(samples.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "seeds")
     mine = samples.join(seeds, "seed").groupBy("row").agg(F.collect_list(F.struct("at", "seed", "far", "near")).alias("samples"))
     split = docs.join(mine, "row", "left").mapInArrow(
@@ -331,22 +351,16 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
         "row long, doc_id long, n_bytes long, sha string, text binary, "
         "samples array<struct<at: int, seed: long, far: short, near: short>>",
     )
-    split = store(split, "split")
+    split = store(split, "split", "zstd")
     open_ = split.where("samples IS NOT NULL").select("row", "text", "samples")
-    tuples = open_.mapInArrow(_surroundings(False), _CONTEXT)
-    hot_seeds = tuples.select("seed").groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("seed")
+    tuples = store(open_.mapInArrow(_surroundings, _CONTEXT), "tuples", "zstd")
+    hot_seeds = tuples.groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("seed")
     hot_seeds = store(hot_seeds, "hot-seeds")
-    sorted_ = tuples.join(hot_seeds, "seed", "left_anti").repartition("seed").sortWithinPartitions("right", "seed")
-    found = sorted_.select("slot", "left", "right", "far", "near").mapInArrow(_induce, "slot long, low long, high long")
-    found = store(found, "found")
+    found = _sorted_and_induced(tuples.join(hot_seeds, "seed", "left_anti").withColumnRenamed("seed", "shard"))
     if not hot_seeds.isEmpty():
-        hot = store(tuples.join(hot_seeds, "seed"), "hot")
-        ranges = _twice(hot, False).groupBy("slot").agg(F.collect_list("distance").alias("bases"))
-        single = _twice(store(hot.join(ranges, "slot"), "hot-ranges"), True)
-        found = found.unionByName(
-            single.groupBy("slot").agg(F.min("distance").cast("long").alias("low"), F.max("distance").cast("long").alias("high"))
-        )
-    places = open_.mapInArrow(_surroundings(True), _PLACE)
+        found = found.unionByName(_hot(store(tuples.join(hot_seeds, "seed").drop("places"), "hot", "zstd")))
+    # surroundings met twice in a dictionary repeat in all their windows
+    places = tuples.select("slot", "far", "near", (F.size("places") > 1).alias("repeats"), F.inline("places"))
     # all windows of a suffix have its seed in common, so what they cover is one run
     spans = places.join(found, "slot", "left").where("repeats OR low IS NOT NULL").select(
         "row",
