@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import dates, numbers, replies, text
 from ..operators import aggregates, dedup, fingerprint, lookup, quality, tables
-from ..plans import extraction, marts, queue, reports, staging
+from ..plans import build, extraction, marts, queue, reports, staging
 from ..sources import catalog as catalogs
 from ..sources import offer_pages, snapshots
 from ..streaming import ingest
@@ -136,6 +136,10 @@ def _landed_offers(spark: SparkSession, d: str) -> DataFrame:
     return orders.select("o_orderkey", offer.alias("offer"))
 
 
+_LANDED = ["id", "titulo", "empresa", "ubicacion", "url", "fecha_publicacion"]
+_LANDED += ["salario_min_anunciado", "salario_max_anunciado", "fuente"]
+
+
 def p7_flatten_offers(spark: SparkSession, d: str) -> DataFrame:
     parsed = F.from_json(F.to_json("offer"), "MAP<STRING, VARIANT>").alias("oferta")
     offers = _landed_offers(spark, d).select(F.col("o_orderkey").cast("string").alias("id"), parsed)
@@ -158,6 +162,32 @@ def p7_flatten_offers(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def s1_read_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Land all orders twice as pages of JSON and read them: the first occurrence of each id."""
+    folder = f"{tables.work_dir(spark)}/landing"
+    offers = _landed_offers(spark, d).select("offer")
+    pages = offers.select(F.lit(2).alias("count"), F.array("offer", "offer").alias("results"))
+    for _ in range(2):
+        pages.write.mode("append").option("maxRecordsPerFile", 1000).json(folder)
+    found = offer_pages.read_pages(spark, folder, multi_line=False)
+    return offer_pages.flatten_offers(found).select(*_LANDED)
+
+
+def a8_ingest_count(spark: SparkSession, d: str) -> DataFrame:
+    """How many offers three ingests of the same landed orders add."""
+    root = tables.work_dir(spark)
+    offers = _landed_offers(spark, d).withColumn("id", F.col("o_orderkey").cast("string"))
+    parsed = offers.select("id", F.from_json(F.to_json("offer"), "MAP<STRING, VARIANT>").alias("oferta"))
+    half = parsed.filter("cast(id as bigint) % 2 = 0")
+    added = [
+        ingest.ingest_batch(spark, batch, f"{root}/raw", [F.col("id")]) for batch in (half, parsed, parsed)
+    ]
+    stored = tables.read_table(spark, f"{root}/raw", schemas.RAW_OFFERS)
+    return stored.agg(F.count(F.lit(1)).alias("guardadas")).select(
+        "guardadas", *[F.lit(n).cast("long").alias(f"tanda_{i}") for i, n in enumerate(added, 1)]
+    )
+
+
 def t1_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     """Land all orders as pages, ingest them as a stream, land them again: nothing is added."""
     root = tables.work_dir(spark)
@@ -169,17 +199,7 @@ def t1_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
             spark, f"{root}/landing", f"{root}/raw", f"{root}/state", multi_line=False
         ).awaitTermination()
     stored = tables.read_table(spark, f"{root}/raw", schemas.RAW_OFFERS)
-    return stored.select(
-        "id",
-        "titulo",
-        "empresa",
-        "ubicacion",
-        "url",
-        "fecha_publicacion",
-        "salario_min_anunciado",
-        "salario_max_anunciado",
-        "fuente",
-    )
+    return stored.select(*_LANDED)
 
 
 # --- projections, joins, aggregates, windows ---------------------------------------------------
@@ -578,6 +598,17 @@ def q7_check_summary(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def s8_built_marts(spark: SparkSession, d: str) -> DataFrame:
+    """Build everything, load the published marts and read two of them side by side."""
+    root = tables.work_dir(spark)
+    entries = catalog(spark, d)
+    build.build_all(spark, raw_offers(spark, d), raw_attempts(spark, d), entries, root, checks=False)
+    loaded = build.load_marts(spark, root)
+    demand = loaded["demanda_tecnologias_mensual"].select("id_tecnologia_mes", "mes", "num_ofertas")
+    salaries = loaded["salarios_por_tecnologia"].select("id_tecnologia_mes", "salario_mediano")
+    return demand.join(salaries, "id_tecnologia_mes", "left")
+
+
 def _length_extractor(prompt: str) -> str:
     """Stands for a model: replies with the prompt's length, and fails on some prompts."""
     n = len(prompt)
@@ -612,6 +643,9 @@ _QUERIES = (
     s6_attempt_rows,
     s9_snapshot,
     s10_fingerprint,
+    s1_read_pages,
+    s8_built_marts,
+    a8_ingest_count,
     t1_stream_ingest,
     p1_clean_offers,
     p2_range_gate,

@@ -179,16 +179,16 @@ def html_text(c: Column) -> Column:
 
 # Default wording; {titulo} and {descripcion} are filled per offer. Callers with
 # their own wording pass a template and raise their prompt version.
-DEFAULT_TEMPLATE = """Lee el anuncio de empleo y responde solo con un objeto JSON de cinco claves:
-"tecnologias" (lista de nombres técnicos citados en el título o en el texto, vacía si no hay),
-"seniority" ("junior", "mid", "senior" o null),
-"modalidad" ("remoto", "hibrido", "presencial" o null),
-"salario_min" y "salario_max" (euros brutos al año como número, null si no figuran).
-No añadas nada que el anuncio no diga.
+DEFAULT_TEMPLATE = """Eres un lector de anuncios de trabajo. Devuelve un único objeto JSON, sin texto alrededor, con:
+"tecnologias": lista con cada herramienta técnica nombrada; [] cuando no se nombra ninguna.
+"seniority": "junior", "mid" o "senior"; null si el anuncio calla.
+"modalidad": "remoto", "hibrido" o "presencial"; null si el anuncio calla.
+"salario_min", "salario_max": bruto anual en euros, en cifras; null si el anuncio calla.
+Cíñete a lo escrito.
 
-Título: {titulo}
+Puesto: {titulo}
 
-Descripción:
+Texto del anuncio:
 {descripcion}
 """
 

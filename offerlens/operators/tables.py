@@ -37,14 +37,15 @@ def append_new(
 ) -> DataFrame:
     """Rows of ``batch`` whose key is new, first occurrence each; stored rows never change.
 
-    The usual batch is tiny next to the history: its keys are then broadcast to
+    The batch is evaluated once: its first occurrences are written and read from then
+    on. The usual batch is tiny next to the history: its keys are then broadcast to
     filter the history scan, and only keys that are already there move.
     """
-    fresh = first_per_key(batch, key, order_by)
-    keys = batch.select(key).filter(F.col(key).isNotNull())
+    fresh = materialize(first_per_key(batch, key, order_by))
+    keys = fresh.select(key)
     stored = existing.select(key)
     if fits_broadcast(keys):
-        stored = stored.join(F.broadcast(keys.distinct()), key, "left_semi")
+        stored = stored.join(F.broadcast(keys), key, "left_semi")
     return fresh.join(stored.distinct(), key, "left_anti")
 
 

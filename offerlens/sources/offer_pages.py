@@ -48,8 +48,13 @@ def explode_pages(pages: DataFrame) -> DataFrame:
 
 
 def read_offer_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Offers (id, oferta) of all pages, first occurrence of each id."""
-    pages = spark.read.schema(schemas.OFFER_PAGE).option("multiLine", True).json(path)
+    """Offers (id, oferta) of all pages, one page per file, first occurrence of each id."""
+    return read_pages(spark, path, multi_line=True)
+
+
+def read_pages(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """``read_offer_pages``; without ``multi_line``, of files with one page per line, which can be split."""
+    pages = spark.read.schema(schemas.OFFER_PAGE).option("multiLine", multi_line).json(path)
     return latest_by(explode_pages(pages), ["id"], page_order(), tie_break=[]).select("id", "oferta")
 
 

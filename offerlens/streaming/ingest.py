@@ -22,7 +22,7 @@ def ingest_batch(
 ) -> int:
     """Append the offers (id, oferta, ...) that ``table`` lacks; returns their number.
 
-    The rows are counted while they are written, so nothing is evaluated twice.
+    The batch is read once, and the new rows are counted while they are written.
     """
     existing = read_table(spark, table, schemas.RAW_OFFERS)
     written = Observation()

@@ -72,7 +72,7 @@ def test_clean_url(spark):
 
 def test_html_text(spark):
     given = [
-        "Python y <strong>dbt</strong>",
+        "Kites <em>and</em> <b>string</b>",
         "<p> uno </p>\n<p>dos&nbsp;</p><br/>",
         "R&amp;D &lt;b&gt; caf&eacute; &#8364; &#x20AC; &euro; &nada; 5 & 6",
         "<script>var a='</p>';</script>fin<!-- x > y --><style>p{}</style>",
@@ -82,7 +82,7 @@ def test_html_text(spark):
         None,
     ]
     assert evaluate(spark, text.html_text, given) == [
-        "Python y dbt",
+        "Kites and string",
         "uno dos",
         "R&D <b> café € € € &nada 5 & 6",
         "fin",
@@ -93,6 +93,16 @@ def test_html_text(spark):
     ]
 
 
+def test_html_text_is_linear_and_reads_windows_references(spark):
+    import time
+
+    given = ["<b " * 340_000, "it&#146;s &#150; &#x80;", "<a '" * 1000]
+    start = time.time()
+    out = evaluate(spark, text.html_text, given)
+    assert time.time() - start < 20
+    assert out[0] == ("<b " * 340_000).strip() and out[1] == "it’s – €"
+
+
 def test_prompt_cuts_only_the_description(spark):
     out = evaluate(spark, lambda c: text.prompt(c, c, "T={titulo} D={descripcion}.", 3), ["abcdef", None])
     assert out == ["T=abcdef D=abc.", "T= D=."]

@@ -85,10 +85,12 @@ def test_array_lookup_join(spark, max_rows):
         [("python", "Python"), ("py", "Python"), ("sql", "SQL")], schemas.CATALOG
     )
     df = spark.createDataFrame(
-        [(1, ["SQL", "Py", "x", "python"]), (2, []), (3, None), (4, ["x"])], "id int, a array<string>"
+        [(1, ["SQL", "Py", "x", "python"]), (2, []), (3, None), (4, ["x"]), (5, ["py"]), (5, ["py"]), (6, None), (6, None)],
+        "id int, a array<string>",
     )
     out = lookup.array_lookup_join(df, "a", catalog, "names", max_rows=max_rows)
-    expected = [(1, ["SQL", "Python"]), (2, []), (3, None), (4, [])]
+    equal = [(5, ["Python"]), (5, ["Python"]), (6, None), (6, None)]  # equal rows stay two
+    expected = [(1, ["SQL", "Python"]), (2, []), (3, None), (4, []), *equal]
     assert [(r.id, r.names) for r in out.orderBy("id").collect()] == expected
     inline = lookup.canonical_items(df, "a", catalog, "names", max_entries=3 if max_rows else 2)
     assert [(r.id, r.names) for r in inline.orderBy("id").collect()] == expected
@@ -119,6 +121,20 @@ def test_exact_median(spark):
         assert median == pytest.approx(statistics.median(values))
 
 
+@pytest.mark.parametrize("low, step", [(1_000_000.0, 1e-3), (0.0, 1e-8)])
+def test_exact_median_spreads_a_group_of_close_values(spark, low, step):
+    """No partition of the sorted counts holds much more than its share, however close the values are."""
+    n = 40_001
+    df = spark.range(n).select(F.lit("a").alias("k"), (F.lit(low) + F.col("id") * step).alias("v"))
+    out = aggregates.exact_median(df, "v", "k").first()
+    assert out.n == n and out.mediana == pytest.approx(low + (n // 2) * step, rel=1e-12)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is small
+    counted = df.groupBy("k", "v").count()
+    sizes = counted.repartitionByRange("k", "v").groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2 * n / 8
+
+
 def test_exact_median_of_extreme_values(spark):
     inf = float("inf")
     data = [("a", v) for v in (-inf, -1e300, 0.0, 1e300, inf)] + [("b", v) for v in (1.0, 2.0, inf, float("nan"))]
