@@ -75,6 +75,36 @@ def lenient_json_object(c: Column) -> Column:
     return once(lenient_json(c), lambda v: F.when(is_object(v), v))
 
 
+def reply_fields(c: Column, *names: str) -> Column:
+    """``(is_json, is_object, <names>: VARIANT)`` of a reply, lenient as ``lenient_json``.
+
+    Only the named fields are kept; of repeated keys the last wins. NULL when nothing parses.
+    """
+    kept = "STRUCT<" + ", ".join(f"`{n}`: VARIANT" for n in names) + ">"
+
+    def parsed(text: Column) -> Column:
+        probe = F.from_json(
+            F.concat(F.lit('{"reply":'), text, F.lit(f',"end":"{_END}"}}')),
+            f"reply {kept}, end STRING",
+            {"allowSingleQuotes": "false"},
+        )
+        return once(probe, lambda p: F.when(p["end"] == _END, p["reply"]))
+
+    def of(bare: Column) -> Column:
+        opens = F.startswith(bare, F.lit("{"))
+        inner = once(F.regexp_extract(bare, r"(?s)\{.*\}", 0), lambda t: F.when(t != "", parsed(t)))
+        whole = F.when(opens, parsed(bare))
+        # any other value; prose is not worth a failing parse
+        other = F.when(~opens & F.rlike(bare, F.lit(r'^(?:[\["0-9-]|true|false|null)')), strict_json(bare))
+        plain = once(other, lambda v: F.when(v.isNotNull(), F.struct(F.lit(False).alias("is_object"), F.lit(None).cast(kept).alias("fields"))))
+        found = once(F.coalesce(whole, F.when(plain.isNull(), inner)), lambda r: F.when(
+            r.isNotNull(), F.struct(F.lit(True).alias("is_object"), r.alias("fields"))
+        ))
+        return F.coalesce(plain, found)
+
+    return once(unfenced(F.coalesce(c, F.lit(""))), of)
+
+
 def json_list(c: Column, name: str) -> Column:
     """Array of strings under ``name`` in a text that is one whole JSON object, else NULL.
 

@@ -61,8 +61,13 @@ def term_key(c: Column) -> Column:
 
 
 def entry_key(c: Column) -> Column:
-    """Catalogue key of a term on the loading side, where any Unicode space counts."""
-    return F.regexp_replace(F.lower(strip(c)), f"[{ALL_WHITESPACE}]+", " ")
+    """Catalogue key of a term on the loading side, where any Unicode space counts.
+
+    Nearly all terms have single plain spaces between words, so one search decides whether the rest is needed.
+    """
+    odd = ALL_WHITESPACE.replace(" ", "")
+    full = F.regexp_replace(F.lower(strip(c)), f"[{ALL_WHITESPACE}]+", " ")
+    return F.when(F.rlike(c, F.lit(f"[{odd}]|  ")), full).otherwise(F.lower(F.trim(c)))
 
 
 def surrogate_key(*parts: Column) -> Column:

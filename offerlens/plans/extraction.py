@@ -13,9 +13,8 @@ from .. import schemas
 from ..functions.dates import utc_stamp
 from ..functions.numbers import ordered_bounds
 from ..functions.replies import (
-    is_object,
-    lenient_json,
     lenient_salary,
+    reply_fields,
     text_field,
     text_items,
 )
@@ -78,25 +77,24 @@ def run_extractor(df: DataFrame, fn: Callable[[str], str]) -> DataFrame:
 
 def parse_replies(replies: DataFrame, catalog: DataFrame | dict[str, str]) -> DataFrame:
     """Attempt fields from (id_oferta, respuesta_llm, call_error); ids must be distinct."""
+    names = ["tecnologias", "seniority", "modalidad", "salario_min", "salario_max"]
     parsed = replies.withColumn(
-        "_v", F.when(F.col("call_error").isNull(), lenient_json(F.col("respuesta_llm")))
+        "_v", F.when(F.col("call_error").isNull(), reply_fields(F.col("respuesta_llm"), *names))
     )
     problem = (
         F.when(F.col("call_error").isNotNull(), F.col("call_error"))
         .when(F.col("_v").isNull(), F.lit(INVALID_JSON))
-        .when(~is_object(F.col("_v")), F.lit(NOT_AN_OBJECT))
+        .when(~F.col("_v.is_object"), F.lit(NOT_AN_OBJECT))
     )
-    checked = parsed.withColumn("error", problem).withColumn(
-        "_v", F.when(F.col("error").isNull(), F.col("_v"))
-    )
-    v = F.col("_v")
+    checked = parsed.withColumn("error", problem)
+    v = F.col("_v.fields")
     fields = checked.select(
         "id_oferta",
-        text_items(v, "$.tecnologias").alias("_items"),
-        alias_map(text_field(v, "$.seniority"), SENIORITY_ALIASES).alias("seniority"),
-        alias_map(text_field(v, "$.modalidad"), WORK_MODE_ALIASES).alias("modalidad"),
-        lenient_salary(v, "$.salario_min").alias("_lo"),
-        lenient_salary(v, "$.salario_max").alias("_hi"),
+        text_items(v["tecnologias"], "$").alias("_items"),
+        alias_map(text_field(v["seniority"], "$"), SENIORITY_ALIASES).alias("seniority"),
+        alias_map(text_field(v["modalidad"], "$"), WORK_MODE_ALIASES).alias("modalidad"),
+        lenient_salary(v["salario_min"], "$").alias("_lo"),
+        lenient_salary(v["salario_max"], "$").alias("_hi"),
         "error",
         "respuesta_llm",
     )

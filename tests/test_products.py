@@ -312,6 +312,9 @@ def test_reply_fields(spark, catalog, inline):
             ("3", '{"salario_min": "50.000 €", "salario_max": 40000, "modalidad": 3}', None),
             ("4", '["Python"]', None),
             ("5", None, "llm_error: X: y"),
+            ("6", '{"tecnologias": ["rust"], "tecnologias": ["kafka"], "salario_min": NaN, "salario_max": 9}', None),
+            ("7", 'Sure: {"tecnologias": ["dbt"]} and more', None),
+            ("8", '{"tecnologias": ["dbt"]', None),
         ],
         "id_oferta string, respuesta_llm string, call_error string",
     )
@@ -322,6 +325,8 @@ def test_reply_fields(spark, catalog, inline):
     assert (out["3"].salario_min, out["3"].salario_max, out["3"].modalidad) == (40000.0, 50000.0, None)
     assert (out["4"].error, out["4"].tecnologias) == (extraction.NOT_AN_OBJECT, [])
     assert out["5"].error == "llm_error: X: y"
+    assert (out["6"].tecnologias, out["6"].salario_max, out["6"].error) == (["Kafka"], 9.0, None)
+    assert (out["7"].tecnologias, out["8"].error) == (["dbt"], extraction.INVALID_JSON)
 
 
 def test_work_mode_split(spark):
@@ -352,3 +357,18 @@ def test_ranking_and_kpis(spark):
     assert tuple(reports.kpis(coverage, demand).first()) == (8, 6, 2, 25.0, 3)
     none = reports.kpis(coverage, demand, "2030-01-01", "2030-12-01").first()
     assert tuple(none) == (0, 0, 0, 0.0, 0)
+
+
+def test_queue_without_ansi(spark):
+    """An offer whose list is NULL counts as empty whatever the session's ANSI setting."""
+    offers, attempts = queue_state(spark)
+    nothing = attempts.withColumn("tecnologias", F.lit(None).cast("array<string>")).withColumn(
+        "respuesta_llm", F.lit(None).cast("string")
+    )
+    ids = lambda: sorted(r.id_oferta for r in queue.pending_offers(offers, nothing, "x", reprocess_empty=True).collect())
+    strict = ids()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert ids() == strict
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
