@@ -97,7 +97,8 @@ def shard_quotas(sources: DataFrame, shards: int, seed: int = 0) -> DataFrame:
         node = node.groupBy("lo", "hi").applyInPandas(_split(seed), "lo long, hi long, rank long, quota long")
         width = -(-width // 2)
     runs = node.groupBy("rank").agg(F.sort_array(F.collect_list(F.struct("lo", "quota"))).alias("runs"))
-    ends = F.transform("runs", lambda _, i: F.aggregate(F.slice("runs", 1, i + 1), F.lit(0).cast("long"), lambda a, x: a + x["quota"]))
+    none = F.lit(0).cast("long")
+    ends = F.transform("runs", lambda _, i: F.aggregate(F.slice("runs", 1, i + 1), none, lambda a, x: a + x["quota"]))
     return store(runs.select("rank", ends.alias("ends")), "quotas")
 
 
@@ -131,13 +132,15 @@ def draws(
     shards = min(MAX_SHARDS, max(1, int((all_words or 0) // shard_words)))
     block_docs = max(BLOCK_DOCS, int(ceiling + 1) * (all_docs or 0) // MAX_BLOCKS)
     goal = F.least(F.round("target").cast("long"), F.floor(F.lit(ceiling) * F.col("words")).cast("long"))
-    plan = plan.withColumn("passes", F.when(F.col("words") > 0, F.floor(goal / F.col("words"))).otherwise(0).cast("long"))
+    passes = F.when(F.col("words") > 0, F.floor(goal / F.col("words"))).otherwise(0).cast("long")
+    plan = plan.withColumn("passes", passes)
     plan = plan.withColumn("rest", goal - F.col("passes") * F.col("words"))
     plan = plan.withColumn("blocks", F.ceil(F.col("docs") / block_docs).cast("long"))
     plan = store(plan, "plan")
     small = plan.select("s", "rank", "words", "target", "passes", "rest", "blocks")
     # null-safe: the null source has a rank like any other
-    keyed_rows = sized.join(F.broadcast(small) if n_sources <= BROADCAST_SOURCES else small, sized["s"].eqNullSafe(small["s"]))
+    known = F.broadcast(small) if n_sources <= BROADCAST_SOURCES else small
+    keyed_rows = sized.join(known, sized["s"].eqNullSafe(small["s"]))
     block = F.pmod(F.col("h"), F.col("blocks"))
     rows = store(keyed_rows.select("row", "doc_id", "size", "h", "rank", block.alias("block")), "rows")
 
@@ -147,26 +150,34 @@ def draws(
     turned = store(turned.withColumn("group", F.floor(F.col("pos") / GROUP).cast("long")), "turned")
     group_order = Window.partitionBy("rank").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     groups = turned.groupBy("rank", "group").agg(F.sum("block_words").alias("group_words"))
-    groups = groups.withColumn("before", F.coalesce(F.sum("group_words").over(group_order), F.lit(0))).drop("group_words")
+    before = F.coalesce(F.sum("group_words").over(group_order), F.lit(0))
+    groups = groups.select("rank", "group", before.alias("before"))
     in_group = Window.partitionBy("rank", "group").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    placed = turned.withColumn("inside", F.coalesce(F.sum("block_words").over(in_group), F.lit(0))).join(groups, ["rank", "group"])
+    inside = F.coalesce(F.sum("block_words").over(in_group), F.lit(0))
+    placed = turned.withColumn("inside", inside).join(groups, ["rank", "group"])
     left = F.col("rest") - F.col("before") - F.col("inside")
     placed = store(placed.withColumn("left", F.greatest(F.lit(0), F.least(left, F.col("block_words")))), "placed")
 
     # a block that is drawn in part counts as a block of its source's quota
-    partial = placed.groupBy("rank").agg(F.coalesce(F.max(F.when(F.col("left") > 0, F.col("pos") + 1)), F.lit(0)).alias("partial"))
-    quota = plan.join(partial, "rank").select("rank", (F.col("passes") * F.col("blocks") + F.col("partial")).alias("quota"))
+    last_drawn = F.coalesce(F.max(F.when(F.col("left") > 0, F.col("pos") + 1)), F.lit(0))
+    partial = placed.groupBy("rank").agg(last_drawn.alias("partial"))
+    drawn_blocks = F.col("passes") * F.col("blocks") + F.col("partial")
+    quota = plan.join(partial, "rank").select("rank", drawn_blocks.alias("quota"))
     ends = shard_quotas(store(quota, "quota"), shards, seed)
     where = _with_sources(placed, ends, n_sources, "rank")
     shard_of = lambda at: F.size(F.filter("ends", lambda e: e <= at))
     turn = lambda p: (F.col("block") * _STRIDE + p * (seed + 7919)) % F.col("blocks")
-    full = F.when(F.col("passes") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1), lambda p: shard_of(p * F.col("blocks") + turn(p)))).otherwise(F.array().cast("array<int>"))
+    each_pass = F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)
+    full = F.when(
+        F.col("passes") > 0, F.transform(each_pass, lambda p: shard_of(p * F.col("blocks") + turn(p)))
+    ).otherwise(F.array().cast("array<int>"))
     last = shard_of(F.col("passes") * F.col("blocks") + F.col("pos"))
     blocks = where.select("rank", "block", "words", "passes", "left", full.alias("full"), last.alias("last"))
     target = plan.select("rank", "target")
     blocks = _with_sources(blocks, target, n_sources, "rank")
 
-    order = Window.partitionBy("rank", "block").orderBy("h", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy("rank", "block").orderBy("h", "doc_id", "size", "row")
+    order = in_block.rowsBetween(Window.unboundedPreceding, -1)
     drawn = rows.join(blocks, ["rank", "block"]).withColumn("ahead", F.coalesce(F.sum("size").over(order), F.lit(0)))
     part = F.greatest(F.lit(0), F.least(F.col("left") - F.col("ahead"), F.col("size")))
     return drawn.select(
@@ -189,7 +200,8 @@ def mixture(documents: DataFrame, seed: int = 0, **options) -> DataFrame:
     in the partitions. A last draw in part keeps the text up to its last taken word (``n_chars`` follows, if the
     table has it). Documents without words are never drawn in part; they follow their block in whole passes."""
     plan = store(draws(documents, seed=seed, **options).select("row", "h", "shards", "whole", "part"), "draws")
-    drawn = plan.select("row", "h", "whole", "part", F.size("shards").alias("times"), F.posexplode("shards").alias("turn", "shard"))
+    times = F.size("shards").alias("times")
+    drawn = plan.select("row", "h", "whole", "part", times, F.posexplode("shards").alias("turn", "shard"))
     rows = documents.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("all"))
     picked = rows.join(drawn, "row")
     cut = ~F.col("whole") & (F.col("turn") == F.col("times") - 1)

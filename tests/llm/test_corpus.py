@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__  # noqa: F401  (tasks get the package by value, patched settings included)
 from offerlens.llm import counting, exact, licenses, mixing, near, pieces, queries, suffixes, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, `row` string, slot int"
@@ -247,6 +248,21 @@ def test_repeated_spans(spark, monkeypatch, hot):
     assert expected == sorted((r.n_bytes, tuple((s.start, s.stop) for s in r.spans), r.kept_sha256) for r in got)
 
 
+def test_samples_do_not_depend_on_segments(monkeypatch):
+    rng = random.Random(8)
+    text = "".join(rng.choices("abc ", k=1500)).encode() + b"z" * 700
+
+    def owners():
+        at, first, last, seed = suffixes.Sampler()(text)
+        return {w: (a, s) for a, f, l, s in zip(at, first, last, seed) for w in range(f, l + 1)}
+
+    whole = owners()
+    assert sorted(whole) == list(range(len(text) - suffixes.LENGTH + 1))
+    assert all(w <= a <= w + suffixes.LENGTH - suffixes.SEED for w, (a, _) in whole.items())
+    monkeypatch.setattr(suffixes, "SEGMENT", 97)
+    assert owners() == whole
+
+
 def test_pieces_equal_the_library(spark, docs):
     import public_tokenizers
     import sentencepiece
