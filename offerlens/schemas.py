@@ -1,7 +1,8 @@
-"""Fixed schemas of the raw tables. Published column names are a data contract."""
+"""Schemas of the raw tables. Published column names are a data contract."""
 
 from pyspark.sql import types as T
 
+# Names and order of the published columns.
 RAW_OFFERS = T.StructType(
     [
         T.StructField("id", T.StringType()),

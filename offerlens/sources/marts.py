@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Names of the published marts.
 MARTS = (
     "demanda_tecnologias_mensual",
     "salarios_por_tecnologia",
