@@ -26,7 +26,7 @@ from offerlens.llm.common import keyed
 #: characters of a chunk, and of a batch that is scanned at once
 CHUNK, BATCH = 64, 2_000_000
 #: words whose arcs a task remembers
-ARCS = 400_000
+ARCS = 200_000
 # character classes; CUT2 and CUT3 are apostrophes that begin a contraction of two or three characters
 SPACE, LETTER, DIGIT, OTHER, CUT2, CUT3 = range(6)
 # states: between words, in letters, in other characters, one or two characters before a contraction's end

@@ -33,7 +33,7 @@ ORDER, GAP = 3, 0.7
 #: a power of a kernel is a kernel; this one keeps many faint resemblances from adding up to an insult
 POWER = 3
 #: toxic and other documents, and characters of a text, that training reads at most
-TOXIC, OTHER, CHARS = 2500, 7500, 20_000
+TOXIC, OTHER, CHARS = 2000, 6000, 20_000
 #: of so many toxic training documents, one is learned from with characters put in too
 APART = 4
 #: landmarks, lengths of their candidates, and the share of documents with one that must be toxic
@@ -47,7 +47,7 @@ PAIRS, LEAST = 4096, 0.02
 #: share of a landmark's own kernel below which a word is not looked at closer, and a window's extra characters
 FAINT, SLACK = 0.4, 2
 #: characters of a word that are looked at together, and words a task remembers
-WINDOW, WORDS = 32, 400_000
+WINDOW, WORDS = 32, 250_000
 #: folds of the identifiers; those of the first fold are never learned from
 FOLDS = 5
 _SENTENCE = re.compile(r"[.!?\n\r]+(?=\s|$)|\n")
@@ -192,52 +192,80 @@ class Words:
         return out
 
 
-def choose_landmarks(toxic: list[str], other: list[str]) -> list[str]:
-    """Pieces of words, chosen one by one: the one that most toxic documents have in words without an earlier one,
-    if it is pure enough, grown to the longest piece around it that nearly as many have."""
+def _words(text: str) -> set[str]:
+    return {c for w in set(text.split()) if len(c := cleaned(w)) >= LENGTHS[0]}
 
-    def words(text: str) -> set[str]:
-        return {c for w in set(text.split()) if len(c := cleaned(w)) >= LENGTHS[0]}
 
-    def parts(word: str) -> set[str]:
-        return {word[at : at + n] for n in LENGTHS for at in range(len(word) - n + 1)}
+def frequent_parts(words: Counter, least: int) -> Counter:
+    """Pieces of ``LENGTHS`` characters that words with a total count of ``least`` have, and those totals.
 
-    plain: Counter = Counter()
-    for text in other:
-        plain.update(words(text))
+    A piece can only be frequent if its two pieces of one character less are, so lengths are counted in turn."""
+    out: Counter = Counter()
+    active = {w: range(len(w) - LENGTHS[0] + 1) for w in words}
+    for n in LENGTHS:
+        count: Counter = Counter()
+        for w, starts in active.items():
+            for f in {w[at : at + n] for at in starts}:
+                count[f] += words[w]
+        often = {f for f, total in count.items() if total >= least}
+        out.update({f: count[f] for f in often})
+        left = {}
+        for w, starts in active.items():
+            good = {at for at in starts if w[at : at + n] in often}
+            if longer := [at for at in good if at + 1 in good]:
+                left[w] = longer
+        active = left
+    return out
+
+
+def choose_landmarks(toxic: list[str], other: list[str]) -> list[str]:
+    """Pieces of words, chosen one by one: the one that most toxic documents have in words without an earlier one,
+    if it is pure enough, grown to the longest piece around it that nearly as many have."""
     toxic = sorted(set(toxic))  # copies are one witness
     least = max(4, round(RARE * len(toxic)))
-    suspects = [(i, w) for i, text in enumerate(toxic) for w in sorted(words(text)) if w not in plain]
-    count: Counter = Counter()
-    for _, w in suspects:
-        count.update(parts(w))
-    often = {f for f, n in count.items() if n >= least}
-    wrong: Counter = Counter()
-    for w, n in plain.items():
-        for f in parts(w) & often:
-            wrong[f] += n
+    suspects: Counter = Counter()
+    for text in toxic:
+        suspects.update(_words(text))
+    for text in other:
+        for w in _words(text):
+            suspects.pop(w, None)
+    often = frequent_parts(suspects, least)
+    # what other documents have too often is struck off as soon as it is known
     scale = len(toxic) / max(1, len(other))
-    often = {f for f in often if count[f] >= PURE * (count[f] + scale * wrong[f])}
+    room = {f: n * (1 / PURE - 1) / scale for f, n in often.items()} if scale else {}
+    for text in other:
+        heads = {f[: LENGTHS[0]] for f in room}
+        for w in _words(text):
+            hits = [at for at in range(len(w) - LENGTHS[0] + 1) if w[at : at + LENGTHS[0]] in heads]
+            for f in {w[at : at + n] for at in hits for n in LENGTHS if at + n <= len(w)}:
+                if f in room:
+                    room[f] -= 1
+                    if room[f] < 0:
+                        del room[f]
+
+    def parts(word: str) -> set[str]:
+        return {f for n in LENGTHS for at in range(len(word) - n + 1) if (f := word[at : at + n]) in room}
+
+    kept = {w: found for w in suspects if (found := parts(w))}
+    places = [(i, w) for i, text in enumerate(toxic) for w in sorted(_words(text)) if w in kept]
     has: dict[str, set[int]] = {}
-    for at, (_, w) in enumerate(suspects):
-        for f in parts(w) & often:
+    for at, (_, w) in enumerate(places):
+        for f in kept[w]:
             has.setdefault(f, set()).add(at)
-    n_docs = lambda places: len({suspects[at][0] for at in places})
-    size = {f: n_docs(places) for f, places in has.items()}
+    n_docs = lambda where: len({places[at][0] for at in where})
+    size = {f: n for f, where in has.items() if (n := n_docs(where)) >= least}
     chosen: list[str] = []
     while size and len(chosen) < LANDMARKS:
         best = max(size, key=lambda f: (size[f], len(f), f))
         around = [f for f in size if best in f and size[f] >= GROW * size[best]]
         best = max(around, key=lambda f: (len(f), size[f], f))
         chosen.append(best)
-        gone = has[best]
-        touched = {f for at in gone for f in parts(suspects[at][1]) if f in has}
-        gone = set(gone)
-        for f in touched:
+        gone = set(has[best])
+        for f in {f for at in gone for f in kept[places[at][1]] if f in size}:
             has[f] -= gone
             size[f] = n_docs(has[f])
             if size[f] < least:
-                del has[f], size[f]
+                del size[f]
     return chosen
 
 
@@ -328,7 +356,7 @@ def train(toxic: list[str], other: list[str]) -> Model:
     between = (between / np.sqrt(np.outer(words.own, words.own))) ** POWER
     value, vector = np.linalg.eigh(between)
     project = vector / np.sqrt(np.maximum(value, 1e-2)) @ vector.T
-    good, bad = words.features(toxic), words.features(other)
+    good, bad = ([f for some in _portions(texts) for f in words.features(some)] for texts in (toxic, other))
     negative = np.concatenate([*(f[0] for f in bad), np.zeros((1, len(marks)))]) @ project
     # at first, toxic sentences are those that resemble a landmark closely
     weights = np.r_[np.linalg.solve(project, np.ones(len(marks))), -0.8]
@@ -363,11 +391,11 @@ def training_texts(documents: DataFrame, labels: DataFrame) -> tuple[list[str],
     return out[0], out[1]
 
 
-def _portions(column: pa.Array) -> Iterator[list[str]]:
-    """The texts in order, some million characters at a time."""
+def _portions(texts) -> Iterator[list[str]]:
+    """Texts, or strings of an Arrow column, in order, some million characters at a time."""
     held, size = [], 0
-    for text in column:
-        held.append(text.as_py() or "")
+    for text in texts:
+        held.append((text if isinstance(text, str) else text.as_py()) or "")
         size += len(held[-1])
         if size > 2_000_000:
             yield held
