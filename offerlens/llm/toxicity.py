@@ -181,6 +181,8 @@ class Words:
     def features(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text, a row for each sentence with a word that resembles a landmark, and one for each such
         word."""
+        if not self.landmarks:
+            return [(np.empty((0, 0)), np.empty((0, 0))) for _ in texts]
         split = [sentences(t) for t in texts]
         self.learn([w for text in split for words in text for w in words])
         known = self.seen.get
@@ -379,16 +381,21 @@ def held_out(doc_id) -> F.Column:
 
 
 def training_texts(documents: DataFrame, labels: DataFrame) -> tuple[list[str], list[str]]:
-    """Texts of toxic and of other labelled documents outside the held-out fold: the first ``TOXIC`` and ``OTHER``
-    by a hash of the identifier, of texts up to ``CHARS`` characters."""
-    marked = labels.select(pick(labels, "doc_id", "long"), pick(labels, "toxic", "int")).where("toxic IN (0, 1)")
+    """Texts of toxic and of other labelled documents outside the held-out fold: those of the first ``TOXIC`` and
+    ``OTHER`` labelled identifiers by a hash, texts of more than ``CHARS`` characters left out.
+
+    The sample of identifiers has a bounded size, so it is sent to the documents and their texts stay in place; of
+    an identifier's several texts the smallest counts."""
+    marked = labels.select(pick(labels, "doc_id", "long"), pick(labels, "toxic", "int"))
+    marked = marked.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).distinct()
+    first = lambda kind, most: (
+        marked.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    )
+    sample = first(1, TOXIC).unionByName(first(0, OTHER))
     texts = documents.select(pick(documents, "doc_id", "long"), pick(documents, "text", "string"))
-    usable = texts.where(~held_out(F.col("doc_id")) & F.length("text").between(1, CHARS)).join(marked.distinct(), "doc_id")
-    out = []
-    for kind, most in ((1, TOXIC), (0, OTHER)):
-        rows = usable.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(most)
-        out.append([row.text for row in rows.select("text").collect()])
-    return out[0], out[1]
+    usable = texts.where(F.length("text").between(1, CHARS)).join(F.broadcast(sample), "doc_id")
+    rows = usable.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("doc_id", "toxic").collect()
+    return [r.text for r in rows if r.toxic == 1], [r.text for r in rows if r.toxic == 0]
 
 
 def _portions(texts) -> Iterator[list[str]]:
