@@ -36,7 +36,7 @@ KIN = 40
 #: sets and shingles of a block, and columns that are compared at once
 SETS, SHINGLES, COLUMNS = 256, 100_000, 4096
 #: words whose hashes a task remembers
-WORDS = 300_000
+WORDS = 150_000
 #: shingles that are hashed at once
 PART = 4096
 #: bytes of a shingle's hash in the sets that are compared
@@ -113,6 +113,7 @@ def _sketch(size: int, side: int, rows: int):
             yield pa.record_batch(
                 [pa.array(c, k) for c, k in zip(cols, kinds)], names=["row", "doc_id", "n", "whole", "a", "b"]
             )
+        shingles.words.clear()  # the worker lives on
 
     return run
 
@@ -211,6 +212,7 @@ def _sets(size: int):
                 yield pa.record_batch(
                     [batch.column("row").slice(start, 500), pa.array(part, pa.binary())], names=["v", "set"]
                 )
+        shingles.words.clear()
 
     return run
 
