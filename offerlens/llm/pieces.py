@@ -15,7 +15,6 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +24,10 @@ from offerlens.llm.common import keyed
 
 SPACE = "▁"
 #: segments that a task remembers
-SEGMENTS = 400_000
+SEGMENTS = 300_000
 #: rows of an output batch, and characters after which a batch is sent earlier
 ROWS, CHARS = 256, 4_000_000
-_ENCODED = "row long, doc_id long, ids array<int>, starts array<int>, n_bytes int"
+_ENCODED = "row long, doc_id long, ids array<int>, starts array<int>, n_bytes int, decoded string"
 
 
 def _each_byte(error: UnicodeError):
@@ -137,37 +136,35 @@ class Pieces:
             self.normal_bytes[i] = len(p.encode())
         for i in self.control:
             self.bytes[i] = self.normal_bytes[i] = 0
-        self.seen: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.seen: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def _merged(self, text: str) -> tuple[int, ...]:
+    def _merged(self, text: str) -> list[int]:
         """Byte-pair merges by best score, leftmost first."""
         parts: list[str] = list(text)
         if len(parts) > 48:
             return self._merged_long(parts)
-        scores = self.scores
-        while len(parts) > 1:
-            best, at = None, 0
-            last = parts[0]
-            for i, part in enumerate(parts[1:]):
-                score = scores.get(last + part)
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-                last = part
-            if best is None:
-                break
+        score, none = self.scores.get, -np.inf
+        pairs = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := max(pairs)) > none:
+            at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = score(parts[at - 1] + parts[at], none)
+            if at < len(pairs):
+                pairs[at] = score(parts[at] + parts[at + 1], none)
         return self._numbered(parts)
 
-    def _numbered(self, parts: list[str]) -> tuple[int, ...]:
+    def _numbered(self, parts: list[str]) -> list[int]:
         out: list[int] = []
         for part in parts:
             if part:
                 known = self.ids.get(part)
                 out.extend([known] if known is not None else [self.byte[b] for b in part.encode()])
-        return tuple(out)
+        return out
 
-    def _merged_long(self, parts: list[str]) -> tuple[int, ...]:
+    def _merged_long(self, parts: list[str]) -> list[int]:
         """The same with a queue, in time that grows little faster than the text."""
         n = len(parts)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -191,23 +188,23 @@ class Pieces:
             offer(i, right[i])
         return self._numbered(parts)
 
-    def _segment(self, text: str) -> tuple[int, ...]:
-        """Ids of a run of spaces and what follows it, cut where no piece joins."""
+    def _segment(self, text: str) -> bytes:
+        """Ids, 32 bits each, of a run of spaces and what follows it, cut where no piece joins."""
         cuts = [0, *(i for i in range(1, len(text)) if text[i - 1 : i + 1] not in self.joins), len(text)]
-        out: list[int] = []
+        out = []
         for a, b in zip(cuts, cuts[1:]):
             part = text[a:b]
             ids = self.seen.get(part)
             if ids is None:
-                ids = self._merged(part)
+                ids = np.array(self._merged(part), np.int32).tobytes()
                 if len(part) < 64:
-                    if len(self.seen) >= SEGMENTS:
+                    if len(self.seen) >= SEGMENTS // 2:
                         self.seen.clear()
                     self.seen[part] = ids
-            out.extend(ids)
-        return tuple(out)
+            out.append(ids)
+        return b"".join(out)
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         ids = self._segment(SPACE + word)
         if len(word) < 64:
             if len(self.words) >= SEGMENTS:
@@ -215,23 +212,27 @@ class Pieces:
             self.words[word] = ids
         return ids
 
-    def encode(self, text: str) -> tuple[list[int], np.ndarray]:
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids with the end id, and the original byte at which each begins (a piece ends where the next begins;
         the space put before the text is empty). An empty text has the end id only."""
         raw = text.encode()
         if not raw:
-            return [self.eos], np.zeros(1, np.int64)
+            return np.array([self.eos], np.int32), np.zeros(1, np.int64)
+        end = np.int32(self.eos).tobytes()
         plain = not self.map.units and SPACE not in text
         if plain and self.dummy and text[0] != " " and text[-1] != " " and "  " not in text:
-            known = self.words
-            ids = list(chain.from_iterable(known[w] if w in known else self._word(w) for w in text.split(" ")))
+            words = text.split(" ")
+            found = list(map(self.words.get, words))
+            if None in found:
+                found = [self._word(w) if f is None else f for w, f in zip(words, found)]
         else:
             mapped = raw if plain else self.map.normalise(raw)[0]
             spaced = (SPACE if self.dummy else "") + mapped.decode().replace(" ", SPACE)
-            ids = list(chain.from_iterable(map(self._segment, re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", spaced))))
-        ids.append(self.eos)
+            found = list(map(self._segment, re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", spaced)))
+        ids = np.frombuffer(b"".join([*found, end]), np.int32)
         if plain:
-            starts = np.cumsum(self.bytes[ids]) - self.bytes[ids]
+            width = self.bytes[ids]
+            starts = np.cumsum(width) - width
             return ids, np.maximum(starts - 1, 0) if self.dummy else starts
         mapped, source = self.map.normalise(raw)
         # a space becomes the three bytes of the space symbol
@@ -242,7 +243,7 @@ class Pieces:
     def decode(self, ids: list[int]) -> str:
         """The text of ids; control ids are nothing, and an invalid byte is U+FFFD."""
         first = next((i for i in ids if i not in self.control), None)
-        data = b"".join(map(self.surface.__getitem__, (i for i in ids if i not in self.control)))
+        data = b"".join(map(self.surface.__getitem__, ids))  # control ids have no surface
         if self.dummy and first in self.starts_space:
             data = data[1:]
         return data.decode("utf-8", "each-byte")
@@ -262,11 +263,12 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, weight) -> Iterator[pa.Re
 
 
 def encode(documents: DataFrame, model: bytes) -> DataFrame:
-    """``(row, doc_id, ids, starts, n_bytes)``: one row per document, of its whole text; a null text counts as
-    empty. Piece ``i`` spans the original UTF-8 bytes from ``starts[i]`` to ``starts[i + 1]`` or ``n_bytes``."""
+    """``(row, doc_id, ids, starts, n_bytes, decoded)``: one row per document, of its whole text; a null text counts
+    as empty. Piece ``i`` spans the original UTF-8 bytes from ``starts[i]`` to ``starts[i + 1]`` or ``n_bytes``;
+    ``decoded`` is the text that the ids decode to."""
     schema = pa.schema(
         [("row", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("starts", pa.list_(pa.int32())),
-         ("n_bytes", pa.int32())]
+         ("n_bytes", pa.int32()), ("decoded", pa.string())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,15 +280,20 @@ def encode(documents: DataFrame, model: bytes) -> DataFrame:
                 for row, doc, text in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), texts):
                     text = text.as_py() or ""
                     ids, starts = pieces.encode(text)
-                    yield row, doc, np.array(ids, np.int32), starts.astype(np.int32), len(text.encode())
+                    size = len(text.encode())
+                    yield row, doc, ids, starts.astype(np.int32), size, pieces.decode(ids.tolist())
 
-        yield from _batches(rows(), schema, lambda r: 8 * len(r[2]))
+        try:
+            yield from _batches(rows(), schema, lambda r: 8 * len(r[2]) + r[4])
+        finally:  # the worker lives on
+            pieces.words.clear()
+            pieces.seen.clear()
 
     return keyed(documents).mapInArrow(run, _ENCODED)
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
-    """``encoded`` with ``decoded``, the text of its ``ids``, in place of ``starts`` and ``n_bytes``."""
+    """``(row, doc_id, ids, decoded)``: the texts of ids that are stored already."""
     schema = pa.schema(
         [("row", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
     )

@@ -55,8 +55,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def piece_digests(documents: DataFrame, file: str = "piece_bpe_32k.model") -> DataFrame:
     """Number and digest of each document's ids, and the digest of the text they decode to."""
-    model = tokenizer_file(file)
-    out = pieces.decode(pieces.encode(documents, model), model)
+    out = pieces.encode(documents, tokenizer_file(file))
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
