@@ -38,8 +38,8 @@ TOXIC, OTHER, CHARS = 2000, 6000, 20_000
 APART = 4
 #: landmarks, lengths of their candidates, and the share of documents with one that must be toxic
 LANDMARKS, LENGTHS, PURE = 48, range(4, 13), 0.95
-#: share of the toxic documents that a landmark needs
-RARE = 0.02
+#: distinct toxic documents that a landmark needs
+WITNESSES = 4
 #: share of a landmark's documents that a longer one must have to replace it
 GROW = 0.8
 #: pairs that are evaluated together, and the smallest kernel value that counts as a resemblance
@@ -224,17 +224,20 @@ def choose_landmarks(toxic: list[str], other: list[str]) -> list[str]:
     """Pieces of words, chosen one by one: the one that most toxic documents have in words without an earlier one,
     if it is pure enough, grown to the longest piece around it that nearly as many have."""
     toxic = sorted(set(toxic))  # copies are one witness
-    least = max(4, round(RARE * len(toxic)))
+    least = WITNESSES
     suspects: Counter = Counter()
     for text in toxic:
         suspects.update(_words(text))
+    # for whole words as for pieces, the share of documents decides: a word may stand in some that quote it
+    scale = len(toxic) / max(1, len(other))
+    spare = (1 / PURE - 1) / scale if scale else 0.0
+    quoted: Counter = Counter()
     for text in other:
-        for w in _words(text):
-            suspects.pop(w, None)
+        quoted.update(w for w in _words(text) if w in suspects)
+    suspects = Counter({w: n for w, n in suspects.items() if quoted[w] <= n * spare})
     often = frequent_parts(suspects, least)
     # what other documents have too often is struck off as soon as it is known
-    scale = len(toxic) / max(1, len(other))
-    room = {f: n * (1 / PURE - 1) / scale for f, n in often.items()} if scale else {}
+    room = {f: n * spare for f, n in often.items()}
     for text in other:
         heads = {f[: LENGTHS[0]] for f in room}
         for w in _words(text):

@@ -434,3 +434,16 @@ def test_empty_tables(empty, spark):
         near.near_duplicates(empty),
     ):
         assert found.count() == 0
+
+
+def test_landmarks_survive_quotations_and_a_long_tail():
+    """Other texts quote every frequent insult twice; each of six more insults stands in 1 % of the toxic texts."""
+    rng = random.Random(4)
+    often = ["blockhead", "numpty", "dunderpate", "wazzock", "pillock"]
+    seldom = ["fopdoodle", "gobermouch", "clodpoll", "muckspout", "zounderkite", "lubberwort"]
+    words = lambda: ["".join(rng.choices("aeinorst", k=rng.randrange(2, 9))) for _ in range(30)]
+    toxic = [" ".join([*words(), seldom[i // 4] if i < 24 else often[i % 5]]) for i in range(400)]
+    other = [" ".join([*words(), *(often[i % 5 : i % 5 + 1] if i < 10 else [])]) for i in range(800)]
+    chosen = [m.strip("^$") for m in toxicity.choose_landmarks(toxic, other)]
+    assert all(any(m in w for m in chosen) for w in often + seldom)
+    assert not any(m in w for m in toxicity.choose_landmarks(toxic, other + toxic) for w in often + seldom)
