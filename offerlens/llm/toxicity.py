@@ -4,7 +4,9 @@ The kernel counts common subsequences of ``ORDER`` characters, each weighted by
 characters it spans, so an insult with characters put in between still matches. Landmarks are short strings that
 the labelled sentences themselves suggest: pieces of words that many toxic documents have and others do not. A
 sentence's kernel value with a landmark is that of its best word, relative to the landmark with itself; the
-landmarks' kernel matrix turns these values into Nyström features, and a linear machine separates them.
+landmarks' kernel matrix turns these values into Nyström features, and a linear machine separates them. Where a
+word holds all of a landmark's characters in order within less than twice its length, the value is at least the
+landmark's kernel with those characters alone: what was put in between widens their spans and counts no more.
 
 Labels are on documents, so training alternates between picking each toxic document's most toxic sentences and
 fitting; all sentences of other documents count as they are. A document's score comes from its worst sentence
@@ -34,7 +36,7 @@ ORDER, GAP = 3, 0.7
 POWER = 3
 #: toxic and other documents, and characters of a text, that training reads at most
 TOXIC, OTHER, CHARS = 2000, 6000, 20_000
-#: of so many toxic training documents, one is learned from with characters put in too
+#: of so many toxic training documents, one is learned from with characters put in too, in one gap and in all
 APART = 4
 #: landmarks, lengths of their candidates, and the share of documents with one that must be toxic
 LANDMARKS, LENGTHS, PURE = 48, range(4, 13), 0.95
@@ -46,8 +48,9 @@ GROW = 0.8
 PAIRS, LEAST = 4096, 0.02
 #: share of a landmark's own kernel below which a word is not looked at closer, and a window's extra characters
 FAINT, SLACK = 0.4, 2
-#: characters of a word that are looked at together, and words a task remembers
-WINDOW, WORDS = 32, 250_000
+#: characters of a word that are looked at together, those that two such windows share (twice the longest landmark),
+#: and words a task remembers
+WINDOW, SHARED, WORDS = 32, 24, 250_000
 #: folds of the identifiers; those of the first fold are never learned from
 FOLDS = 5
 _SENTENCE = re.compile(r"[.!?\n\r]+(?=\s|$)|\n")
@@ -100,6 +103,35 @@ def _letters(codes: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(np.where(codes > 0, bits, np.uint64(0)), axis=1)
 
 
+def embedded(word: str, mark: str) -> str:
+    """The shortest stretch of a word, of less than twice the landmark's length, that has the landmark's characters
+    in order; other characters are blanks that match nothing. Empty, if there is none. What is put in stands
+    between letters, so a mark of a word's end is next to its letter."""
+    core, low, top = mark.strip("^$"), mark[0] == "^", mark[-1] == "$"
+    if low and word[:2] != mark[:2] or top and word[-2:] != mark[-2:]:
+        return ""
+    best: list[int] = []
+    end = len(word) - 1 - top
+    start = 1 if low else word.find(core[0])
+    while start >= 0:
+        stop, places = min(start + 2 * len(core) - 1, end + 1), [start]
+        for c in core[1:-1] if top else core[1:]:
+            at = word.find(c, places[-1] + 1, stop - top)
+            if at < 0:
+                break
+            places.append(at)
+        else:
+            if top and places[-1] < end < stop:
+                places.append(end)
+            if len(places) == len(core) and (not best or places[-1] - start < best[-1] - best[0]):
+                best = places
+        start = -1 if low else word.find(core[0], start + 1)
+    if not best:
+        return ""
+    best = [*range(low), *best, *range(len(word) - top, len(word))]
+    return "".join(word[i] if i in best else "\0" for i in range(best[0], best[-1] + 1))
+
+
 class Words:
     """Kernel values of words with the landmarks. A word that lacks two of a landmark's characters, or one of four,
     has none."""
@@ -111,7 +143,7 @@ class Words:
         self.own = subsequence_kernel(_codes(landmarks, width, 0), self.codes) if landmarks else np.empty(0)
         self.letters = _letters(_codes(landmarks, width, 0))
         distinct = np.bitwise_count(self.letters).astype(int)
-        self.needed = distinct - (distinct > 4)
+        self.needed, self.distinct = distinct - (distinct > 4), distinct
         self.seen: dict[str, np.ndarray | None] = {}
 
     def learn(self, raw: list[str]) -> None:
@@ -125,20 +157,22 @@ class Words:
         for w in new:
             clean = cleaned(w)
             # a long word is looked at through overlapping windows
-            for at in range(0, max(1, len(clean) - WINDOW // 2), WINDOW // 2):
+            for at in range(0, max(1, len(clean) - SHARED), WINDOW - SHARED):
                 if len(piece := clean[at : at + WINDOW]) >= ORDER:
                     pieces.append(piece)
                     owner.append(w)
         if not pieces or not self.landmarks:
             return
         lengths = np.array(list(map(len, pieces)))
-        found = []
+        found, whole = [], []
         for low, top in ((0, 8), (8, 12), (12, 16), (16, 24), (24, WINDOW)):
             mine = np.flatnonzero((lengths > low) & (lengths <= top))
             for start in range(0, len(mine), 20_000):
                 some = mine[start : start + 20_000]
                 codes = _codes([pieces[i] for i in some], top, 0)
                 have = np.bitwise_count(_letters(codes)[:, None] & self.letters[None, :])
+                word, mark = np.nonzero(have >= self.distinct[None, :])
+                whole += zip((some[word]).tolist(), mark.tolist())
                 word, mark = np.nonzero(have >= self.needed[None, :])
                 for at in range(0, len(word), PAIRS):
                     w, m = word[at : at + PAIRS], mark[at : at + PAIRS]
@@ -149,6 +183,10 @@ class Words:
         near = value >= FAINT * self.own[mark]
         word, mark = word[near], mark[near]
         value = self._aligned([pieces[i] for i in word], mark) ** POWER
+        apart = [(i, m, e) for i, m in whole if (e := embedded(pieces[i], self.landmarks[m]))]
+        word = np.r_[word, [i for i, _, _ in apart]].astype(int)
+        mark = np.r_[mark, marks := np.array([m for _, m, _ in apart], int)]
+        value = np.r_[value, self._inside([e for _, _, e in apart], marks)]
         for i, m, v in zip(word.tolist(), mark.tolist(), value.tolist()):
             if v > LEAST:
                 row = self.seen[owner[i]]
@@ -178,6 +216,20 @@ class Words:
             np.maximum.at(out, mine, np.minimum(value, 1.0))
         return out
 
+    def _inside(self, held: list[str], marks: np.ndarray) -> np.ndarray:
+        """The normalised kernel of each ``embedded`` landmark with the landmark, times ``GAP`` to the power of the
+        characters put in for each of its gaps."""
+        out = np.zeros(len(held))
+        for start in range(0, len(held), PAIRS):
+            some, m = held[start : start + PAIRS], marks[start : start + PAIRS]
+            codes = _codes(some, max(map(len, some)), 0)
+            both = subsequence_kernel(codes, self.codes[m])
+            alone = subsequence_kernel(codes, np.where(codes == 0, -1, codes))
+            gaps = np.array([e.count("\0") / (len(e.strip("^$").replace("\0", "")) - 1) for e in some])
+            value = both / np.sqrt(np.maximum(alone, 1e-12) * self.own[m]) * GAP**gaps
+            out[start : start + PAIRS] = np.minimum(value, 1.0)
+        return out
+
     def features(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text, a row for each sentence with a word that resembles a landmark, and one for each such
         word."""
@@ -333,11 +385,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(margins @ self.logistic[:2] + self.logistic[2], -30, 30)))
 
 
-def spelled_apart(text: str, landmarks: list[str]) -> str:
-    """``text`` with one more letter inside every landmark that one of its words has."""
+def spelled_apart(text: str, landmarks: list[str], gaps: bool) -> str:
+    """``text`` with one more letter inside every landmark that one of its words has, or in each of its ``gaps``."""
 
     def changed(match: re.Match) -> str:
         word = match.group()
+        if gaps:
+            return "xqkz"[zlib.crc32(word[::-1].encode()) % 4].join(word)
         at = 1 + zlib.crc32(word.encode()) % (len(word) - 1)
         return word[:at] + "xqkz"[zlib.crc32(word[::-1].encode()) % 4] + word[at:]
 
@@ -353,7 +407,7 @@ def train(toxic: list[str], other: list[str]) -> Model:
         odds = np.log(share / (1 - share)) if 0 < share < 1 else (30.0 if share else -30.0)
         return Model([], np.zeros((0, 0)), np.zeros(1), np.array([0.0, 0.0, odds]))
     # the same sentences with characters put in, as the writer of an insult may do
-    toxic = [*toxic, *(spelled_apart(t, marks) for t in toxic[::APART])]
+    toxic = [*toxic, *(spelled_apart(t, marks, g) for t in toxic[::APART] for g in (False, True))]
     words = Words(marks)
     width = max(map(len, marks))
     i, j = np.indices((len(marks), len(marks))).reshape(2, -1)

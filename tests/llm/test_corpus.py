@@ -447,3 +447,24 @@ def test_landmarks_survive_quotations_and_a_long_tail():
     chosen = [m.strip("^$") for m in toxicity.choose_landmarks(toxic, other)]
     assert all(any(m in w for m in chosen) for w in often + seldom)
     assert not any(m in w for m in toxicity.choose_landmarks(toxic, other + toxic) for w in often + seldom)
+
+
+def test_insults_with_a_letter_in_every_gap(labelled, spark):
+    """And with several letters in some gaps, digits, or inside long words; other words stay clean."""
+    documents, labels = labelled
+    apart = [
+        "you bxlxoxcxkxhxexaxd and wxaxzxzxoxcxk",
+        "you nzuzmzpztzy and p1i2l3l4o5c6k",
+        "a dqunqderxpatqe and pixlqlozck",
+        "a p-x-i-x-l-x-l-x-o-x-c-x-k and dxuxnxdxexrxpxaxtxe",
+    ]
+    clean = ["nothing but ordinary rain and a loosened stone", "unblocked heads, panted pillows"]
+    more = [(9100 + i, t) for i, t in enumerate([*apart, *clean])]
+    rows = documents.unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(rows, labels).collect() if r.doc_id >= 9100}
+    assert [got[i] for i, _ in more] == [1] * len(apart) + [0] * len(clean)
+    far = ["^" + "x" * 50 + "y".join("numpty") + "x" * n + "$" for n in range(40)]
+    assert all(toxicity.embedded(w, "numpty").replace("\0", "") == "numpty" for w in far)
+    words = toxicity.Words(["numpty"])
+    words.learn([w.strip("^$") for w in far])
+    assert all(words.seen[w.strip("^$")][0] > 0.5 for w in far)
