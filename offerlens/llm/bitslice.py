@@ -23,43 +23,51 @@ from offerlens.llm.common import pick, store
 
 #: rows of a block, queries of a chunk, and (block, group) keys to make at least where the queries suffice
 BLOCK, CHUNK, KEYS = 65_536, 128, 48
-#: components beyond this take no part: their products would not fit a long
+#: vectors with a floor beyond this are indexed apart, in smaller blocks of as many slices as they need
 LARGEST = 1 << 24
-_INDEX = "block int, rows int, base long, dims int, bits int, ids binary, planes binary"
+_INDEX = "block int, rows int, base string, dims int, bits int, ids binary, planes binary"
+_FOUND = "number long, query_id long, vec_id long, score long, side int, wide binary"
+_LONG = (1 << 63) - 1
 
 
 def quantised(embeddings: DataFrame, scale: int = 64) -> DataFrame:
-    """``(vec_id, v)`` with ``v = floor(scale * x)``. Vectors that are null, hold null or non-finite components,
-    or components of ``LARGEST`` or more, and rows without vec_id take no part."""
+    """``(vec_id, v)`` with ``v = scale * x``, floored when it is read. Vectors that are null or hold null or
+    non-finite components, and rows without vec_id, take no part."""
     value = pick(embeddings, "embedding", "array<double>", "x")
     whole = embeddings.select(pick(embeddings, "vec_id", "long"), value).where("vec_id IS NOT NULL AND x IS NOT NULL")
 
     def usable(x: Column) -> Column:
-        return F.coalesce(F.abs(x) < float(LARGEST) / scale, F.lit(False)) & ~F.isnan(x)
+        return F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x)
 
-    return whole.where(F.forall("x", usable)).select(
-        "vec_id", F.transform("x", lambda x: F.floor(x * scale).cast("int")).alias("v")
-    )
+    return whole.where(F.forall("x", usable)).select("vec_id", F.transform("x", lambda x: x * scale).alias("v"))
+
+
+def floors(values: np.ndarray) -> np.ndarray:
+    """Whole numbers below ``values``: longs, or Python's integers where one is large."""
+    low = np.floor(np.asarray(values, float))
+    if np.abs(low).max(initial=0) < 1 << 53:
+        return low.astype(np.int64)
+    return np.array([int(x) for x in low.ravel().tolist()], object).reshape(low.shape)
 
 
 def _matrix(vectors: list[np.ndarray]) -> np.ndarray:
-    """Vectors as rows; shorter ones end in zeros."""
-    out = np.zeros((len(vectors), max(map(len, vectors), default=0)), np.int64)
+    """Floors of vectors as rows; shorter ones end in zeros."""
+    out = np.zeros((len(vectors), max(map(len, vectors), default=0)))
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
-    return out
+    return floors(out)
 
 
 def slices(values: np.ndarray) -> tuple[int, int, np.ndarray]:
     """``(base, bits, planes)``: plane ``[d, j]`` is the bitmap of bit ``j`` of attribute ``d`` less ``base``."""
     base = int(values.min(initial=0))
-    shifted = (values - base).astype(np.uint64)
+    shifted = values - base
     bits = max(1, int(shifted.max(initial=0)).bit_length())
     rows, dims = values.shape
     words = -(-rows // 64)
     planes = np.zeros((dims, bits, words * 8), np.uint8)
     for j in range(bits):
-        bit = (shifted >> np.uint64(j) & np.uint64(1)).astype(np.uint8).T
+        bit = (shifted >> j & 1).astype(np.uint8).T
         packed = np.packbits(bit, axis=1, bitorder="little")
         planes[:, j, : packed.shape[1]] = packed
     return base, bits, planes.view(np.uint64)
@@ -73,19 +81,24 @@ def _index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         values = _matrix([vectors[i] for i in order])
         base, bits, planes = slices(values)
         return pd.DataFrame(
-            {"block": [block], "rows": [len(ids)], "base": [base], "dims": [values.shape[1]], "bits": [bits],
+            {"block": [block], "rows": [len(ids)], "base": [str(base)], "dims": [values.shape[1]], "bits": [bits],
              "ids": [ids[order].tobytes()], "planes": [planes.tobytes()]}
         )
 
-    ids, vectors = [], []
+    # large values apart, so that they widen no other row's slices
+    held = {False: ([], []), True: ([], [])}
     for batch in batches:
-        ids += batch["vec_id"].tolist()
-        vectors += list(batch["v"])
-        while len(ids) >= BLOCK:
-            yield built(np.array(ids[:BLOCK], np.int64), vectors[:BLOCK])
-            ids, vectors = ids[BLOCK:], vectors[BLOCK:]
-    if ids:
-        yield built(np.array(ids, np.int64), vectors)
+        for i, v in zip(batch["vec_id"].tolist(), batch["v"]):
+            wide = bool(np.abs(v).max(initial=0) >= LARGEST)
+            ids, vectors = held[wide]
+            ids.append(i)
+            vectors.append(v)
+            if len(ids) >= (max(1, BLOCK // 16) if wide else BLOCK):
+                yield built(np.array(ids, np.int64), vectors)
+                held[wide] = [], []
+    for ids, vectors in held.values():
+        if ids:
+            yield built(np.array(ids, np.int64), vectors)
 
 
 def added(levels: list[np.ndarray], words: int) -> np.ndarray:
@@ -135,13 +148,13 @@ def best(scores: np.ndarray, among: np.ndarray, k: int) -> np.ndarray:
 def search(query: np.ndarray, own: int, base: int, planes: np.ndarray, ids: np.ndarray, k: int):
     """``(ids, scores)`` of a block's best rows for one query."""
     dims, bits, words = planes.shape
-    q = query[:dims].astype(np.int64)
+    q = floors(query)[:dims]
     size = np.abs(q)
     top = int(size.max(initial=0)).bit_length()
     levels = [[] for _ in range(top + bits)]
     for i in range(top):
         for sign, flip in ((1, False), (-1, True)):
-            which = np.flatnonzero((size >> i & 1).astype(bool) & (np.sign(q) == sign))
+            which = np.flatnonzero((size >> i & 1).astype(bool) & (q * sign > 0))
             if len(which):
                 for j in range(bits):
                     picked = planes[which, j]
@@ -153,12 +166,28 @@ def search(query: np.ndarray, own: int, base: int, planes: np.ndarray, ids: np.n
     among[: len(marks)] = marks
     at = best(total, among.view(np.uint64), k)
     word, bit = at // 64, (at % 64).astype(np.uint64)
-    found = np.zeros(len(at), np.int64)
-    for i, plane in enumerate(total):
-        found += (plane[word] >> bit & np.uint64(1)).astype(np.int64) << i
     # what complements and the base have added or left out
-    found += base * int(q.sum()) - int(size[q < 0].sum()) * ((1 << bits) - 1)
-    return ids[at], found
+    off = base * sum(q.tolist()) - sum(size[q < 0].tolist()) * ((1 << bits) - 1)
+    found = np.zeros(len(at), np.int64 if len(total) < 62 and abs(off) < 1 << 62 else object)
+    for i, plane in enumerate(total):
+        found += (plane[word] >> bit & np.uint64(1)).astype(found.dtype) << i
+    return ids[at], found + off
+
+
+def _ordered(score: int) -> bytes:
+    """Bytes in the order of the scores beyond a long of one sign."""
+    size = abs(score)
+    n = -(-size.bit_length() // 8)
+    key = n.to_bytes(4, "big") + size.to_bytes(n, "big")
+    return key if score > 0 else bytes(255 - x for x in key)
+
+
+def _answers(number: int, own: int, ids: np.ndarray, scores: np.ndarray) -> pd.DataFrame:
+    """Rows of ``_FOUND``: a score beyond a long is null, and its side and bytes have its order."""
+    side = [(x > _LONG) - (x < -_LONG - 1) for x in scores.tolist()]
+    wide = [_ordered(int(x)) if s else None for x, s in zip(scores.tolist(), side)]
+    score = pd.array([None if s else int(x) for x, s in zip(scores.tolist(), side)], "Int64")
+    return pd.DataFrame({"number": number, "query_id": own, "vec_id": ids, "score": score, "side": side, "wide": wide})
 
 
 def _search(k: int):
@@ -169,10 +198,10 @@ def _search(k: int):
                 planes = np.frombuffer(row.planes, np.uint64).reshape(row.dims, row.bits, -1) if row.dims else np.zeros((0, 1, -(-len(ids) // 64)), np.uint64)
                 out = []
                 for number, own, vector in zip(row.numbers, row.queries, row.vectors):
-                    found, score = search(np.asarray(vector), own, row.base, planes, ids, k)
-                    out.append(pd.DataFrame({"number": number, "query_id": own, "vec_id": found, "score": score}))
+                    found, score = search(np.asarray(vector), own, int(row.base), planes, ids, k)
+                    out.append(_answers(number, own, found, score))
                 if out:
-                    yield pd.concat(out).astype({"number": "int64", "query_id": "int64"})
+                    yield pd.concat(out).astype({"number": "int64", "query_id": "int64", "side": "int32"})
 
     return run
 
@@ -182,7 +211,8 @@ def top_k(embeddings: DataFrame, every: int = 20, k: int = 20, scale: int = 64)
     with another vec_id and the largest integer inner product, ties to smaller vec_id; all, if fewer.
 
     Every usable row is indexed and every query meets every block. Repeated rows are candidates, and queries, of
-    their own. A shorter vector counts as ending in zeros. An empty table has no rows."""
+    their own. A shorter vector counts as ending in zeros. Ranks are exact for finite components of any size; a score that
+    does not fit a long is null. An empty table has no rows."""
     spark = embeddings.sparkSession
     rows = store(quantised(embeddings, scale), "quantised")
     n = rows.count()
@@ -206,7 +236,7 @@ def top_k(embeddings: DataFrame, every: int = 20, k: int = 20, scale: int = 64)
     )
     dealt = index.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
     pairs = dealt.join(chunks, ["block", "group"])
-    answers = pairs.drop("block", "group").mapInPandas(_search(k), "number long, query_id long, vec_id long, score long")
-    order = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
+    answers = pairs.drop("block", "group").mapInPandas(_search(k), _FOUND)
+    order = Window.partitionBy("number").orderBy(F.desc("side"), F.desc("score"), F.desc("wide"), "vec_id")
     ranked = answers.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -49,6 +49,20 @@ def test_top_k(spark, monkeypatch):
     assert bitslice.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_of_large_components(spark, monkeypatch):
+    """Beyond what a slice, a long and a double's whole numbers hold; only scores beyond a long are null."""
+    monkeypatch.setattr(bitslice, "BLOCK", 64)
+    rng = random.Random(5)
+    vectors = [(i, [rng.gauss(0, 0.3) for _ in range(6)]) for i in range(120)]
+    for n, size in enumerate([262144.0, 3e5, 2.0**31, 1e10, 1e17, 3e30, 1e38]):
+        vectors += [(200 + 10 * n + j, [rng.choice([-1, 1]) * size * rng.random() for _ in range(6)]) for j in range(6)]
+    single = [(i, [float(np.float32(x)) for x in v]) for i, v in vectors]
+    df = spark.createDataFrame(single, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in bitslice.top_k(df, every=10, k=9).collect())
+    wanted = [(*r, s if abs(s) < 2**63 else None) for *r, s in brute_top_k(single, 10, 9)]
+    assert got == wanted and {s is None for *_, s in got} == {True, False}
+
+
 def test_carry_save_adder_equals_a_sum():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 1000, (9, 130))
