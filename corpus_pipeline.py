@@ -29,8 +29,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sources at their target weights: a document once for each time it is drawn."""
-    return mixing.mixture(docs)
+    """The sources at their target weights: a whole document once for each time it is drawn."""
+    return mixing.mixture(docs, entire=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Every source is cut into blocks of about ``BLOCK_DOCS`` documents by a hash. A source whose target is ``t`` times
 its size gives ``floor(t)`` whole passes over its blocks and, in one more pass, the first blocks of a permutation
-until the target is met to the word: the last block is taken in part and its last document as a prefix. These
+until the target is met: the last block is taken in part. With ``entire`` documents, as the query and the pipeline
+draw them, its last document is taken or left, whichever is nearer the target; else it is taken as a prefix. These
 exact block quotas are split among the output shards by a binary tree: each node hands its left child a
 multivariate-hypergeometric draw of its quotas. A shard takes its quota as the next run of the source's permuted
 blocks, so shards are disjoint, and shuffles its documents locally.
@@ -113,13 +114,14 @@ def draws(
     weights: tuple = WEIGHTS,
     shard_words: int = SHARD_WORDS,
     seed: int = 0,
+    entire: bool = False,
 ) -> DataFrame:
     """``(row, doc_id, size, source_size, target, taken, shards, whole)``: one row per document.
 
     ``size`` counts the words of the whole text (null: 0). Sources by code point, null last, weigh ``weights``,
     repeating. ``taken`` are the words the mix takes, repeats counted; ``shards`` names the shard of each time the
     document is drawn; the last draw is a prefix unless ``whole``. A source's taken words meet its target to the
-    word. Repeated rows are drawn on their own; an empty table gives an empty result."""
+    word, or, where only ``entire`` documents are drawn, to half the words of one document. Repeated rows are drawn on their own; an empty table gives an empty result."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     sized = store(
         keyed(documents, pick(documents, "source", "string", "s"))
@@ -180,6 +182,8 @@ def draws(
     order = in_block.rowsBetween(Window.unboundedPreceding, -1)
     drawn = rows.join(blocks, ["rank", "block"]).withColumn("ahead", F.coalesce(F.sum("size").over(order), F.lit(0)))
     part = F.greatest(F.lit(0), F.least(F.col("left") - F.col("ahead"), F.col("size")))
+    if entire:
+        part = F.when(2 * part >= F.col("size"), F.col("size")).otherwise(F.lit(0).cast("long"))
     return drawn.select(
         "row",
         "doc_id",

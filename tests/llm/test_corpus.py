@@ -468,3 +468,25 @@ def test_insults_with_a_letter_in_every_gap(labelled, spark):
     words = toxicity.Words(["numpty"])
     words.learn([w.strip("^$") for w in far])
     assert all(words.seen[w.strip("^$")][0] > 0.5 for w in far)
+
+
+def test_mix_of_whole_documents(spark, docs, tmp_path):
+    """The query and the pipeline's stage never cut a text; the boundary document goes where the target is nearer."""
+    rows = [(i, " ".join(f"{s}{n}" for n in range(600)), "en", s, 1, "q", i) for i, s in enumerate("abc")]
+    few = spark.createDataFrame(rows, SCHEMA)
+    few.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op1_mix(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.taken) for r in got) == [(0, 1200), (1, 1200), (2, 600)]
+    import corpus_pipeline
+
+    for table in (few, docs):
+        known = {r[1] for r in table.select("doc_id", "text").collect()}
+        mixed = corpus_pipeline.mix(spark, table, "")
+        assert {r.text for r in mixed.collect()} <= known
+        plan = mixing.draws(table, entire=True).collect()
+        assert all(r.taken == r["size"] * len(r.shards) or r["size"] == 0 for r in plan)
+        largest = max(r["size"] for r in plan)
+        by_target = {}
+        for r in plan:
+            by_target[r.target] = by_target.get(r.target, 0) + r.taken
+        assert all(abs(t - n) <= largest / 2 + 1 for t, n in by_target.items())
