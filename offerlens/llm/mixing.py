@@ -27,7 +27,7 @@ BLOCK_DOCS, GROUP = 64, 4096
 #: the tree's draws need fewer blocks than this in all
 MAX_BLOCKS = 400_000_000
 #: words in an output shard, and shards at most
-SHARD_WORDS, MAX_SHARDS = 64_000_000, 4096
+SHARD_WORDS, MAX_SHARDS = 1_000_000, 4096
 #: a table of so many sources is small enough to broadcast; a larger one is joined by a shuffle
 BROADCAST_SOURCES = 100_000
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -173,6 +173,8 @@ def draws(
     full = F.when(
         F.col("passes") > 0, F.transform(each_pass, lambda p: shard_of(p * F.col("blocks") + turn(p)))
     ).otherwise(F.array().cast("array<int>"))
+    # only what lies in a shard's run is drawn
+    full = F.filter(full, lambda s: s < shards)
     last = shard_of(F.col("passes") * F.col("blocks") + F.col("pos"))
     blocks = where.select("rank", "block", "words", "passes", "left", full.alias("full"), last.alias("last"))
     target = plan.select("rank", "target")
@@ -184,13 +186,14 @@ def draws(
     part = F.greatest(F.lit(0), F.least(F.col("left") - F.col("ahead"), F.col("size")))
     if entire:
         part = F.when(2 * part >= F.col("size"), F.col("size")).otherwise(F.lit(0).cast("long"))
+    part = F.when(F.col("last") < shards, part).otherwise(F.lit(0).cast("long"))
     return drawn.select(
         "row",
         "doc_id",
         "size",
         F.col("words").alias("source_size"),
         "target",
-        (F.col("passes") * F.col("size") + part).alias("taken"),
+        (F.size("full") * F.col("size") + part).alias("taken"),
         F.when(part > 0, F.concat("full", F.array("last"))).otherwise(F.col("full")).alias("shards"),
         ((part == 0) | (part == F.col("size"))).alias("whole"),
         F.col("passes"),

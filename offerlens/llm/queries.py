@@ -24,7 +24,7 @@ def tokenizer_file(name: str) -> bytes:
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.draws(_table(spark, sf_dir, "documents"), entire=True)
-    return out.select("doc_id", "size", "source_size", "target", "taken")
+    return out.select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

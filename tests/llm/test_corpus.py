@@ -490,3 +490,21 @@ def test_mix_of_whole_documents(spark, docs, tmp_path):
         for r in plan:
             by_target[r.target] = by_target.get(r.target, 0) + r.taken
         assert all(abs(t - n) <= largest / 2 + 1 for t, n in by_target.items())
+
+
+def test_taken_words_follow_the_shards(spark, monkeypatch):
+    """A document is drawn once for each place in a shard's run of blocks; without runs nothing is."""
+    rows = [(i, "one two three", "en", "ab"[i % 2], 1, "q", i) for i in range(400)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(queries, "_table", lambda *_: table)
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 8)
+    found = mixing.draws(table, shard_words=300, entire=True).collect()
+    assert all(r.taken == r["size"] * len(r.shards) for r in found)
+    assert {s for r in found for s in r.shards} == set(range(6))
+    quotas = mixing.shard_quotas
+
+    def no_runs(*args):
+        return quotas(*args).withColumn("ends", F.transform("ends", lambda e: e * 0))
+
+    monkeypatch.setattr(mixing, "shard_quotas", no_runs)
+    assert {(r.taken, tuple(r.shards)) for r in queries.op1_mix(spark, "").collect()} == {(0, ())}
