@@ -99,6 +99,48 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 ) WHERE rank <= 20
 """
 
+PHRASES = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS i, coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), pieces AS (
+    SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\n\x0B\f\r]')) AS piece FROM texts
+), lines AS (
+    SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM lines GROUP BY lang
+), starts AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lines
+), grams AS (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+    FROM starts, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)
+), counts AS (
+    SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+), longer AS (
+    SELECT lang, phrase, string_split(phrase, ' ') AS w, k, f FROM counts WHERE k > 1
+), held AS (
+    SELECT lang, phrase, max(f) AS most FROM (
+        SELECT lang, array_to_string(w[1 : k - 1], ' ') AS phrase, f FROM longer
+        UNION ALL SELECT lang, array_to_string(w[2 : k], ' '), f FROM longer
+    ) GROUP BY ALL
+), cuts AS (
+    SELECT x.lang, x.phrase, x.f, x.w, x.k, unnest(range(1, x.k)) AS cut
+    FROM longer x LEFT JOIN held h ON h.lang = x.lang AND h.phrase = x.phrase WHERE coalesce(h.most, 0) < x.f
+), scored AS (
+    SELECT c.lang, c.phrase, c.cut, c.f AS a, x.f AS l, y.f AS r, n, (1000 * c.f * n) // (x.f * y.f) AS score
+    FROM cuts c
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : c.cut], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1 : c.k], ' ')
+    JOIN totals t ON t.lang = c.lang
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER w AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+    score::BIGINT AS score
+FROM lowest WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -106,4 +148,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_exact_dedup": EXACT,
         "op4_top_k": TOP_K,
         "op8_chat": CHAT,
+        "op11_phrases": PHRASES,
     }

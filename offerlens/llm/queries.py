@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm import bitslice, chat, counting, exact, licenses, mixing, near, pieces, suffixes, toxicity
+from offerlens.llm import (
+    bitslice,
+    chat,
+    counting,
+    exact,
+    licenses,
+    mixing,
+    near,
+    phrases,
+    pieces,
+    simhash,
+    suffixes,
+    toxicity,
+    whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +114,19 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"), support=100, most=5, top=2000)
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(_table(spark, sf_dir, "documents"), distance=4)
+    return out.select("doc_id", "fingerprint", "component_id", "kept")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this module by its name."""
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
