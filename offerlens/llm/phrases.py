@@ -2,19 +2,21 @@
 
 A phrase can only be frequent if the phrase without its last word and the one without its first word are. So:
 
-1. A sample of the documents proposes phrases: those that reach a lowered threshold there.
-2. A full pass counts, over all documents, every proposed phrase and every phrase of the negative border, that is
-   every other phrase both of whose shorter parts are proposed (each single word included). The border is never
-   listed: an occurrence is in it if both shorter parts are in the filter of proposed phrases.
-3. Where a border phrase turns out to be frequent, phrases around it may have been missed. A further full pass counts
+1. Texts are read once and written as chunks: a list of words, and the line of their numbers. Words are counted.
+2. A sample of the documents proposes phrases: those that reach a lowered threshold there.
+3. A full pass counts, over all documents, every proposed phrase and every phrase of the negative border, that is
+   every other phrase both of whose shorter parts are proposed. The border is never listed: an occurrence is in it if
+   both shorter parts are in the filter of proposed phrases.
+4. Where a border phrase turns out to be frequent, phrases around it may have been missed. A further full pass counts
    those whose shorter parts are both known to be frequent by now and that no pass has counted yet, and so on until
    a pass finds no new phrase that could be part of a longer one.
+5. A last pass counts what is frequent by its words.
 
-The frequent phrases and their counts are those of all documents, whatever the sample was. Filters are Bloom filters
-of a fixed size (``FILTER`` bits, 8 MB): a false member only makes a pass count more. Phrases that are counted are
-named exactly within a task, by numbers for words and for pairs of a shorter phrase and a word, and shuffled as
-strings with partial counts, so frequent phrases move once for each task and no key is hot. Sampled phrases are
-counted by hashes alone, as the sample decides nothing.
+Steps 2 to 4 know a phrase by a 64-bit hash, which moves and adds up cheaply: two phrases of one hash can only make a
+phrase seem more frequent than it is. Step 5 names phrases exactly, so phrases and counts are those of all documents,
+whatever sample and hashes are. Filters are Bloom filters of a fixed size (``FILTER`` bits, 8 MB): a false member only
+makes a pass count more. Partial counts are added within each task, so a frequent phrase moves once for each task and
+no key is hot.
 
 Defined results: null and empty texts have no words; a null language counts as ``und``; null ids, repeated rows and
 extra columns do not matter, as every row counts; an empty table gives no rows. A language without a candidate
@@ -40,7 +42,7 @@ _MARKS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + _MARKS, bytes(range(97, 123)) + b"\n" * len(_MARKS))
 #: bits of a filter; its blocks have ``2**17`` bits, so one block travels as one row of 16 KB
 FILTER, BLOCK = 1 << 26, 1 << 17
-#: words named at once by a task
+#: words of a chunk, and of a chunk of the sample
 CHUNK = 1_000_000
 #: a hash decides whether a document is in the sample
 SAMPLE = 8
@@ -60,6 +62,11 @@ def longer_hash(shorter: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mixed(shorter * _ODD + word)
 
 
+def key(h: np.ndarray, words: int) -> np.ndarray:
+    """What a phrase is known by: its hash, with the number of its words in the lowest three bits."""
+    return h & ~np.uint64(7) | np.uint64(words)
+
+
 def word_hash(word: bytes, seed: int) -> int:
     return xxhash.xxh64_intdigest(word, seed)
 
@@ -76,7 +83,7 @@ class Filter:
 
     def has(self, h: np.ndarray) -> np.ndarray:
         out = np.ones(len(h), bool)
-        at = (h % np.uint64(FILTER // BLOCK)).astype(np.int64) * (BLOCK // 8)
+        at = ((h >> np.uint64(3)) % np.uint64(FILTER // BLOCK)).astype(np.int64) * (BLOCK // 8)
         for bit in probes(h):
             out &= (self._bytes()[at + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 > 0
         return out
@@ -97,7 +104,7 @@ class Filter:
 
 def probes(h: np.ndarray) -> list[np.ndarray]:
     """Three bits of its block for each hash."""
-    return [((h >> np.uint64(s)) % np.uint64(BLOCK)).astype(np.int64) for s in (13, 30, 47)]
+    return [((h >> np.uint64(s)) % np.uint64(BLOCK)).astype(np.int64) for s in (12, 29, 46)]
 
 
 def _filter_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,10 +136,9 @@ def _runs(values: np.ndarray) -> list[tuple[int, int]]:
 
 
 def filter_of(hashes: DataFrame) -> Filter:
-    """The filter of ``hashes (h long)``; it has ``FILTER`` bits, however many members there are."""
-    n = FILTER // BLOCK
-    # a power of two, so the lowest bits are the remainder of the unsigned hash
-    placed = hashes.withColumn("block", F.col("h").bitwiseAND(n - 1).cast("int"))
+    """The filter of the keys ``hashes (h long)``; it has ``FILTER`` bits, however many members there are."""
+    block = F.shiftrightunsigned("h", 3).bitwiseAND(FILTER // BLOCK - 1)
+    placed = hashes.withColumn("block", block.cast("int"))
     sorted_ = placed.repartition("block").sortWithinPartitions("block")
     rows = sorted_.select("block", "h").mapInArrow(_filter_blocks, "block int, bits binary")
     return Filter({r.block: bytes(r.bits) for r in rows.collect()})
@@ -142,25 +148,23 @@ class Names(dict):
     """Numbers of one language's words; new words are appended to the chunk's list."""
 
     def __init__(self, chunk: Chunk, lang: str):
-        self.chunk, self.lang, self.seed = chunk, len(chunk.langs), lang_seed(lang)
+        self.chunk, self.lang = chunk, len(chunk.langs)
         chunk.langs.append(lang)
 
     def __missing__(self, word: bytes) -> int:
-        chunk = self.chunk
-        self[word] = number = len(chunk.words)
-        chunk.words.append(word)
-        chunk.lang.append(self.lang)
-        chunk.hashes.append(word_hash(word, self.seed))
+        self[word] = number = len(self.chunk.words)
+        self.chunk.words.append(word)
+        self.chunk.lang.append(self.lang)
         return number
 
 
 class Chunk:
-    """Some documents as one line of word numbers; 0 stands between pieces."""
+    """Some documents as one line of word numbers; 0 stands between pieces. Words of two languages differ."""
 
     def __init__(self):
-        self.langs, self.words, self.lang, self.hashes = [], [b""], [0], [0]
+        self.langs, self.words, self.lang = [], [b""], [0]
         self.names: dict[str, Names] = {}
-        self.line: list[np.ndarray] = []
+        self.parts: list[np.ndarray] = []
         self.size = 0
 
     def add(self, lang: str, text: bytes) -> None:
@@ -174,95 +178,113 @@ class Chunk:
                 out += map(number, words)
                 out.append(0)
         if len(out) > 1:
-            self.line.append(np.array(out, np.uint32))
+            self.parts.append(np.array(out, np.uint32))
             self.size += len(out)
 
+    def row(self, sampled: bool) -> pa.RecordBatch:
+        lang, line = (np.asarray(x, np.uint32).tobytes() for x in (self.lang, np.concatenate(self.parts)))
+        columns = [
+            pa.array([sampled]), pa.array([self.langs], pa.list_(pa.string())),
+            pa.array([self.words], pa.list_(pa.binary())), pa.array([lang]), pa.array([line]),
+        ]
+        return pa.record_batch(columns, names=["sampled", "langs", "words", "lang", "line"])
+
+
+_CHUNK = "sampled boolean, langs array<string>, words array<binary>, lang binary, line binary"
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of the sample come in chunks of their own."""
+    open_ = {False: Chunk(), True: Chunk()}
+    for batch in batches:
+        langs, sampled = batch.column("lang").to_pylist(), batch.column("sampled").to_pylist()
+        for lang, some, text in zip(langs, sampled, batch.column("text").cast(pa.binary())):
+            text = text.as_py()
+            if text:
+                open_[some].add(lang, text)
+                if open_[some].size >= CHUNK:
+                    yield open_[some].row(some)
+                    open_[some] = Chunk()
+    for some, chunk in open_.items():
+        if chunk.size:
+            yield chunk.row(some)
+
+
+class Line:
+    """A chunk that was read back."""
+
+    def __init__(self, batch: pa.RecordBatch, at: int):
+        self.langs = batch.column("langs")[at].values
+        self.words = batch.column("words")[at].values
+        self.lang, self.line = (
+            np.frombuffer(batch.column(c)[at].as_py(), np.uint32).astype(np.int64) for c in ("lang", "line")
+        )
+        seeds = [lang_seed(x) for x in self.langs.to_pylist()]
+        hashes = [word_hash(w, seeds[i]) for w, i in zip(self.words.to_pylist(), self.lang.tolist())]
+        self.hashes = np.array(hashes, np.uint64)
+        self.count = np.bincount(self.line, minlength=len(self.words))
+        self.count[0] = 0
+
     def levels(self, most: int, usable):
-        """Per length: the shorter phrase and the last word of each distinct phrase (numbers of the level before, and
-        of words), its hash and its count. ``usable(words, hashes, shorter, rest)`` tells which phrases may be parts of
-        longer ones; ``shorter`` and ``rest`` number the phrases without the last and without the first word."""
-        line = np.concatenate(self.line).astype(np.int64)
-        word_hashes = np.array(self.hashes, np.uint64)
-        count = np.bincount(line, minlength=len(self.words))
-        count[0] = 0
-        part = usable(1, word_hashes, None, None)
-        part[0] = False
-        yield 1, None, np.arange(len(self.words)), word_hashes, count
-        name, hashes, ok = line, word_hashes, part
+        """Per length from 2: the shorter phrase and the last word of each distinct phrase (numbers of the level
+        before, and of words), its key and its count. ``usable(words, keys, shorter, rest)`` tells which phrases may
+        be parts of longer ones; ``shorter`` and ``rest`` number the phrases without the last and the first word."""
+        ok = usable(1, key(self.hashes, 1), None, None)
+        ok[0] = False
+        name, hashes = self.line, self.hashes
         for words in range(2, most + 1):
             # the two shorter phrases start at i and i + 1
             both = np.flatnonzero(ok[name[:-1]] & ok[name[1:]])
             if not len(both):
                 return
-            last = line[both + words - 1]
+            last = self.line[both + words - 1]
             pair, at, count = np.unique(name[both] << 32 | last, return_inverse=True, return_counts=True)
             shorter, last = pair >> 32, pair & 0xFFFFFFFF
-            rest = np.zeros(len(pair), np.int64)  # number of the phrase without its first word
+            rest = np.zeros(len(pair), np.int64)
             rest[at] = name[both + 1]
-            hashes = longer_hash(hashes[shorter], word_hashes[last])
-            part = usable(words, hashes, shorter, rest)
-            yield words, shorter, last, hashes, count
+            hashes = longer_hash(hashes[shorter], self.hashes[last])
+            keys = key(hashes, words)
+            part = usable(words, keys, shorter, rest)
+            yield words, shorter, last, keys, count
             # numbers of this level; the last one stands for all other places
-            following = np.full(len(line) - words + 1, len(pair))
+            following = np.full(len(self.line) - words + 1, len(pair))
             following[both] = at
             name, ok = following, np.r_[part, False]
             hashes = np.r_[hashes, np.uint64(0)]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
-    chunk = Chunk()
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[Line]:
     for batch in batches:
-        langs = batch.column("lang").to_pylist()
-        for lang, text in zip(langs, batch.column("text").cast(pa.binary())):
-            text = text.as_py()
-            if text:
-                chunk.add(lang, text)
-            if chunk.size >= CHUNK:
-                yield chunk
-                chunk = Chunk()
-    if chunk.size:
-        yield chunk
+        for at in range(batch.num_rows):
+            yield Line(batch, at)
+
 
+def _key_batch(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
 
-def _sampled_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk in _chunks(batches):
-        h = np.array(chunk.hashes[1:], np.uint64).view(np.int64)
-        count = np.bincount(np.concatenate(chunk.line), minlength=len(chunk.words))[1:]
-        yield pa.record_batch([pa.array(h), pa.array(count)], names=["h", "n"])
 
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for line in _lines(batches):
+        yield _key_batch(key(line.hashes[1:], 1), line.count[1:])
 
-def _sampled_phrases(words: Filter, most: int):
+
+def _sampled(words: Filter, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Phrases of at least two words, all of them frequent in the sample."""
-        for chunk in _chunks(batches):
+        """Phrases of at least two words, all of them frequent."""
+        for line in _lines(batches):
             every = lambda k, h, *_: words.has(h) if k == 1 else np.ones(len(h), bool)
-            for k, _, _, h, count in chunk.levels(most, every):
-                if k > 1:
-                    yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(count)], names=["h", "n"])
+            for _, _, _, keys, count in line.levels(most, every):
+                yield _key_batch(keys, count)
 
     return run
 
 
-def proposed(docs: DataFrame, support: int, most: int, sample: int) -> Filter:
-    """Phrases that reach a lowered threshold in a sample of one document in ``sample``."""
-    some = docs.where(F.pmod(F.xxhash64("row", "text"), F.lit(sample)) == 0).select("lang", "text")
-    mean = support / sample
-    least = max(2, int(mean - SLACK * sqrt(mean)))
-
-    def reached(counted: DataFrame) -> DataFrame:
-        return counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
-
-    words = store(reached(some.mapInArrow(_sampled_words, "h long, n long")), "sampled-words")
-    phrases = some.mapInArrow(_sampled_phrases(filter_of(words), most), "h long, n long")
-    return filter_of(words.union(reached(phrases)))
-
-
 def _counts(most: int, now: Filter, before: list[Filter]):
     """Counts of the phrases whose shorter parts are in ``now``, without those that a pass with one of the filters
-    ``before`` has counted. The first pass also counts words, and all words of a language under the empty phrase."""
+    ``before`` has counted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches):
+        for line in _lines(batches):
             flags: list[np.ndarray] = []  # per filter, now first: which phrases of the level may be parts
             counted = np.zeros(0, bool)
 
@@ -270,57 +292,59 @@ def _counts(most: int, now: Filter, before: list[Filter]):
                 nonlocal flags, counted
                 if k == 1:
                     flags = [f.has(h) for f in (now, *before)]
-                    return flags[0].copy()
-                both = [np.r_[f, False][shorter] & np.r_[f, False][rest] for f in flags]
-                counted = np.logical_or.reduce([np.zeros(len(h), bool), *both[1:]])
-                flags = [b & f.has(h) for b, f in zip(both, (now, *before))]
-                return flags[0]
-
-            vocabulary = pa.array(chunk.words, pa.binary())
-            langs, lang = pa.array(chunk.langs, pa.string()), np.array(chunk.lang)
-            texts = vocabulary
-            for k, shorter, last, _, count in chunk.levels(most, usable):
-                if k == 1:
-                    first_lang = lang
-                    new = (count > 0) & (not before)
-                    if not before:
-                        total = np.bincount(lang, weights=count, minlength=len(langs)).astype(np.int64)
-                        yield _phrase_batch(langs, pa.array([""] * len(langs)), 0, total)
+                    for f in flags:
+                        f[0] = False
                 else:
-                    texts = pc.binary_join_element_wise(texts.take(pa.array(shorter)), vocabulary.take(pa.array(last)), b" ")
-                    first_lang = first_lang[shorter]
-                    new = ~counted
-                at = pa.array(np.flatnonzero(new))
-                yield _phrase_batch(
-                    langs.take(pa.array(first_lang[new])), texts.take(at).cast(pa.string()), k, count[new]
-                )
+                    both = [np.r_[f, False][shorter] & np.r_[f, False][rest] for f in flags]
+                    counted = np.logical_or.reduce([np.zeros(len(h), bool), *both[1:]])
+                    flags = [b & f.has(h) for b, f in zip(both, (now, *before))]
+                return flags[0].copy()
+
+            for _, _, _, keys, count in line.levels(most, usable):
+                if not counted.all():
+                    yield _key_batch(keys[~counted], count[~counted])
 
     return run
 
 
-def _phrase_batch(lang: pa.Array, phrase: pa.Array, words: int, n: np.ndarray) -> pa.RecordBatch:
-    kinds = pa.array(np.full(len(n), words, np.int32))
-    return pa.record_batch([lang, phrase, kinds, pa.array(n.astype(np.int64))], names=["lang", "phrase", "words", "n"])
+def _named(most: int, frequent: Filter):
+    """Counts, by their words, of the phrases in ``frequent``, and of all words of a language under the empty phrase."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for line in _lines(batches):
+            word_lang = pa.array(line.lang)
+            total = np.bincount(line.lang, weights=line.count, minlength=len(line.langs)).astype(np.int64)
+            yield _phrase_batch(line.langs, pa.array([""] * len(line.langs)), 0, total)
+            some = np.flatnonzero(frequent.has(key(line.hashes, 1)) & (line.count > 0))
+            at = pa.array(some)
+            yield _phrase_batch(line.langs.take(word_lang.take(at)), line.words.take(at), 1, line.count[some])
+            texts, lang = line.words, word_lang
+            kept = None
+
+            def usable(k, h, *_):
+                nonlocal kept
+                kept = frequent.has(h)
+                return kept.copy()
+
+            for k, shorter, last, _, count in line.levels(most, usable):
+                texts = pc.binary_join_element_wise(texts.take(pa.array(shorter)), line.words.take(pa.array(last)), b" ")
+                lang = lang.take(pa.array(shorter))
+                at = pa.array(np.flatnonzero(kept))
+                yield _phrase_batch(line.langs.take(lang.take(at)), texts.take(at), k, count[kept])
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").cast(pa.binary()).to_pylist()):
-            words = np.array([word_hash(w, lang_seed(lang)) for w in phrase.split(b" ")], np.uint64)
-            h = words[:1]
-            for i in range(1, len(words)):
-                h = longer_hash(h, words[i : i + 1])
-            out.append(h[0])
-        hashes = pa.array(np.array(out, np.uint64).view(np.int64))
-        yield pa.record_batch([hashes, batch.column("words")], names=["h", "words"])
+    return run
+
+
+def _phrase_batch(lang: pa.Array, phrase: pa.Array, words: int, n: np.ndarray) -> pa.RecordBatch:
+    columns = [lang, phrase.cast(pa.string()), pa.array(np.full(len(n), words, np.int32)), pa.array(n.astype(np.int64))]
+    return pa.record_batch(columns, names=["lang", "phrase", "words", "n"])
 
 
 def _missed(filter_: Filter):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
-            yield batch.filter(pa.array(~filter_.has(h))).select(["h"])
+            yield batch.filter(pa.array(~filter_.has(h)))
 
     return run
 
@@ -329,32 +353,45 @@ def frequent_phrases(
     documents: DataFrame, support: int = 100, most: int = 5, sample: int = SAMPLE, trace: list | None = None
 ) -> DataFrame:
     """``(lang, phrase, words, n)``: every phrase of up to ``most`` words that occurs ``support`` times or more, and the
-    number of all words of a language under the empty phrase. ``trace`` receives the new phrases of each pass."""
+    number of all words of a language under the empty phrase. One document in ``sample`` proposes phrases. ``trace``
+    receives the number of new phrases of each pass."""
+    if not 2 <= most <= 7:
+        raise ValueError("phrases have two to seven words")
     docs = documents.select(
-        F.monotonically_increasing_id().alias("row"),
+        (F.pmod(F.xxhash64(F.monotonically_increasing_id(), "text"), F.lit(sample)) == 0).alias("sampled"),
         F.coalesce(pick(documents, "lang", "string"), F.lit("und")).alias("lang"),
         pick(documents, "text", "string"),
     )
-    texts, filters = docs.select("lang", "text"), [proposed(docs, support, most, sample)]
-    found, hashes = None, None
+    chunks = store(docs.mapInArrow(_chunks, _CHUNK), "chunks", "zstd")
+
+    def reached(counted: DataFrame, least: int) -> DataFrame:
+        return counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
+
+    words = store(reached(chunks.mapInArrow(_words, "h long, n long"), support), "words")
+    mean = support / sample
+    lowered = max(2, int(mean - SLACK * sqrt(mean)))
+    some = chunks.where("sampled").mapInArrow(_sampled(filter_of(words), most), "h long, n long")
+    filters = [filter_of(words.union(reached(some, lowered)))]
+    found = words
     while True:
-        counted = texts.mapInArrow(_counts(most, filters[-1], filters[:-1]), _PHRASE)
-        total = counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-        new = store(total.where((F.col("n") >= support) | (F.col("words") == 0)), "phrases")
-        new_hashes = store(new.where("words > 0").mapInArrow(_hashed, "h long, words int"), "hashes")
+        counted = chunks.mapInArrow(_counts(most, filters[-1], filters[:-1]), "h long, n long")
+        new = store(reached(counted, support), "phrases")
         if trace is not None:
-            trace.append(new_hashes.count())
-        # the last word of a phrase is no part of anything longer if the phrase has the greatest length
-        parts = new_hashes.where(F.col("words") < most)
-        if found is None:
+            trace.append(new.count())
+        # a phrase of the greatest length is no part of anything longer
+        parts = new.where(F.col("h").bitwiseAND(7) < most)
+        if len(filters) == 1:  # phrases around those that the sample proposed are counted already
             parts = parts.mapInArrow(_missed(filters[0]), "h long")
         done = parts.isEmpty()
-        found = new if found is None else found.union(new)
-        hashes = new_hashes if hashes is None else hashes.union(new_hashes)
+        found = found.union(new)
+        frequent = filter_of(found)
         if done:
-            return found
-        # counted before: by the sample's filter, or by that of the pass before, which has all earlier frequent phrases
-        filters = [*filters[:1], *filters[1:][-1:], filter_of(hashes.select("h"))]
+            break
+        # counted before: by the sample's filter, or by that of the pass before, which has all earlier phrases
+        filters = [*filters[:1], *filters[1:][-1:], frequent]
+    named = chunks.mapInArrow(_named(most, frequent), _PHRASE)
+    total = named.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
+    return total.where((F.col("n") >= support) | (F.col("words") == 0))
 
 
 def collocations(
