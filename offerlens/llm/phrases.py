@@ -12,11 +12,13 @@ A phrase can only be frequent if the phrase without its last word and the one wi
    a pass finds no new phrase that could be part of a longer one.
 5. A last pass counts what is frequent by its words.
 
-Steps 2 to 4 know a phrase by a 64-bit hash, which moves and adds up cheaply: two phrases of one hash can only make a
-phrase seem more frequent than it is. Step 5 names phrases exactly, so phrases and counts are those of all documents,
-whatever sample and hashes are. Filters are Bloom filters of a fixed size (``FILTER`` bits, 8 MB): a false member only
-makes a pass count more. Partial counts are added within each task, so a frequent phrase moves once for each task and
-no key is hot.
+Steps 2 to 4 know a phrase by a key of 48 bits, a hash, which moves and adds up cheaply: two phrases of one key can
+only make a phrase seem more frequent than it is. Step 5 names phrases exactly, so phrases and counts are those of all
+documents, whatever sample and hashes are. Filters are Bloom filters of a fixed size (``FILTER`` bits, 8 MB): a false
+member only makes a pass count more. Partial counts are added within each task, so a frequent phrase moves once for
+each task and no key is hot. Keys move sorted, as differences to the key before, in rows of up to ``RUN`` keys of one
+range; a task adds up a range of at most ``RANGE`` keys or so at a time. A corpus with too many keys for that moves
+them one by one instead, with the same result.
 
 Defined results: null and empty texts have no words; a null language counts as ``und``; null ids, repeated rows and
 extra columns do not matter, as every row counts; an empty table gives no rows. A language without a candidate
@@ -48,6 +50,8 @@ CHUNK = 1_000_000
 SAMPLE = 8
 #: standard deviations by which a phrase of the least frequency may fall short in the sample
 SLACK = 2.5
+#: bits of a key, keys in a row, keys added up at once (also those a task holds), ranges at most
+BITS, RUN, RANGE, RANGES = 48, 4096, 1 << 21, 1 << 14
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PHRASE = "lang string, phrase string, words int, n long"
 
@@ -63,8 +67,8 @@ def longer_hash(shorter: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def key(h: np.ndarray, words: int) -> np.ndarray:
-    """What a phrase is known by: its hash, with the number of its words in the lowest three bits."""
-    return h & ~np.uint64(7) | np.uint64(words)
+    """What a phrase is known by: 45 bits of its hash, and the number of its words in the lowest three bits."""
+    return h >> np.uint64(64 - BITS) & ~np.uint64(7) | np.uint64(words)
 
 
 def word_hash(word: bytes, seed: int) -> int:
@@ -103,8 +107,8 @@ class Filter:
 
 
 def probes(h: np.ndarray) -> list[np.ndarray]:
-    """Three bits of its block for each hash."""
-    return [((h >> np.uint64(s)) % np.uint64(BLOCK)).astype(np.int64) for s in (12, 29, 46)]
+    """Three bits of its block for each key."""
+    return [((h >> np.uint64(s)) % np.uint64(BLOCK)).astype(np.int64) for s in (12, 21, 31)]
 
 
 def _filter_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,13 +188,13 @@ class Chunk:
     def row(self, sampled: bool) -> pa.RecordBatch:
         lang, line = (np.asarray(x, np.uint32).tobytes() for x in (self.lang, np.concatenate(self.parts)))
         columns = [
-            pa.array([sampled]), pa.array([self.langs], pa.list_(pa.string())),
+            pa.array([sampled]), pa.array([self.size]), pa.array([self.langs], pa.list_(pa.string())),
             pa.array([self.words], pa.list_(pa.binary())), pa.array([lang]), pa.array([line]),
         ]
-        return pa.record_batch(columns, names=["sampled", "langs", "words", "lang", "line"])
+        return pa.record_batch(columns, names=["sampled", "size", "langs", "words", "lang", "line"])
 
 
-_CHUNK = "sampled boolean, langs array<string>, words array<binary>, lang binary, line binary"
+_CHUNK = "sampled boolean, size long, langs array<string>, words array<binary>, lang binary, line binary"
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,22 +263,119 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[Line]:
             yield Line(batch, at)
 
 
-def _key_batch(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+def added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[start], np.add.reduceat(n, start)
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def planes(x: np.ndarray) -> bytes:
+    """Numbers without the bytes that are zero in all of them: all lowest bytes first, then the next ones."""
+    width = max(1, -(-int(x.max()).bit_length() // 8))
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unplaned(packed: bytes, size: int) -> np.ndarray:
+    out = np.zeros((size, 8), np.uint8)
+    raw = np.frombuffer(packed, np.uint8).reshape(-1, size)
+    out[:, : len(raw)] = raw.T
+    return out.reshape(-1).view("<u8").astype(np.uint64)
+
+
+_RUNS = "part int, size int, keys binary, n binary"
+
+
+def _moved(counted, ranges: int):
+    """``counted`` gives (keys, counts) of a task's rows; added up, they leave in rows of one range each."""
+
+    def packed(held):
+        keys, n = added(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
+        part = (keys >> np.uint64(BITS - ranges.bit_length() + 1)).astype(np.int64)
+        cuts = [c for a, b in _runs(part) for c in range(a, b, RUN)] + [len(keys)]
+        spans = [(a, b) for a, b in zip(cuts, cuts[1:])]
+        rows = [
+            (int(part[a]), b - a, planes(np.diff(keys[a:b], prepend=np.uint64(0))), planes(n[a:b])) for a, b in spans
+        ]
+        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+        return pa.record_batch(columns, names=["part", "size", "keys", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for keys, n in counted(batches):
+            if len(keys):
+                held.append((keys, n.astype(np.int64)))
+                size += len(keys)
+            if size >= RANGE:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
+
+    return run
+
+
+def _single(counted):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n in counted(batches):
+            yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+    return run
+
+
+def _enough(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows sorted by range: keys whose counts reach ``least``, one range at a time."""
+        part, held, size = None, [], 0
+
+        def kept():
+            keys, n = added(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
+            return pa.record_batch([pa.array(keys[n >= least].view(np.int64))], names=["h"])
+
+        for batch in batches:
+            for at, m, keys, n in zip(*(batch.column(c) for c in ("part", "size", "keys", "n"))):
+                at, m = at.as_py(), m.as_py()
+                if at != part and held:
+                    yield kept()
+                    held, size = [], 0
+                part = at
+                held.append((np.cumsum(unplaned(keys.as_py(), m)), unplaned(n.as_py(), m).astype(np.int64)))
+                size += m
+                if size >= 2 * RANGE:  # equal keys of many tasks shrink
+                    held = [added(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))]
+                    size = len(held[0][0])
+        if held:
+            yield kept()
+
+    return run
+
+
+def reached(chunks: DataFrame, counted, least: int, words: int) -> DataFrame:
+    """``(h)``: keys whose counts over all chunks, of ``words`` words, reach ``least``."""
+    ranges = 1 << max(6, (8 * words // RANGE).bit_length())
+    if ranges > RANGES:
+        rows = chunks.mapInArrow(_single(counted), "h long, n long")
+        return rows.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
+    rows = chunks.mapInArrow(_moved(counted, ranges), _RUNS)
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(_enough(least), "h long")
+
+
+def _words(batches: Iterator[pa.RecordBatch]):
     for line in _lines(batches):
-        yield _key_batch(key(line.hashes[1:], 1), line.count[1:])
+        yield key(line.hashes[1:], 1), line.count[1:]
 
 
 def _sampled(words: Filter, most: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]):
         """Phrases of at least two words, all of them frequent."""
         for line in _lines(batches):
             every = lambda k, h, *_: words.has(h) if k == 1 else np.ones(len(h), bool)
             for _, _, _, keys, count in line.levels(most, every):
-                yield _key_batch(keys, count)
+                yield keys, count
 
     return run
 
@@ -283,7 +384,7 @@ def _counts(most: int, now: Filter, before: list[Filter]):
     """Counts of the phrases whose shorter parts are in ``now``, without those that a pass with one of the filters
     ``before`` has counted."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]):
         for line in _lines(batches):
             flags: list[np.ndarray] = []  # per filter, now first: which phrases of the level may be parts
             counted = np.zeros(0, bool)
@@ -301,8 +402,7 @@ def _counts(most: int, now: Filter, before: list[Filter]):
                 return flags[0].copy()
 
             for _, _, _, keys, count in line.levels(most, usable):
-                if not counted.all():
-                    yield _key_batch(keys[~counted], count[~counted])
+                yield keys[~counted], count[~counted]
 
     return run
 
@@ -311,6 +411,20 @@ def _named(most: int, frequent: Filter):
     """Counts, by their words, of the phrases in ``frequent``, and of all words of a language under the empty phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for part in rows(batches):
+            held.append(part)
+            size += part.num_rows
+            if size >= RANGE // 4:
+                held = [_added_phrases(held)]
+                size = held[0].num_rows
+                if size >= RANGE // 8:
+                    yield from held[0].to_batches()
+                    held, size = [], 0
+        if held:
+            yield from _added_phrases(held).to_batches()
+
+    def rows(batches):
         for line in _lines(batches):
             word_lang = pa.array(line.lang)
             total = np.bincount(line.lang, weights=line.count, minlength=len(line.langs)).astype(np.int64)
@@ -340,6 +454,12 @@ def _phrase_batch(lang: pa.Array, phrase: pa.Array, words: int, n: np.ndarray) -
     return pa.record_batch(columns, names=["lang", "phrase", "words", "n"])
 
 
+def _added_phrases(parts: list[pa.RecordBatch | pa.Table]) -> pa.Table:
+    table = pa.concat_tables([p if isinstance(p, pa.Table) else pa.Table.from_batches([p]) for p in parts])
+    out = table.group_by(["lang", "phrase", "words"]).aggregate([("n", "sum")])
+    return out.rename_columns(["lang", "phrase", "words", "n"])
+
+
 def _missed(filter_: Filter):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -363,19 +483,15 @@ def frequent_phrases(
         pick(documents, "text", "string"),
     )
     chunks = store(docs.mapInArrow(_chunks, _CHUNK), "chunks", "zstd")
-
-    def reached(counted: DataFrame, least: int) -> DataFrame:
-        return counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
-
-    words = store(reached(chunks.mapInArrow(_words, "h long, n long"), support), "words")
+    size = chunks.agg(F.sum("size")).first()[0] or 0
+    words = store(reached(chunks, _words, support, size), "words")
     mean = support / sample
     lowered = max(2, int(mean - SLACK * sqrt(mean)))
-    some = chunks.where("sampled").mapInArrow(_sampled(filter_of(words), most), "h long, n long")
-    filters = [filter_of(words.union(reached(some, lowered)))]
+    some = reached(chunks.where("sampled"), _sampled(filter_of(words), most), lowered, size)
+    filters = [filter_of(words.union(some))]
     found = words
     while True:
-        counted = chunks.mapInArrow(_counts(most, filters[-1], filters[:-1]), "h long, n long")
-        new = store(reached(counted, support), "phrases")
+        new = store(reached(chunks, _counts(most, filters[-1], filters[:-1]), support, size), "phrases")
         if trace is not None:
             trace.append(new.count())
         # a phrase of the greatest length is no part of anything longer

@@ -259,7 +259,7 @@ def square_free(poly: list[int]) -> list[int]:
     scale = 1
     for q in out:
         scale = scale * q.denominator // gcd(scale, q.denominator)
-    return _primitive([int(q * scale) for q in out])
+    return _primitive([int(q * scale) * (1 if out[0] > 0 else -1) for q in out])
 
 
 def _common_mod(a: list[int], b: list[int], p: int) -> list[int]:
