@@ -12,7 +12,7 @@ A phrase can only be frequent if the phrase without its last word and the one wi
    a pass finds no new phrase that could be part of a longer one.
 5. A last pass counts what is frequent by its words.
 
-Steps 2 to 4 know a phrase by a key of 48 bits, a hash, which moves and adds up cheaply: two phrases of one key can
+Steps 2 to 4 know a phrase by a key of 44 bits, a hash, which moves and adds up cheaply: two phrases of one key can
 only make a phrase seem more frequent than it is. Step 5 names phrases exactly, so phrases and counts are those of all
 documents, whatever sample and hashes are. Filters are Bloom filters of a fixed size (``FILTER`` bits, 8 MB): a false
 member only makes a pass count more. Partial counts are added within each task, so a frequent phrase moves once for
@@ -51,7 +51,7 @@ SAMPLE = 8
 #: standard deviations by which a phrase of the least frequency may fall short in the sample
 SLACK = 2.5
 #: bits of a key, keys in a row, keys added up at once (also those a task holds), ranges at most
-BITS, RUN, RANGE, RANGES = 48, 4096, 1 << 21, 1 << 14
+BITS, RUN, RANGE, RANGES = 44, 4096, 1 << 21, 1 << 14
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PHRASE = "lang string, phrase string, words int, n long"
 
@@ -67,7 +67,7 @@ def longer_hash(shorter: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def key(h: np.ndarray, words: int) -> np.ndarray:
-    """What a phrase is known by: 45 bits of its hash, and the number of its words in the lowest three bits."""
+    """What a phrase is known by: 41 bits of its hash, and the number of its words in the lowest three bits."""
     return h >> np.uint64(64 - BITS) & ~np.uint64(7) | np.uint64(words)
 
 
@@ -108,7 +108,7 @@ class Filter:
 
 def probes(h: np.ndarray) -> list[np.ndarray]:
     """Three bits of its block for each key."""
-    return [((h >> np.uint64(s)) % np.uint64(BLOCK)).astype(np.int64) for s in (12, 21, 31)]
+    return [((h >> np.uint64(s)) % np.uint64(BLOCK)).astype(np.int64) for s in (12, 19, 27)]
 
 
 def _filter_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,27 +274,36 @@ def added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def planes(x: np.ndarray) -> bytes:
-    """Numbers without the bytes that are zero in all of them: all lowest bytes first, then the next ones."""
+    """Numbers without the bytes that are zero in all of them, all lowest bytes first, compressed."""
     width = max(1, -(-int(x.max()).bit_length() // 8))
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    raw = x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return bytes([width]) + pa.compress(raw, "zstd", asbytes=True)
 
 
 def unplaned(packed: bytes, size: int) -> np.ndarray:
     out = np.zeros((size, 8), np.uint8)
-    raw = np.frombuffer(packed, np.uint8).reshape(-1, size)
-    out[:, : len(raw)] = raw.T
+    raw = pa.decompress(packed[1:], packed[0] * size, "zstd", asbytes=True)
+    out[:, : packed[0]] = np.frombuffer(raw, np.uint8).reshape(-1, size).T
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
 _RUNS = "part int, size int, keys binary, n binary"
 
 
+def n_ranges(words: int) -> int:
+    return 1 << max(6, (8 * words // RANGE).bit_length())
+
+
+def _part(keys: np.ndarray, ranges: int) -> np.ndarray:
+    return (keys >> np.uint64(BITS - ranges.bit_length() + 1)).astype(np.int64)
+
+
 def _moved(counted, ranges: int):
     """``counted`` gives (keys, counts) of a task's rows; added up, they leave in rows of one range each."""
 
     def packed(held):
         keys, n = added(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
-        part = (keys >> np.uint64(BITS - ranges.bit_length() + 1)).astype(np.int64)
+        part = _part(keys, ranges)
         cuts = [c for a, b in _runs(part) for c in range(a, b, RUN)] + [len(keys)]
         spans = [(a, b) for a, b in zip(cuts, cuts[1:])]
         rows = [
@@ -356,7 +365,7 @@ def _enough(least: int):
 
 def reached(chunks: DataFrame, counted, least: int, words: int) -> DataFrame:
     """``(h)``: keys whose counts over all chunks, of ``words`` words, reach ``least``."""
-    ranges = 1 << max(6, (8 * words // RANGE).bit_length())
+    ranges = n_ranges(words)
     if ranges > RANGES:
         rows = chunks.mapInArrow(_single(counted), "h long, n long")
         return rows.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
@@ -410,28 +419,15 @@ def _counts(most: int, now: Filter, before: list[Filter]):
 def _named(most: int, frequent: Filter):
     """Counts, by their words, of the phrases in ``frequent``, and of all words of a language under the empty phrase."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for part in rows(batches):
-            held.append(part)
-            size += part.num_rows
-            if size >= RANGE // 4:
-                held = [_added_phrases(held)]
-                size = held[0].num_rows
-                if size >= RANGE // 8:
-                    yield from held[0].to_batches()
-                    held, size = [], 0
-        if held:
-            yield from _added_phrases(held).to_batches()
-
     def rows(batches):
         for line in _lines(batches):
             word_lang = pa.array(line.lang)
             total = np.bincount(line.lang, weights=line.count, minlength=len(line.langs)).astype(np.int64)
-            yield _phrase_batch(line.langs, pa.array([""] * len(line.langs)), 0, total)
-            some = np.flatnonzero(frequent.has(key(line.hashes, 1)) & (line.count > 0))
+            yield _phrases(line.langs, pa.array([""] * len(line.langs)), 0, np.zeros(len(total), np.uint64), total)
+            keys = key(line.hashes, 1)
+            some = np.flatnonzero(frequent.has(keys) & (line.count > 0))
             at = pa.array(some)
-            yield _phrase_batch(line.langs.take(word_lang.take(at)), line.words.take(at), 1, line.count[some])
+            yield _phrases(line.langs.take(word_lang.take(at)), line.words.take(at), 1, keys[some], line.count[some])
             texts, lang = line.words, word_lang
             kept = None
 
@@ -440,24 +436,105 @@ def _named(most: int, frequent: Filter):
                 kept = frequent.has(h)
                 return kept.copy()
 
-            for k, shorter, last, _, count in line.levels(most, usable):
+            for k, shorter, last, keys, count in line.levels(most, usable):
                 texts = pc.binary_join_element_wise(texts.take(pa.array(shorter)), line.words.take(pa.array(last)), b" ")
                 lang = lang.take(pa.array(shorter))
                 at = pa.array(np.flatnonzero(kept))
-                yield _phrase_batch(line.langs.take(lang.take(at)), texts.take(at), k, count[kept])
+                yield _phrases(line.langs.take(lang.take(at)), texts.take(at), k, keys[kept], count[kept])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """Added up within a task."""
+        held, size = [], 0
+        for part in rows(batches):
+            held.append(part)
+            size += part.num_rows
+            if size >= RANGE // 4:
+                held = [_added_phrases(held)]
+                size = held[0].num_rows
+                if size >= RANGE // 8:
+                    yield held[0]
+                    held, size = [], 0
+        if held:
+            yield _added_phrases(held)
 
     return run
 
 
-def _phrase_batch(lang: pa.Array, phrase: pa.Array, words: int, n: np.ndarray) -> pa.RecordBatch:
-    columns = [lang, phrase.cast(pa.string()), pa.array(np.full(len(n), words, np.int32)), pa.array(n.astype(np.int64))]
-    return pa.record_batch(columns, names=["lang", "phrase", "words", "n"])
+_NAMES = ["lang", "phrase", "words"]
+
 
+def _phrases(lang: pa.Array, phrase: pa.Array, words: int, keys: np.ndarray, n: np.ndarray) -> pa.Table:
+    numbers = [pa.array(np.full(len(n), words, np.int32)), pa.array(keys), pa.array(n.astype(np.int64))]
+    return pa.table([lang, phrase.cast(pa.string()), *numbers], names=[*_NAMES, "key", "n"])
 
-def _added_phrases(parts: list[pa.RecordBatch | pa.Table]) -> pa.Table:
-    table = pa.concat_tables([p if isinstance(p, pa.Table) else pa.Table.from_batches([p]) for p in parts])
-    out = table.group_by(["lang", "phrase", "words"]).aggregate([("n", "sum")])
-    return out.rename_columns(["lang", "phrase", "words", "n"])
+
+def _added_phrases(parts: list[pa.Table]) -> pa.Table:
+    out = pa.concat_tables(parts).group_by(_NAMES).aggregate([("key", "min"), ("n", "sum")])
+    return out.rename_columns([*_NAMES, "key", "n"])
+
+
+def _single_phrases(counted):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in counted(batches):
+            yield from table.drop_columns("key").to_batches()
+
+    return run
+
+
+def _moved_phrases(counted, ranges: int):
+    """As ``_moved``: phrases leave in rows of one range of keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in counted(batches):
+            table = table.sort_by("key")
+            part = _part(table.column("key").to_numpy(), ranges)
+            spans = [(c, min(c + RUN, b)) for a, b in _runs(part) for c in range(a, b, RUN)]
+            packed = []
+            for a, b in spans:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_table(table.slice(a, b - a))
+                packed.append(sink.getvalue().to_pybytes())
+            parts = pa.array([int(part[a]) for a, _ in spans], pa.int32())
+            yield pa.record_batch([parts, pa.array(packed, pa.binary())], names=["part", "phrases"])
+
+    return run
+
+
+def _enough_phrases(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows sorted by range: phrases whose counts reach ``least``, and the numbers of all words."""
+        part, held = None, []
+
+        def kept():
+            table = _added_phrases(held)
+            some = pc.or_(pc.greater_equal(table.column("n"), least), pc.equal(table.column("words"), 0))
+            return table.filter(some).drop_columns("key").to_batches()
+
+        for batch in batches:
+            for at, packed in zip(batch.column("part").to_pylist(), batch.column("phrases")):
+                if at != part and held:
+                    yield from kept()
+                    held = []
+                part = at
+                held.append(pa.ipc.open_stream(packed.as_buffer()).read_all())
+                if len(held) >= 64:  # equal phrases of many tasks shrink
+                    held = [_added_phrases(held)]
+        if held:
+            yield from kept()
+
+    return run
+
+
+def named(chunks: DataFrame, most: int, frequent: Filter, support: int, words: int) -> DataFrame:
+    """The phrases of the filter by their words; as in ``reached``, many keys move one by one."""
+    counted, ranges = _named(most, frequent), n_ranges(words)
+    if ranges > RANGES:
+        rows = chunks.mapInArrow(_single_phrases(counted), _PHRASE)
+        total = rows.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
+        return total.where((F.col("n") >= support) | (F.col("words") == 0))
+    rows = chunks.mapInArrow(_moved_phrases(counted, ranges), "part int, phrases binary")
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(_enough_phrases(support), _PHRASE)
 
 
 def _missed(filter_: Filter):
@@ -505,9 +582,7 @@ def frequent_phrases(
             break
         # counted before: by the sample's filter, or by that of the pass before, which has all earlier phrases
         filters = [*filters[:1], *filters[1:][-1:], frequent]
-    named = chunks.mapInArrow(_named(most, frequent), _PHRASE)
-    total = named.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-    return total.where((F.col("n") >= support) | (F.col("words") == 0))
+    return named(chunks, most, frequent, support, size)
 
 
 def collocations(
