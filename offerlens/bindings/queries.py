@@ -14,7 +14,7 @@ from ..functions import dates, numbers, replies, text
 from ..operators import aggregates, dedup, fingerprint, lookup, quality, tables
 from ..plans import build, extraction, marts, queue, reports, staging
 from ..sources import catalog as catalogs
-from ..sources import offer_pages, snapshots
+from ..sources import journal, offer_pages, snapshots
 from ..streaming import ingest
 from .views import PERIOD, attempts_base, catalog, raw_attempts, raw_offers, staged, table
 
@@ -63,7 +63,10 @@ def s5_append_new(spark: SparkSession, d: str) -> DataFrame:
     stored = table(spark, d, "customer").filter("c_mktsegment = 'BUILDING'")
     existing = stored.select(F.col("c_custkey").alias("o_custkey"))
     order = [F.col("o_orderdate").asc(), F.col("o_orderkey").asc()]
-    return tables.append_new(existing, table(spark, d, "orders"), "o_custkey", order)
+    history = f"{tables.work_dir(spark)}/history"
+    tables.append_rows(existing, history, "o_custkey")
+    laid_out = tables.with_layout(spark, history, existing.schema)
+    return tables.append_new(laid_out, table(spark, d, "orders"), "o_custkey", order)
 
 
 def s6_attempt_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -394,12 +397,14 @@ def f6_canonical_mode(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _replies(spark: SparkSession, d: str) -> DataFrame:
-    return attempts_base(spark, d).select(*LINE, replies.lenient_json_object(F.col("reply")).alias("v"))
+    names = ["tecnologias", "seniority", "modalidad", "salario_min", "salario_max"]
+    found = replies.reply_fields(F.col("reply"), *names)
+    return attempts_base(spark, d).select(*LINE, found.alias("r")).select(*LINE, "r.is_object", F.col("r.fields").alias("v"))
 
 
 def f7_alias_map(spark: SparkSession, d: str) -> DataFrame:
-    level = replies.text_field(F.col("v"), "$.seniority")
-    mode = replies.text_field(F.col("v"), "$.modalidad")
+    level = replies.text_field(F.col("v.seniority"), "$")
+    mode = replies.text_field(F.col("v.modalidad"), "$")
     return _replies(spark, d).select(
         *LINE,
         text.alias_map(level, text.SENIORITY_ALIASES).alias("seniority"),
@@ -410,8 +415,8 @@ def f7_alias_map(spark: SparkSession, d: str) -> DataFrame:
 def f8_salary_parse(spark: SparkSession, d: str) -> DataFrame:
     return _replies(spark, d).select(
         *LINE,
-        replies.lenient_salary(F.col("v"), "$.salario_min").alias("salario_min"),
-        replies.lenient_salary(F.col("v"), "$.salario_max").alias("salario_max"),
+        replies.lenient_salary(F.col("v.salario_min"), "$").alias("salario_min"),
+        replies.lenient_salary(F.col("v.salario_max"), "$").alias("salario_max"),
     )
 
 
@@ -427,8 +432,8 @@ def f9_order_bounds(spark: SparkSession, d: str) -> DataFrame:
 def f10_json_repair(spark: SparkSession, d: str) -> DataFrame:
     return _replies(spark, d).select(
         *LINE,
-        F.col("v").isNotNull().alias("valido"),
-        F.try_variant_get("v", "$.tecnologias[1]", "string").alias("segunda"),
+        F.coalesce("is_object", F.lit(False)).alias("valido"),
+        F.try_variant_get("v.tecnologias", "$[1]", "string").alias("segunda"),
     )
 
 
@@ -623,6 +628,41 @@ def x1_run_extractor(spark: SparkSession, d: str) -> DataFrame:
     return tables.materialize(extraction.run_extractor(docs, _length_extractor))
 
 
+def _long_texts_only(prompt: str) -> str:
+    """Stands for a model whose quota ends with the first short prompt."""
+    if len(prompt) < 2000:
+        raise extraction.QuotaExhausted(len(prompt))
+    return _length_extractor(prompt)
+
+
+def x1_shared_quota(spark: SparkSession, d: str) -> DataFrame:
+    """All documents, longest first, to eight callers that share one quota."""
+    prompt = text.prompt(F.col("source"), F.col("text"), TEMPLATE, max_chars=None).alias("prompt")
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id_oferta"), prompt)
+    dealt = extraction.deal(docs.orderBy(F.length("prompt").desc(), "id_oferta"), 8)
+    record = journal.open_journal(f"{tables.work_dir(spark)}/journal")
+    return tables.materialize(extraction.run_in_rounds(dealt, _long_texts_only, record, calls=32))
+
+
+def a12_attempt_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Attempts processed and failed; raises if all have failed."""
+    processed, failed = extraction.assert_not_all_failed(raw_attempts(spark, d))
+    return spark.createDataFrame([(processed, failed)], "procesadas long, fallidas long")
+
+
+def q8_header_contract(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as four CSV files, two of which lack columns of the catalogue."""
+    root = tables.work_dir(spark)
+    names = [("variante", "nombre_canonico"), ("variante", "nombre"), ("nombre_canonico", "variante"), ("a", "b")]
+    for lot, (name, kind) in enumerate(names):
+        rows = table(spark, d, "part").filter(F.col("p_partkey") % 4 == lot)
+        rows = rows.select(F.col("p_name").alias(name), F.col("p_type").alias(kind))
+        rows.coalesce(1).write.option("header", True).csv(f"{root}/seeds/lote{lot}")
+    bad = catalogs.missing_columns(spark, f"{root}/seeds/*/*.csv", schemas.CATALOG.names)
+    lot = F.regexp_extract("archivo", r"/(lote\d)/", 1).alias("lote")
+    return bad.select(lot, F.array_join("faltan", ",").alias("faltan"))
+
+
 def x2_parse_replies(spark: SparkSession, d: str) -> DataFrame:
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     key = F.concat_ws("-", *LINE[:4], F.col("l_quantity").cast("long"), cents)
@@ -706,7 +746,10 @@ _QUERIES = (
     q5_salary_range,
     q6_catalog_normalized,
     q7_check_summary,
+    q8_header_contract,
+    a12_attempt_counts,
     x1_run_extractor,
+    x1_shared_quota,
     x2_parse_replies,
 )
 

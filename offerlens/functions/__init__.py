@@ -12,7 +12,7 @@ from .numbers import (
     round_half_even,
     safe_double,
 )
-from .replies import json_list, lenient_json_object, lenient_salary, strict_json
+from .replies import json_list, lenient_salary, reply_fields, strict_json
 from .text import (
     alias_map,
     canonical_level,
@@ -37,8 +37,8 @@ __all__ = [
     "html_text",
     "json_list",
     "label_map",
-    "lenient_json_object",
     "lenient_salary",
+    "reply_fields",
     "midpoint",
     "month_start",
     "ordered_bounds",

@@ -57,26 +57,8 @@ def unfenced(c: Column) -> Column:
     return once(once(F.btrim(c, blanks), opened), closed)
 
 
-def lenient_json(c: Column) -> Column:
-    """Variant of a reply without its code fences, else of its outermost braces."""
-
-    def whole_or_inner(bare: Column) -> Column:
-        # prose is not worth a failing parse
-        value = F.rlike(bare, F.lit(r'^\s*(?:[\[{"0-9-]|true|false|null)'))
-        inner = F.regexp_extract(bare, r"(?s)\{.*\}", 0)
-        braces = once(inner, lambda t: F.when(t != "", strict_json(t)))
-        return F.coalesce(F.when(value, strict_json(bare)), braces)
-
-    return once(unfenced(F.coalesce(c, F.lit(""))), whole_or_inner)
-
-
-def lenient_json_object(c: Column) -> Column:
-    """``lenient_json`` restricted to objects."""
-    return once(lenient_json(c), lambda v: F.when(is_object(v), v))
-
-
 def reply_fields(c: Column, *names: str) -> Column:
-    """``(is_json, is_object, <names>: VARIANT)`` of a reply, lenient as ``lenient_json``.
+    """``(is_object, fields: (<names>: VARIANT))`` of a reply without its code fences, else of its outermost braces.
 
     Only the named fields are kept; of repeated keys the last wins. NULL when nothing parses.
     """

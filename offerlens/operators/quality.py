@@ -164,38 +164,58 @@ def _row_condition(check: Check) -> Column | None:
     return None
 
 
+def _said(number: int, what: str, key: Column | None = None) -> Column:
+    """What a row says to a check: it breaks it, it has this key, or it is a parent with this key."""
+    value = F.lit(None).cast("string") if key is None else key.cast("string")
+    return F.struct(F.lit(number).alias("prueba"), F.lit(what).alias("que"), value.alias("clave"))
+
+
+def _statements(table: str, checks: list[Check]) -> list[Column]:
+    """What each row of ``table`` says to the checks, NULL where it says nothing."""
+    out = []
+    for i, check in enumerate(checks):
+        if check.table == table:
+            broken = _row_condition(check)
+            if broken is not None:
+                out.append(F.when(broken, _said(i, "rota")))
+            else:
+                key = F.col(check.column)
+                out.append(F.when(key.isNotNull(), _said(i, "hija", key)))
+        if check.kind == "relationships" and check.args["to"] == table:
+            key = F.col(check.args["field"])
+            out.append(F.when(key.isNotNull(), _said(i, "madre", key)))
+    return out
+
+
 def run_checks(tables: dict[str, DataFrame], checks: list[Check] = OFFER_CHECKS) -> DataFrame:
     """One row (prueba, fallos) per check on a given table.
 
-    All row-wise checks of a table share one scan; the others take one each.
+    One scan of each table serves all of its checks, and one aggregate by (check, key) all checks of all tables:
+    keys are counted in each task before they are shuffled, so a key that many rows share moves once for each task.
     """
     todo = [c for c in checks if c.table in tables]
     if not todo:
         raise ValueError("no check applies to the given tables")
-    results = []
-    for name in dict.fromkeys(c.table for c in todo):
-        df = tables[name]
-        rowwise = [c for c in todo if c.table == name and _row_condition(c) is not None]
-        if rowwise:
-            counts = df.agg(
-                *[F.count_if(_row_condition(c)).alias(f"c{i}") for i, c in enumerate(rowwise)]
-            )
-            pairs = [
-                F.struct(F.lit(c.name).alias("prueba"), F.col(f"c{i}").alias("fallos"))
-                for i, c in enumerate(rowwise)
-            ]
-            results.append(counts.select(F.inline(F.array(*pairs))))
-        for c in todo:
-            if c.table != name or c in rowwise:
-                continue
-            if c.kind == "unique":
-                failed = unique(df, c.column).agg(F.count(F.lit(1)).alias("fallos"))
-            else:
-                parent = tables[c.args["to"]]
-                orphans = relationships(df, c.column, parent, c.args["field"])
-                failed = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("fallos"))
-            results.append(failed.select(F.lit(c.name).alias("prueba"), "fallos"))
-    return reduce(DataFrame.unionByName, results)
+    said = []
+    for name, df in tables.items():
+        if statements := _statements(name, todo):
+            said.append(df.select(F.inline(F.filter(F.array(*statements), lambda s: s.isNotNull()))))
+    counts = reduce(DataFrame.unionByName, said).groupBy("prueba", "clave").agg(
+        *[F.count_if(F.col("que") == what).alias(what) for what in ("rota", "hija", "madre")]
+    )
+    number = F.col("prueba")
+    repeated = number.isin([i for i, c in enumerate(todo) if c.kind == "unique"]) & (F.col("hija") > 1)
+    orphaned = number.isin([i for i, c in enumerate(todo) if c.kind == "relationships"]) & (F.col("madre") == 0)
+    failed = (
+        F.when(repeated, F.lit(1).cast("long")).when(orphaned, F.col("hija")).otherwise(F.lit(0).cast("long"))
+        + F.col("rota")
+    )
+    spark = next(iter(tables.values())).sparkSession
+    # checks that no row spoke to have no failures
+    every = spark.range(len(todo)).select(F.col("id").cast("int").alias("prueba"), F.lit(0).cast("long").alias("fallos"))
+    total = counts.select("prueba", failed.alias("fallos")).unionByName(every).groupBy("prueba")
+    names = F.array(*[F.lit(c.name) for c in todo])
+    return total.agg(F.sum("fallos").alias("fallos")).select(F.get(names, number).alias("prueba"), "fallos")
 
 
 def assert_checks(results: DataFrame) -> None:

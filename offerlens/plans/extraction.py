@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
+from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,8 @@ from ..functions.text import (
     prompt,
 )
 from ..operators.lookup import canonical_items
-from ..operators.tables import materialize, read_table
+from ..operators.tables import materialize, read_table, work_dir
+from ..sources.journal import Journal, open_journal
 from .queue import pending_offers
 
 # Fixed value: version stored with every attempt made with the default template.
@@ -45,8 +47,18 @@ class ExtractorConfigurationError(Exception):
     """Raised by an extractor that cannot work at all: fails the job."""
 
 
+def _called(fn: Callable[[str], str], prompt: str) -> tuple[str | None, str | None]:
+    """(reply, error) of one call; quota and configuration signals go on."""
+    try:
+        return fn(prompt), None
+    except (QuotaExhausted, ExtractorConfigurationError):
+        raise
+    except Exception as exc:  # a failing call is recorded, never fatal
+        return None, f"llm_error: {type(exc).__name__}: {exc}"
+
+
 def run_extractor(df: DataFrame, fn: Callable[[str], str]) -> DataFrame:
-    """(id_oferta, respuesta_llm, call_error) for the prompts in ``df`` (id_oferta, prompt).
+    """(id_oferta, respuesta_llm, call_error) for the prompts in ``df`` (id_oferta, prompt), in any order.
 
     ``fn`` has side effects, so the result must be written once and read back,
     and speculative execution must be off. After a quota signal a task makes no
@@ -61,13 +73,9 @@ def run_extractor(df: DataFrame, fn: Callable[[str], str]) -> DataFrame:
                 if spent:
                     break
                 try:
-                    done.append((row.id_oferta, fn(row.prompt), None))
+                    done.append((row.id_oferta, *_called(fn, row.prompt)))
                 except QuotaExhausted:
                     spent = True
-                except ExtractorConfigurationError:
-                    raise
-                except Exception as exc:  # a failing call is recorded, never fatal
-                    done.append((row.id_oferta, None, f"llm_error: {type(exc).__name__}: {exc}"))
             yield pd.DataFrame(done, columns=["id_oferta", "respuesta_llm", "call_error"])
 
     return df.select("id_oferta", "prompt").mapInPandas(
@@ -75,6 +83,71 @@ def run_extractor(df: DataFrame, fn: Callable[[str], str]) -> DataFrame:
     )
 
 
+def deal(work: DataFrame, callers: int) -> DataFrame:
+    """Ordered ``work`` dealt out in turn: row n goes to partition n % callers, and partitions keep the order.
+
+    The order is numbered from per-task counts; only those reach the driver. No partition is empty.
+    """
+    # monotonically_increasing_id: the task above bit 33, the row in the task below
+    rows = materialize(work.withColumn("_at", F.monotonically_increasing_id()))
+    task = F.shiftright("_at", 33).cast("int")
+    counts = rows.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n")).orderBy("task").collect()
+    first, offsets = 0, []
+    for r in counts:
+        offsets += [F.lit(r.task), F.lit(first).cast("long")]
+        first += r.n
+    if not first:
+        return rows.withColumn("posicion", F.lit(0).cast("long")).drop("_at")
+    place = F.element_at(F.create_map(*offsets), task) + F.col("_at") - F.shiftleft(task.cast("long"), 33)
+    numbered = rows.withColumn("posicion", place).drop("_at")
+    n = min(callers, first)
+    return numbered.repartitionById(n, (F.col("posicion") % n).cast("int")).sortWithinPartitions("posicion")
+
+
+def run_in_rounds(dealt: DataFrame, fn: Callable[[str], str], journal: Journal, calls: int = 1) -> DataFrame:
+    """As ``run_extractor``, for one quota and one order that all callers share; ``dealt`` is ``deal``'s.
+
+    Callers are barrier tasks: each makes up to ``calls`` calls, records them, and then all agree whether to go on.
+    After the first quota signal nobody starts another round, so offers are tried newest first, and at most one
+    round is tried in part. A task that is run again answers from the journal. Results are written once.
+    """
+
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        context = BarrierTaskContext.get()
+        caller, known = context.partitionId(), journal.recorded(context.partitionId())
+        rows = (row for batch in batches for row in batch.itertuples(index=False))
+        number, spent, ended = 0, False, False
+        while True:
+            done, new = [], []
+            while len(done) < calls and not spent and not ended:
+                row = next(rows, None)
+                if row is None:
+                    ended = True
+                elif row.id_oferta in known:
+                    done.append((row.id_oferta, *known[row.id_oferta]))
+                else:
+                    try:
+                        new.append((row.id_oferta, *_called(fn, row.prompt)))
+                        done.append(new[-1])
+                    except QuotaExhausted:
+                        spent = True
+                    except ExtractorConfigurationError:
+                        if new:
+                            journal.write(caller, number, new)
+                        raise
+            if new:
+                journal.write(caller, number, new)
+            yield pd.DataFrame(done, columns=["id_oferta", "respuesta_llm", "call_error"])
+            number += 1
+            said = context.allGather("spent" if spent else "ended" if ended else "on")
+            if "spent" in said or set(said) == {"ended"}:
+                return
+
+    return dealt.select("id_oferta", "prompt").mapInPandas(
+        call, "id_oferta string, respuesta_llm string, call_error string", barrier=True
+    )
+
+
 def parse_replies(replies: DataFrame, catalog: DataFrame | dict[str, str]) -> DataFrame:
     """Attempt fields from (id_oferta, respuesta_llm, call_error); ids must be distinct."""
     names = ["tecnologias", "seniority", "modalidad", "salario_min", "salario_max"]
@@ -151,25 +224,31 @@ def classify_pending(
     reprocess_empty: bool = False,
     parallelism: int | None = None,
     ts: datetime | None = None,
+    journal: str | None = None,
 ) -> tuple[int, int]:
     """Extract the pending offers and append the attempts; returns (processed, failed).
 
-    ``parallelism`` sets the number of callers, by default as many as the session has slots; 1 keeps
-    the queue order.
+    ``parallelism`` sets the number of callers, by default as many as the session has slots. They take the
+    offers newest first, and stop together at the first quota signal. Replies are recorded as they come: in
+    ``journal``, a shared folder, a run that was cut short is taken up by the next one.
     """
     attempts = read_table(spark, attempts_path, schemas.RAW_ATTEMPTS)
     queue = pending_offers(offers, attempts, prompt_version, limit, reprocess_empty)
     work = queue.select(
-        "id_oferta", prompt(F.col("titulo"), F.col("descripcion"), template).alias("prompt")
+        "id_oferta",
+        "fecha_publicacion",
+        prompt(F.col("titulo"), F.col("descripcion"), template).alias("prompt"),
     )
-    if parallelism == 1:
-        work = work.coalesce(1)
-    else:
-        # a queue with a limit is one partition
-        work = work.repartition(parallelism or spark.sparkContext.defaultParallelism, "id_oferta")
-    replies = materialize(run_extractor(work, fn))
+    slots = spark.sparkContext.defaultParallelism
+    record = open_journal(journal or f"{work_dir(spark)}/journal")
+    before = materialize(record.replies(spark))
+    left = work.join(before.select("id_oferta"), "id_oferta", "left_anti") if not before.isEmpty() else work
+    order = [F.col("fecha_publicacion").desc_nulls_last(), F.col("id_oferta")]
+    dealt = deal(left.orderBy(*order), min(parallelism or slots, slots))
+    replies = before.unionByName(materialize(run_in_rounds(dealt, fn, record)))
     rows = materialize(
         record_attempts(parse_replies(replies, catalog), provider, model, prompt_version, ts)
     )
     rows.write.mode("append").parquet(attempts_path)
+    record.close()
     return assert_not_all_failed(rows)

@@ -23,14 +23,18 @@ def field(offer: Column, name: str, path: str = "$", kind: str = "string") -> Co
     return F.try_variant_get(F.try_element_at(offer, F.lit(name)), path, kind)
 
 
-def page_order() -> list[Column]:
-    """Files by name, numerically by a trailing page number, then position in the page.
+def page_key() -> Column:
+    """Place of an offer: files by name, numerically by a trailing page number, then position in the page.
 
     Content decides last, for files that hold several pages.
     """
     stem = F.regexp_extract("_file", r"^(.*?)(\d*)\.[^./]*$", 1)
     number = F.regexp_extract("_file", r"^(.*?)(\d*)\.[^./]*$", 2).try_cast("long")
-    return [stem.asc(), number.asc_nulls_first(), F.col("_pos").asc(), F.col("_hash").asc()]
+    return F.struct(stem.alias("stem"), number.alias("number"), F.col("_pos"), F.col("_hash"))
+
+
+def page_order() -> list[Column]:
+    return [page_key().asc()]
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:
