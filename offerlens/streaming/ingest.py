@@ -96,8 +96,8 @@ def stream_ingest(
     ``multi_line=False`` reads files with one page per line, which can be split.
     """
     if with_layout(spark, table, schemas.RAW_OFFERS).isEmpty():
-        # the folder must exist to be a source
-        spark.createDataFrame([], schemas.RAW_OFFERS).write.mode("append").parquet(table)
+        # the folder must exist to be a source; no file is written, as it would have no bucket
+        append_rows(spark.createDataFrame([], schemas.RAW_OFFERS), table, "id", buckets)
 
     def append(batch: DataFrame, number: int) -> None:
         session, mark = batch.sparkSession, f"{checkpoint}/marks/{number}"

@@ -114,7 +114,7 @@ def test_strict_json_rejects_trailing_text(spark):
     assert valid == [True, False, False, True, False, False, False, False]
 
 
-def test_lenient_json_object(spark):
+def test_reply_fields_of_a_lenient_reply(spark):
     given = [
         '```json\n{"a": 1}\n```',
         'Claro: {"a": 1} espero que ayude',
@@ -124,8 +124,9 @@ def test_lenient_json_object(spark):
         "",
         None,
     ]
-    out = evaluate(spark, lambda c: replies.lenient_json_object(c).cast("string"), given)
-    assert out == ['{"a":1}', '{"a":1}', None, None, None, None, None]
+    found = lambda c: replies.reply_fields(c, "a")
+    assert evaluate(spark, lambda c: found(c)["fields"]["a"].cast("string"), given) == ["1", "1", None, None, None, None, None]
+    assert evaluate(spark, lambda c: found(c)["is_object"], given) == [True, True, False, None, None, None, None]
 
 
 def test_json_list_is_strict(spark):

@@ -175,6 +175,29 @@ def test_append_new_is_idempotent(spark, monkeypatch, fits):
     assert tables.append_new(both, batch, "id", [F.col("v").asc()]).isEmpty()
 
 
+def test_append_reads_only_the_buckets_it_touches(spark, tmp_path):
+    path, kind = str(tmp_path / "t"), T.StructType.fromDDL("id string, v long")
+    rows_of = lambda a, b: spark.range(a, b).select(F.col("id").cast("string").alias("id"), F.col("id").alias("v"))
+    assert tables.append_rows(rows_of(0, 500), path, "id", 16) == 500
+    batch = rows_of(499, 502)
+    stored = tables.with_layout(spark, path, kind)
+    seen = tables.touched(stored, batch, "id", 16)
+    used = {r[0] for r in batch.select(tables.bucket(F.col("id"), 16)).collect()}
+    read = {r[0] for r in seen.select(F.regexp_extract(F.input_file_name(), "cubo=([0-9]+)/", 1)).distinct().collect()}
+    assert {int(x) for x in read} == used and len(used) < 4
+    plan = seen.select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "cubo#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    fresh = tables.append_new(stored, batch, "id", [F.col("v").asc()], 16)
+    assert rows(fresh) == [("500", 500), ("501", 501)]
+    # another number of buckets: the old ones are read whole, nothing is stored twice
+    assert tables.append_rows(fresh, path, "id", 8) == 2
+    stored = tables.with_layout(spark, path, kind)
+    for buckets in (8, 16, 5):
+        assert tables.append_new(stored, rows_of(0, 502), "id", [F.col("v").asc()], buckets).isEmpty()
+    assert tables.read_table(spark, path, kind).columns == ["id", "v"]
+    assert tables.append_rows(rows_of(0, 0), path, "id", 8) == 0
+
+
 def test_read_table_before_and_after_a_schema_change(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.read_table(spark, path, schemas.RAW_ATTEMPTS).isEmpty()
@@ -236,7 +259,10 @@ def test_checks_block(spark):
     good = {"t": spark.createDataFrame([("a",)], "k string"), "p": spark.createDataFrame([("a",)], "id string")}
     quality.assert_checks(quality.run_checks(good, checks))
     bad = {**good, "t": spark.createDataFrame([("a",), ("a",), ("b",), ("b",), (None,)], "k string")}
-    found = {r.prueba: r.fallos for r in quality.run_checks(bad, checks).collect()}
+    results = quality.run_checks(bad, checks)
+    found = {r.prueba: r.fallos for r in results.collect()}
+    plan = results._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 2  # each table once
     assert found == {"not_null_t_k": 1, "unique_t_k": 2, "relationships_t_k": 2}
     with pytest.raises(quality.QualityError, match="unique_t_k: 2"):
         quality.assert_checks(quality.run_checks(bad, checks))

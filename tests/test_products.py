@@ -1,7 +1,11 @@
 """Golden cases of the whole flow: queue, extraction, staging, marts, reports."""
 
 import json
-from datetime import datetime
+import os
+import re
+import uuid
+from collections import Counter
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +17,7 @@ from offerlens.operators.tables import ensure_schema
 from offerlens.plans import extraction, marts, queue, reports, staging
 from offerlens.plans.build import build_all
 from offerlens.sources.catalog import load_catalog, read_seed
+from offerlens.sources.journal import open_journal
 from offerlens.sources.marts import load_marts
 
 ENTRIES = [
@@ -254,25 +259,82 @@ def test_queue_order_and_limit(spark):
     assert order(2) == ["2", "4"]
 
 
-def test_quota_stops_without_error_rows(spark, catalog, tmp_path):
-    offers = offers_of(
-        spark,
-        [("1", "t1", "2026-09-03"), ("2", "t2", "2026-09-02"), ("3", "t3", "2026-09-01")],
-        "id string, titulo string, fecha_publicacion string",
-    )
+class Counted:
+    """A model whose calls are counted in files, as callers are processes of their own."""
 
-    def extractor(prompt):
-        if "t1" not in prompt:
-            raise extraction.QuotaExhausted("quota")
+    def __init__(self, folder, quota=10**9, crash=None):
+        self.folder, self.quota, self.crash = str(folder), quota, crash
+        os.makedirs(self.folder, exist_ok=True)
+
+    def calls(self):
+        return [f.split("-")[0] for f in os.listdir(self.folder)]
+
+    def __call__(self, prompt):
+        title = re.search(r"puesto[0-9]+", prompt).group()
+        if int(title[6:]) >= self.quota:
+            raise extraction.QuotaExhausted("nothing left")
+        open(f"{self.folder}/{title}-{uuid.uuid4().hex}", "w").close()
+        if title == self.crash:
+            raise extraction.ExtractorConfigurationError("key withdrawn")
         return reply(["Python"])
 
-    path = str(tmp_path / "attempts")
+
+def numbered_offers(spark, n):
+    """Offer i is the i-th newest."""
+    data = [(f"{i * 7 % n:03d}x", f"puesto{i}", str(date(2026, 9, 30) - timedelta(days=i))) for i in range(n)]
+    return offers_of(spark, data, "id string, titulo string, fecha_publicacion string")
+
+
+def test_callers_share_one_quota(spark, catalog, tmp_path):
+    """The newest offers get the replies; after the first signal nobody calls, and nothing is recorded as failed."""
+    model, path = Counted(tmp_path / "calls", quota=21), str(tmp_path / "attempts")
     counts = extraction.classify_pending(
-        spark, offers, path, extractor, inline_entries(catalog), "local", "regla", parallelism=1
+        spark, numbered_offers(spark, 60), path, model, inline_entries(catalog), "local", "regla", parallelism=8
     )
-    assert counts == (1, 0)
+    assert counts == (21, 0)
     stored = spark.read.schema(schemas.RAW_ATTEMPTS).parquet(path).collect()
-    assert [(r.id_oferta, r.error, r.tecnologias) for r in stored] == [("1", None, ["Python"])]
+    assert all(r.error is None and r.tecnologias == ["Python"] for r in stored)
+    assert sorted(model.calls()) == sorted(f"puesto{i}" for i in range(21))
+    assert {r.id_oferta for r in stored} == {f"{i * 7 % 60:03d}x" for i in range(21)}
+
+
+def test_a_run_that_was_cut_short_repeats_no_call(spark, catalog, tmp_path):
+    path, journal = str(tmp_path / "attempts"), str(tmp_path / "journal")
+    offers, entries = numbered_offers(spark, 30), inline_entries(catalog)
+    model = Counted(tmp_path / "calls", crash="puesto17")
+    with pytest.raises(Exception, match="key withdrawn"):
+        extraction.classify_pending(spark, offers, path, model, entries, "local", "regla", parallelism=4, journal=journal)
+    before = set(model.calls()) - {"puesto17"}
+    assert len(before) >= 16
+    model.crash = None
+    counts = extraction.classify_pending(
+        spark, offers, path, model, entries, "local", "regla", parallelism=3, journal=journal
+    )
+    assert counts == (30, 0)
+    again = Counter(model.calls())
+    assert set(again) == {f"puesto{i}" for i in range(30)}
+    assert [t for t, n in again.items() if n > 1] == ["puesto17"]
+    # the run is closed: the next one starts afresh, with nothing to do
+    assert extraction.classify_pending(
+        spark, offers, path, model, entries, "local", "regla", journal=journal
+    ) == (0, 0)
+
+
+def test_a_task_that_runs_again_answers_from_the_journal(spark, tmp_path):
+    model, run = Counted(tmp_path / "calls"), open_journal(str(tmp_path / "journal"))
+    work = spark.range(12).select(F.col("id").cast("string").alias("id_oferta"), F.concat(F.lit("puesto"), "id").alias("prompt"))
+    dealt = extraction.deal(work.orderBy("prompt"), 5)
+    first = sorted(tuple(r) for r in extraction.run_in_rounds(dealt, model, run, calls=2).collect())
+    again = sorted(tuple(r) for r in extraction.run_in_rounds(dealt, model, run, calls=2).collect())
+    assert first == again and len(first) == 12 and len(model.calls()) == 12
+
+
+@pytest.mark.parametrize(("n", "callers"), [(0, 3), (1, 3), (10, 3), (100, 7)])
+def test_deal(spark, n, callers):
+    work = spark.range(n).select("id").repartition(5).orderBy(F.desc("id"))
+    parts = extraction.deal(work, callers).withColumn("p", F.spark_partition_id()).collect()
+    assert sorted(r.posicion for r in parts) == list(range(n))
+    assert all(r.id == n - 1 - r.posicion and r.p == r.posicion % min(callers, n) for r in parts)
 
 
 def test_failures_are_recorded_and_all_failing_raises(spark, catalog, tmp_path):

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from offerlens import schemas
 from offerlens.operators.lookup import inline_entries
+from offerlens.sources import catalog as catalogs
 from offerlens.sources import offer_pages, snapshots
 from offerlens.sources.catalog import load_catalog
+from offerlens.sources.journal import open_journal
+from offerlens.sources.offer_pages import flatten_offers, read_offer_pages
+from offerlens.streaming import ingest
 from offerlens.streaming.ingest import ingest_pages, stream_ingest
 
 OFFER = {
@@ -87,6 +91,91 @@ def test_stream_ingest_over_overlapping_pages(spark, tmp_path):
     assert spark.read.parquet(table).count() == 3
 
 
+def stored_ids(spark, table):
+    return sorted(r.id for r in spark.read.parquet(table).select("id").collect())
+
+
+def test_stream_reads_no_history(spark, tmp_path, monkeypatch):
+    folder, table, state = tmp_path / "pages", str(tmp_path / "raw"), str(tmp_path / "state")
+
+    def compared(*_):
+        raise AssertionError("a first attempt of a batch compares itself with the table")
+
+    monkeypatch.setattr(ingest, "append_new", compared)
+    for day, ids in enumerate([[1, 2], [2, 3], [1, 3, 4]]):
+        land(folder, f"d{day}_p1.json", [{"id": i, "title": f"day {day}"} for i in ids])
+        stream_ingest(spark, str(folder), table, state).awaitTermination()
+    found = {r.id: r.titulo for r in spark.read.parquet(table).collect()}
+    assert found == {"1": "day 0", "2": "day 0", "3": "day 1", "4": "day 2"}
+
+
+def test_a_repeated_batch_adds_nothing(spark, tmp_path):
+    folder, table, state = tmp_path / "pages", str(tmp_path / "raw"), tmp_path / "state"
+    land(folder, "p1.json", [{"id": i, "title": "a"} for i in range(20)])
+    stream_ingest(spark, str(folder), table, str(state)).awaitTermination()
+    # the rows were written, but the end of the batch was not recorded
+    last = sorted((f for f in (state / "commits").iterdir() if f.name.isdigit()), key=lambda f: int(f.name))[-1]
+    (state / "commits" / f".{last.name}.crc").unlink(missing_ok=True)
+    last.unlink()
+    land(folder, "p2.json", [{"id": i, "title": "b"} for i in range(10, 30)])
+    stream_ingest(spark, str(folder), table, str(state)).awaitTermination()
+    assert stored_ids(spark, table) == sorted(str(i) for i in range(30))
+
+
+def test_stream_knows_what_others_stored(spark, tmp_path):
+    folder, other = tmp_path / "pages", tmp_path / "other"
+    table, state = str(tmp_path / "raw"), str(tmp_path / "state")
+    land(other, "p0.json", [{"id": 1, "title": "theirs"}])
+    assert ingest_pages(spark, str(other), table) == 1
+    land(folder, "p1.json", [{"id": 1, "title": "ours"}, {"id": 2, "title": "ours"}])
+    stream_ingest(spark, str(folder), table, state).awaitTermination()
+    land(other, "p1.json", [{"id": 3, "title": "theirs"}])
+    assert ingest_pages(spark, str(other), table) == 1
+    land(folder, "p2.json", [{"id": 3, "title": "ours"}, {"id": 2, "title": "ours"}])
+    stream_ingest(spark, str(folder), table, state).awaitTermination()
+    found = {r.id: r.titulo for r in spark.read.parquet(table).collect()}
+    assert found == {"1": "theirs", "2": "ours", "3": "theirs"} and len(stored_ids(spark, table)) == 3
+
+
+def test_a_table_without_layout_stays_as_it_is(spark, tmp_path):
+    folder, table = tmp_path / "pages", str(tmp_path / "raw")
+    land(folder, "p1.json", [{"id": 1, "title": "a"}, {"id": 2, "title": "b"}])
+    rows = flatten_offers(read_offer_pages(spark, str(folder))).filter("id = '1'")
+    rows.write.parquet(table)
+    assert [ingest_pages(spark, str(folder), table) for _ in range(2)] == [1, 0]
+    assert "cubo" not in spark.read.parquet(table).columns and stored_ids(spark, table) == ["1", "2"]
+
+
+def test_journal(spark, tmp_path):
+    root = str(tmp_path / "journal")
+    run = open_journal(root)
+    assert run.recorded(0) == {} and run.replies(spark).isEmpty()
+    run.write(0, 0, [("a", "x", None), ("b", None, "e")])
+    run.write(1, 0, [("c", "y", None)])
+    assert open_journal(root) == run
+    assert run.recorded(0) == {"a": ("x", None), "b": (None, "e")}
+    assert sorted(r.id_oferta for r in run.replies(spark).collect()) == ["a", "b", "c"]
+    run.close()
+    assert open_journal(root) != run
+
+
+def test_headers_of_a_folder(spark, tmp_path):
+    for i in range(6):
+        (tmp_path / f"f{i}.csv").write_text(f'variante,nombre_canonico\n"v,{i}",N{i}\n')
+    (tmp_path / "turned.csv").write_text('\ufeff"nombre_canonico","variante",nota\nTurned,t,"a\nb"\n')
+    seed = catalogs.read_seed(spark, str(tmp_path))
+    expected = [("t", "Turned")] + [(f"v,{i}", f"N{i}") for i in range(6)]
+    assert sorted((r.variante, r.nombre_canonico) for r in seed.collect()) == sorted(expected)
+    (tmp_path / "bad.csv").write_text("variante;nombre_canonico\na;b\n")
+    (tmp_path / "short.csv").write_text("variante\na\n")
+    bad = catalogs.missing_columns(spark, str(tmp_path), ["variante", "nombre_canonico"]).collect()
+    assert {r.archivo.rsplit("/", 1)[1]: r.faltan for r in bad} == {
+        "bad.csv": ["nombre_canonico", "variante"], "short.csv": ["nombre_canonico"]
+    }
+    with pytest.raises(ValueError, match="short.csv: missing columns"):
+        catalogs.read_seed(spark, str(tmp_path))
+
+
 def test_files_with_one_page_per_line(spark, tmp_path):
     folder = tmp_path / "pages"
     folder.mkdir()
