@@ -37,6 +37,14 @@ def _each_byte(error: UnicodeError):
 codecs.register_error("each-byte", _each_byte)
 
 
+#: bits of a symbol's number
+BITS = 20
+MASK = (1 << BITS) - 1
+NONE = 1 << 62
+#: words merged at once, and characters of the texts whose words are learnt together
+LEARNT, AHEAD = 20_000, 1_000_000
+
+
 class CharMap:
     """A compiled character map: a double-array trie of prefixes, and their replacements."""
 
@@ -138,6 +146,105 @@ class Pieces:
             self.bytes[i] = self.normal_bytes[i] = 0
         self.seen: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self._number_merges()
+
+    def _number_merges(self) -> None:
+        """Symbols (pieces, and characters within pieces) as numbers, and what two of them merge to: the rank of its
+        score, best first, above its number."""
+        chars = {c for p in self.ids for c in p}
+        self.symbols = {**self.ids, **{c: len(self.surface) + i for i, c in enumerate(sorted(chars - set(self.ids)))}}
+        self.chars = {c: self.symbols[c] for c in chars}
+        self.final = [[i] for i in range(len(self.surface))]
+        self.final += [[self.byte[b] for b in c.encode()] for c in sorted(chars - set(self.ids))]
+        rank = {score: i for i, score in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        self.merges: dict[int, int] = {}
+        alike: dict[int, int] = {}
+        for p, i in self.ids.items():
+            merged = rank[self.scores[p]] << BITS | i
+            alike[merged >> BITS] = alike.get(merged >> BITS, 0) + 1
+            for at in range(1, len(p)):
+                left, right = self.symbols.get(p[:at]), self.symbols.get(p[at:])
+                if left is not None and right is not None:
+                    self.merges[left << BITS | right] = merged
+        #: merges whose score another piece has as well
+        self.tied = {m for m in self.merges.values() if alike[m >> BITS] > 1}
+
+        known = sorted(self.merges)
+        self.pairs = np.array(known, np.int64)
+        self.made = np.array([self.merges[k] for k in known], np.int64)
+        self.char_table = np.full(0x110000, -1, np.int64)
+        for c, i in self.chars.items():
+            self.char_table[ord(c)] = i
+
+    def _merge_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What symbols merge to, ``NONE`` where they do not; -1 is no symbol."""
+        pair = left << BITS | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == pair) & (right >= 0), self.made[at], NONE)
+
+    def learn(self, words: list[str]) -> None:
+        """Remember the ids of many short words at once: all of them take their best merge, round by round."""
+        words = [SPACE + w for w in words]
+        codes = self.char_table[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        size = np.array([len(w) for w in words])
+        start = np.cumsum(size) - size
+        fine = np.minimum.reduceat(codes, start) >= 0
+        tied = np.array(sorted(self.tied), np.int64)
+        for low, high in ((0, 5), (5, 8), (8, 12), (12, 20), (20, 32)):
+            some = np.flatnonzero(fine & (size > low) & (size <= high))
+            if not len(some):
+                continue
+            place = start[some][:, None] + np.arange(high + 1)
+            inside = np.arange(high + 1) < size[some][:, None]
+            parts = np.where(inside, codes[np.minimum(place, len(codes) - 1)], -1)
+            open_, now, unsure = some, parts, []
+            merge = self._merge_of(now[:, :-1], now[:, 1:])
+            while len(open_):
+                row, at = np.arange(len(open_)), merge.argmin(1)
+                best = merge[row, at]
+                alike = np.isin(best, tied)
+                unsure += open_[alike].tolist()
+                go = (best != NONE) & ~alike
+                done = ~go & ~alike
+                self._remember([words[i] for i in open_[done].tolist()], now[done])
+                open_, now, merge, at, best = open_[go], now[go], merge[go], at[go], best[go]
+                if not len(open_):
+                    break
+                row, made = row[: len(open_)], best & MASK
+                now[row, at] = made
+                columns = np.arange(high)
+                now[:, 1:-1] = np.take_along_axis(now, columns[1:] + (columns[1:] > at[:, None]), 1)
+                now[:, -1] = -1
+                merge[:, :-1] = np.take_along_axis(merge, columns[:-1] + (columns[:-1] > at[:, None]), 1)
+                merge[:, -1] = NONE
+                left = np.maximum(at - 1, 0)
+                merge[row, at] = self._merge_of(made, now[row, at + 1])
+                merge[row, left] = np.where(at > 0, self._merge_of(now[row, left], made), merge[row, left])
+            for i in unsure:
+                self._word(words[i][1:])
+
+    def _remember(self, words: list[str], symbols: np.ndarray) -> None:
+        """The ids of words that are merged: their symbols, or the bytes of a character that is no piece."""
+        ids = symbols[symbols >= 0].astype(np.int32).tobytes()
+        stop = 4 * np.cumsum((symbols >= 0).sum(1))
+        odd = (symbols >= len(self.surface)).any(1).tolist()
+        start = 0
+        for i, (word, end) in enumerate(zip(words, stop.tolist())):
+            self.words[word[1:]] = ids[start:end]
+            if odd[i]:
+                parts = [x for s in symbols[i].tolist() if s >= 0 for x in self.final[s]]
+                self.words[word[1:]] = np.array(parts, np.int32).tobytes()
+            start = end
+
+    def learn_texts(self, texts: list[str]) -> None:
+        """``learn`` the words of some texts that are not known yet."""
+        new = set().union(*(t.split(" ") for t in texts)).difference(self.words)
+        if len(self.words) + len(new) > SEGMENTS:
+            self.words.clear()
+            new = set().union(*(t.split(" ") for t in texts))
+        new = [w for w in new if 0 < len(w) < 32 and SPACE not in w]
+        for at in range(0, len(new), LEARNT):
+            self.learn(new[at : at + LEARNT])
 
     def _merged(self, text: str) -> list[int]:
         """Byte-pair merges by best score, leftmost first."""
@@ -274,11 +381,23 @@ def encode(documents: DataFrame, model: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model)
 
-        def rows():
+        def ahead():
+            held, size = [], 0
             for batch in batches:
                 texts = batch.column("text")
                 for row, doc, text in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), texts):
-                    text = text.as_py() or ""
+                    held.append((row, doc, text.as_py() or ""))
+                    size += len(held[-1][2])
+                    if size >= AHEAD:
+                        yield held
+                        held, size = [], 0
+            yield held
+
+        def rows():
+            for held in ahead():
+                if held and not pieces.map.units:
+                    pieces.learn_texts([text for _, _, text in held])
+                for row, doc, text in held:
                     ids, starts = pieces.encode(text)
                     size = len(text.encode())
                     yield row, doc, ids, starts.astype(np.int32), size, pieces.decode(ids.tolist())

@@ -68,13 +68,15 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def piece_digests(documents: DataFrame, file: str = "piece_bpe_32k.model") -> DataFrame:
-    """Number and digest of each document's ids, and the digest of the text they decode to."""
+    """Number and digest of each document's ids, the digest of the text they decode to, and a hash of the original
+    bytes at which the pieces begin."""
     out = pieces.encode(documents, tokenizer_file(file))
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.xxhash64("starts").alias("starts_xxhash64"),
     )
 
 
