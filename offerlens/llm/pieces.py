@@ -184,6 +184,8 @@ class Pieces:
 
     def learn(self, words: list[str]) -> None:
         """Remember the ids of many short words at once: all of them take their best merge, round by round."""
+        if not words:
+            return
         words = [SPACE + w for w in words]
         codes = self.char_table[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
         size = np.array([len(w) for w in words])
