@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import dates, numbers, replies, text
 from ..operators import aggregates, dedup, fingerprint, lookup, quality, tables
-from ..plans import build, extraction, marts, queue, reports, staging
+from ..plans import build, extraction, incremental, marts, queue, reports, staging
 from ..sources import catalog as catalogs
 from ..sources import journal, offer_pages, snapshots
 from ..streaming import ingest
@@ -497,6 +497,29 @@ def m0_staging(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def t2_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Staging built without the late rows, then brought up to date with two late batches."""
+    root = tables.work_dir(spark)
+    offers, attempts = raw_offers(spark, d), raw_attempts(spark, d)
+    # every seventh offer is late, and so are the attempts of every fifth, in two batches
+    late_offer, late_attempt = F.col("id").cast("long") % 7, F.col("id_oferta").cast("long") % 5
+    batches = [
+        (offers.filter(late_offer != 0), attempts.filter(late_attempt > 1)),
+        (offers, attempts.filter(late_attempt > 0)),
+        (offers, attempts),
+    ]
+    incremental.build_staging(spark, *batches[0], catalog(spark, d), root)
+    ids = offers.filter(late_offer == 0).select(F.col("id").alias("id_oferta"))
+    changes = [
+        ids.unionByName(attempts.filter(late_attempt == 1).select("id_oferta")),
+        attempts.filter(late_attempt == 0).select("id_oferta"),
+    ]
+    for (known, tried), changed in zip(batches[1:], changes):
+        incremental.update_staging(spark, known, tried, catalog(spark, d), changed, root)
+    stg = incremental.read_staging(spark, root).select(*incremental.COLUMNS)
+    return stg.withColumn("tecnologias", F.array_join("tecnologias", ","))
+
+
 def m0_offer_tech(spark: SparkSession, d: str) -> DataFrame:
     return staging.offer_technologies(staged(spark, d))
 
@@ -726,6 +749,7 @@ _QUERIES = (
     f17_prompt,
     f18_rounding,
     m0_staging,
+    t2_late_rows,
     m0_offer_tech,
     m1_demand,
     m2_salaries,
