@@ -46,7 +46,7 @@ STAGES = [
     ("sentencepiece", encode),
 ]
 
-#: the first stage trains a classifier and the fourth draws by hash; tests hold the stages against brute force
+#: the first stage trains a classifier and the fourth draws by hash
 ORACLE_SQL = None
 
 
