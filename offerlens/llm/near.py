@@ -39,8 +39,6 @@ SETS, SHINGLES, COLUMNS = 256, 100_000, 4096
 WORDS = 150_000
 #: shingles that are hashed at once
 PART = 4096
-#: bytes of a shingle's hash in the sets that are compared
-BYTES = 6
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SKETCH = "row long, doc_id long, n long, whole binary, a array<long>, b array<long>"
 
@@ -205,10 +203,7 @@ def _sets(size: int):
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             for start in range(0, batch.num_rows, 500):
-                part = [
-                    shingles(t.as_py() or b"").view(np.uint8).reshape(-1, 8)[:, :BYTES].tobytes()
-                    for t in texts.slice(start, 500)
-                ]
+                part = [shingles(t.as_py() or b"").tobytes() for t in texts.slice(start, 500)]
                 yield pa.record_batch(
                     [batch.column("row").slice(start, 500), pa.array(part, pa.binary())], names=["v", "set"]
                 )
@@ -329,9 +324,7 @@ def _family_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
 
 
 def _unpacked(packed: bytes) -> np.ndarray:
-    out = np.zeros((len(packed) // BYTES, 8), np.uint8)
-    out[:, :BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, BYTES)
-    return out.view(np.uint64).reshape(-1)
+    return np.frombuffer(packed, np.uint64)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
