@@ -21,13 +21,14 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerlens.llm.common import keyed, pick
 
@@ -44,6 +45,8 @@ LANDMARKS, LENGTHS, PURE = 48, range(4, 13), 0.95
 WITNESSES = 4
 #: share of a landmark's documents that a longer one must have to replace it
 GROW = 0.8
+#: kernel with an earlier landmark from which on a landmark is a variant of it
+VARIANT = 0.5
 #: pairs that are evaluated together, and the smallest kernel value that counts as a resemblance
 PAIRS, LEAST = 4096, 0.02
 #: share of a landmark's own kernel below which a word is not looked at closer, and a window's extra characters
@@ -64,7 +67,8 @@ def cleaned(word: str) -> str:
 
 
 def sentences(text: str) -> list[list[str]]:
-    """Words of every sentence; four or more single characters in a row are one word."""
+    """Words of every sentence, in lower case; four or more single characters in a row are one word."""
+    text = text.lower()
     if _SPELLED.search(text):
         text = _SPELLED.sub(lambda m: m.group().replace(" ", ""), text)
     return [words for part in _SENTENCE.split(text) if (words := part.split())]
@@ -73,22 +77,19 @@ def sentences(text: str) -> list[list[str]]:
 def subsequence_kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The gap-weighted kernel of pairs: row ``i`` of ``left`` with row ``i`` of ``right``, codes padded with 0
     and -1 so that padding matches nothing."""
-    n, a = left.shape
-    b = right.shape[1]
-    inner = np.ones((b + 1, a + 1, n), np.float32)
-    total = np.zeros(n, np.float32)
-    for order in range(1, ORDER + 1):
-        nxt = np.zeros((b + 1, a + 1, n), np.float32)
-        for j in range(1, b + 1):
-            run = np.zeros(n, np.float32)
-            for i in range(1, a + 1):
-                same = (left[:, i - 1] == right[:, j - 1]) * inner[j - 1, i - 1] * np.float32(GAP**2)
-                if order == ORDER:
-                    total += same
-                run = np.float32(GAP) * run + same
-                nxt[j, i] = np.float32(GAP) * nxt[j - 1, i] + run
-        inner = nxt
-    return total
+    match = (right.T[:, None, :] == left.T[None, :, :]).astype(np.float32) * np.float32(GAP**2)
+    ends, gap = match, np.float32(GAP)
+    for _ in range(ORDER - 1):
+        # what ends here or before, each character in between at the price of a gap
+        ends = ends.copy()
+        for i in range(1, ends.shape[1]):
+            ends[:, i] += gap * ends[:, i - 1]
+        for j in range(1, ends.shape[0]):
+            ends[j] += gap * ends[j - 1]
+        longer = np.zeros_like(match)
+        longer[1:, 1:] = match[1:, 1:] * ends[:-1, :-1]
+        ends = longer
+    return ends.sum((0, 1))
 
 
 def _codes(words: list[str], width: int, pad: int) -> np.ndarray:
@@ -132,9 +133,16 @@ def embedded(word: str, mark: str) -> str:
     return "".join(word[i] if i in best else "\0" for i in range(best[0], best[-1] + 1))
 
 
+def _piece_needed(size: int) -> int:
+    """Length of the shortest piece of ``size`` different characters whose own kernel is ``FAINT`` times theirs."""
+    row = np.arange(1, size + 1)[None, :]
+    own = [float(subsequence_kernel(row[:, :n], row[:, :n])[0]) for n in range(ORDER, size + 1)]
+    return ORDER + next(i for i, k in enumerate(own) if k >= FAINT * own[-1])
+
+
 class Words:
     """Kernel values of words with the landmarks. A word that lacks two of a landmark's characters, or one of four,
-    has none."""
+    has none, nor has one with too few of them in order for a faint resemblance."""
 
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
@@ -144,23 +152,35 @@ class Words:
         self.letters = _letters(_codes(landmarks, width, 0))
         distinct = np.bitwise_count(self.letters).astype(int)
         self.needed, self.distinct = distinct - (distinct > 4), distinct
+        self.sizes = np.array(list(map(len, landmarks)), np.int64)
+        # a shorter piece of a landmark resembles it faintly, if at all
+        self.least = np.array([_piece_needed(n) for n in self.sizes], np.int64)
+        self.shortest = int(self.least.min(initial=ORDER))
+        #: words that were evaluated, with their values, and those of them that resemble a landmark
         self.seen: dict[str, np.ndarray | None] = {}
+        self.hits: dict[str, np.ndarray] = {}
 
-    def learn(self, raw: list[str]) -> None:
+    def learn(self, raw: Iterable[str]) -> None:
         """Evaluates words that are new."""
-        new = [w for w in raw if w not in self.seen]
+        new = set(raw).difference(self.seen)
         if len(self.seen) + len(new) > WORDS:
             self.seen.clear()
-            new = list(dict.fromkeys(raw))
+            self.hits.clear()
+            new = set(raw)
         self.seen.update(dict.fromkeys(new))
+        # most words are letters alone, and in lower case already
+        core = {w: f"^{w}$" if w.isalnum() else cleaned(w) for w in new}
         pieces, owner = [], []
-        for w in new:
-            clean = cleaned(w)
+        for clean in set(core.values()):
+            if self.shortest <= len(clean) <= SHARED + 1:
+                pieces.append(clean)
+                owner.append(clean)
+                continue
             # a long word is looked at through overlapping windows
             for at in range(0, max(1, len(clean) - SHARED), WINDOW - SHARED):
-                if len(piece := clean[at : at + WINDOW]) >= ORDER:
+                if len(piece := clean[at : at + WINDOW]) >= self.shortest:
                     pieces.append(piece)
-                    owner.append(w)
+                    owner.append(clean)
         if not pieces or not self.landmarks:
             return
         lengths = np.array(list(map(len, pieces)))
@@ -171,9 +191,12 @@ class Words:
                 some = mine[start : start + 20_000]
                 codes = _codes([pieces[i] for i in some], top, 0)
                 have = np.bitwise_count(_letters(codes)[:, None] & self.letters[None, :])
-                word, mark = np.nonzero(have >= self.distinct[None, :])
-                whole += zip((some[word]).tolist(), mark.tolist())
                 word, mark = np.nonzero(have >= self.needed[None, :])
+                shared = self._in_order(codes, word, mark)
+                held = shared == self.sizes[mark]
+                whole += zip(some[word[held]].tolist(), mark[held].tolist())
+                close = shared >= self.least[mark]
+                word, mark = word[close], mark[close]
                 for at in range(0, len(word), PAIRS):
                     w, m = word[at : at + PAIRS], mark[at : at + PAIRS]
                     found.append((some[w], m, subsequence_kernel(codes[w], self.codes[m])))
@@ -187,33 +210,61 @@ class Words:
         word = np.r_[word, [i for i, _, _ in apart]].astype(int)
         mark = np.r_[mark, marks := np.array([m for _, m, _ in apart], int)]
         value = np.r_[value, self._inside([e for _, _, e in apart], marks)]
+        rows: dict[str, np.ndarray] = {}
         for i, m, v in zip(word.tolist(), mark.tolist(), value.tolist()):
             if v > LEAST:
-                row = self.seen[owner[i]]
+                row = rows.get(owner[i])
                 if row is None:
-                    row = self.seen[owner[i]] = np.zeros(len(self.landmarks), np.float32)
+                    row = rows[owner[i]] = np.zeros(len(self.landmarks), np.float32)
                 row[m] = max(row[m], v)
+        found = {w: rows[c] for w, c in core.items() if c in rows}
+        self.seen.update(found)
+        self.hits.update(found)
+
+    def _in_order(self, codes: np.ndarray, word: np.ndarray, mark: np.ndarray) -> np.ndarray:
+        """The longest common subsequence of pairs of words and landmarks: bit ``i`` of a row is cleared where the
+        first ``i + 1`` characters of the landmark have one more in common with the word than the first ``i``."""
+        out = np.zeros(len(word), np.int64)
+        for m, landmark in enumerate(self.landmarks):
+            mine = np.flatnonzero(mark == m)
+            some = codes[word[mine]]
+            places = np.zeros(some.shape, np.uint16)
+            for c in set(landmark):
+                bits = sum(1 << i for i, other in enumerate(landmark) if other == c)
+                places[some == ord(c)] = bits
+            row = np.full(len(mine), 0xFFFF, np.uint16)
+            for place in places.T:
+                same = row & place
+                row = (row + same) | (row - same)
+            out[mine] = np.bitwise_count(~row & np.uint16((1 << len(landmark)) - 1))
+        return out
 
     def _aligned(self, words: list[str], marks: np.ndarray) -> np.ndarray:
         """The normalised kernel of each word's best window with its landmark; windows are up to ``SLACK`` longer
-        than the landmark, so that what else is in a long word adds nothing."""
+        than the landmark, so that what else is in a long word adds nothing. Windows with too few of the landmark's
+        characters in order are passed over, as words are."""
         out = np.zeros(len(words))
-        owner, windows = [], []
-        for i, (word, mark) in enumerate(zip(words, marks.tolist())):
-            size = len(self.landmarks[mark])
-            for n in range(size, size + SLACK + 1):
-                for at in range(max(1, len(word) - n + 1)):
-                    owner.append(i)
-                    windows.append(word[at : at + n])
-        owner = np.array(owner, np.int64)
-        for start in range(0, len(windows), PAIRS):
-            some, mine = windows[start : start + PAIRS], owner[start : start + PAIRS]
-            width = max(map(len, some))
-            codes = _codes(some, width, 0)
-            both = subsequence_kernel(codes, self.codes[marks[mine]])
-            alone = subsequence_kernel(codes, np.where(codes == 0, -1, codes))
-            value = both / np.sqrt(np.maximum(alone, 1e-12) * self.own[marks[mine]])
-            np.maximum.at(out, mine, np.minimum(value, 1.0))
+        lengths = np.array(list(map(len, words)), np.int64)
+        longest = max(WINDOW, int(self.sizes.max()) + SLACK)
+        for start in range(0, len(words), PAIRS):
+            some = np.arange(start, min(start + PAIRS, len(words)))
+            codes = _codes([words[i] for i in some], longest, 0)
+            for size in np.unique(self.sizes[marks[some]]).tolist():
+                mine = np.flatnonzero(self.sizes[marks[some]] == size)
+                for n in range(size, size + SLACK + 1):
+                    starts = np.maximum(lengths[some[mine]] - n + 1, 1)
+                    pair = np.repeat(mine, starts)
+                    at = np.arange(len(pair)) - np.repeat(np.cumsum(starts) - starts, starts)
+                    windows = np.lib.stride_tricks.sliding_window_view(codes, n, 1)[pair, at]
+                    mark = marks[some[pair]]
+                    close = self._in_order(windows, np.arange(len(pair)), mark) >= self.least[mark]
+                    windows, mark, pair = windows[close], mark[close], pair[close]
+                    for go in range(0, len(pair), PAIRS):
+                        w, m = windows[go : go + PAIRS], mark[go : go + PAIRS]
+                        both = subsequence_kernel(w, self.codes[m])
+                        alone = subsequence_kernel(w, np.where(w == 0, -1, w))
+                        value = both / np.sqrt(np.maximum(alone, 1e-12) * self.own[m])
+                        np.maximum.at(out, some[pair[go : go + PAIRS]], np.minimum(value, 1.0))
         return out
 
     def _inside(self, held: list[str], marks: np.ndarray) -> np.ndarray:
@@ -236,11 +287,11 @@ class Words:
         if not self.landmarks:
             return [(np.empty((0, 0)), np.empty((0, 0))) for _ in texts]
         split = [sentences(t) for t in texts]
-        self.learn([w for text in split for words in text for w in words])
-        known = self.seen.get
+        self.learn(set().union(*(words for text in split for words in text)))
+        hits = self.hits
         out = []
         for text in split:
-            found = [v for words in text if (v := [x for x in map(known, words) if x is not None])]
+            found = [v for words in text if (v := [hits[w] for w in words if w in hits])]
             rows = [np.max(v, 0) for v in found], [x for v in found for x in v]
             out.append(tuple(np.array(r, np.float32).reshape(-1, len(self.landmarks)) for r in rows))
         return out
@@ -274,7 +325,8 @@ def frequent_parts(words: Counter, least: int) -> Counter:
 
 def choose_landmarks(toxic: list[str], other: list[str]) -> list[str]:
     """Pieces of words, chosen one by one: the one that most toxic documents have in words without an earlier one,
-    if it is pure enough, grown to the longest piece around it that nearly as many have."""
+    if it is pure enough, grown to the longest piece around it that nearly as many have. Of variants of one stem, the
+    first stands for all."""
     toxic = sorted(set(toxic))  # copies are one witness
     least = WITNESSES
     suspects: Counter = Counter()
@@ -323,7 +375,19 @@ def choose_landmarks(toxic: list[str], other: list[str]) -> list[str]:
             size[f] = n_docs(has[f])
             if size[f] < least:
                 del size[f]
-    return chosen
+    kept: list[str] = []
+    for mark in chosen:
+        if all(resemblance(mark, other) < VARIANT for other in kept):
+            kept.append(mark)
+    return kept
+
+
+def resemblance(one: str, two: str) -> float:
+    """The normalised kernel of two strings."""
+    width = max(len(one), len(two))
+    left, right = _codes([one, two, one], width, 0), _codes([one, two, two], width, -1)
+    own, other, both = subsequence_kernel(left, right).tolist()
+    return both / max(own * other, 1e-12) ** 0.5
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0) -> np.ndarray:
@@ -500,7 +564,21 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that are not predicted toxic, all their columns unchanged."""
-    rejected = score_toxicity(documents, labels).where("predicted = 1").select(F.col("row").alias("__row"))
-    rows = documents.select(F.monotonically_increasing_id().alias("__row"), F.struct("*").alias("__all"))
-    return rows.join(rejected, "__row", "left_anti").select("__all.*")
+    """The rows of ``documents`` that are not predicted toxic, all their columns unchanged.
+
+    Rows pass through the tasks that score them, so nothing is shuffled or joined; null and empty texts stay, and so
+    does every one of a number of equal rows with a clean text."""
+    model = train(*training_texts(documents, labels))
+    schema = T.StructType([T.StructField("whole", documents.schema, False)])
+    own = dict(documents.dtypes).get("text") == "string"
+    rows = documents.select(F.struct("*").alias("whole"), *([] if own else [pick(documents, "text", "string")]))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(model.landmarks)
+        for batch in batches:
+            whole = batch.column("whole")
+            texts = whole.field("text") if own else batch.column("text")
+            clean = [s < 0.5 for some in _portions(texts) for s in model.scores(words.features(some)).tolist()]
+            yield pa.record_batch([whole.filter(pa.array(clean, pa.bool_()))], names=["whole"])
+
+    return rows.mapInArrow(kept, schema).select("whole.*")

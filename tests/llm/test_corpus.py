@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -413,6 +414,52 @@ def test_toxicity_on_held_out_documents(labelled):
     assert toxicity.drop_toxic(documents, labels).where("doc_id = 9000").isEmpty()
 
 
+def test_clean_rows_pass_unchanged(labelled, spark):
+    """The stage keeps exactly the rows that the scores keep, columns with clashing names and equal rows included."""
+    documents, labels = labelled
+    more = documents.unionByName(documents.where("doc_id < 40")).unionByName(documents.where("doc_id is null"))
+    more = more.selectExpr("doc_id", "text", "doc_id as row", "text as score", "array(doc_id) as whole", "true as toxic")
+    scored = toxicity.score_toxicity(more, labels).where("predicted = 0")
+    kept = toxicity.drop_toxic(more, labels)
+    assert kept.schema.names == more.schema.names
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in scored.collect())
+    assert all(r.row == r.doc_id and r.score == r.text and r.whole == [r.doc_id] for r in kept.collect())
+    bare = toxicity.drop_toxic(more.drop("text"), labels)
+    assert bare.count() == more.count()
+
+
+def test_scores_equal_those_of_one_process(labelled):
+    """Spark's scores, in any batches, are the model's over the same training texts; values of words are brute force."""
+    documents, labels = labelled
+    toxic, other = toxicity.training_texts(documents, labels)
+    rows, marks = documents.collect(), {r.doc_id: r.toxic for r in labels.collect()}
+    learned = [r for r in rows if r.doc_id in marks and zlib.crc32(str(r.doc_id).encode()) % 5]
+    assert sorted(toxic) == sorted(r.text for r in learned if marks[r.doc_id])
+    assert sorted(other) == sorted(r.text for r in learned if not marks[r.doc_id])
+    model = toxicity.train(toxic, other)
+    expected = {r.doc_id: model.scores(toxicity.Words(model.landmarks).features([r.text or ""]))[0] for r in rows}
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(documents, labels).collect()}
+    assert got == pytest.approx(expected, abs=1e-5)
+    words = toxicity.Words(model.landmarks)
+    seen = sorted({w for r in rows[:6] for s in toxicity.sentences(r.text or "") for w in s})
+    words.learn(seen)
+    for word in seen:
+        for m, mark in enumerate(model.landmarks):
+            whole = toxicity.cleaned(word)
+            starts = lambda n: range(max(1, len(whole) - n + 1))
+            best = max(
+                brute_kernel(w, mark) / (brute_kernel(w, w) * brute_kernel(mark, mark)) ** 0.5
+                for n in range(len(mark), len(mark) + toxicity.SLACK + 1)
+                for w in (whole[at : at + n] for at in starts(n))
+                if len(w) >= toxicity.ORDER
+            )
+            value = 0.0 if words.seen[word] is None else words.seen[word][m]
+            # what is passed over is faint; a word with a landmark's letters apart may be worth more
+            assert best < 0.75 or value >= best**toxicity.POWER - 1e-3, (word, mark, best, value)
+            apart = toxicity.embedded(whole, mark)
+            assert apart or value <= best**toxicity.POWER + 1e-3, (word, mark, best, value)
+
+
 def test_toxicity_without_labels(docs, spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.score_toxicity(docs, none).collect()
