@@ -231,6 +231,26 @@ def test_fingerprint(spark):
     assert len(prints) == len(changed) + 2
 
 
+def test_fingerprint_tree_reads_changed_partitions_only(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "id int, v string, mes string"
+    data = [(i, f"v{i}", f"2026-{1 + i % 4:02d}" if i % 5 else None) for i in range(40)]
+    spark.createDataFrame(data, schema).write.partitionBy("mes").parquet(path)
+    read = lambda: spark.read.schema(schema).parquet(path)
+    leaves, hashed = fingerprint.refreshed_leaves(read(), None, "mes")
+    assert len(hashed) == 5 and leaves.count() == 5
+    assert rows(fingerprint.combined(leaves)) == rows(fingerprint.fingerprint(read()))
+    same, hashed = fingerprint.refreshed_leaves(read(), leaves, "mes")
+    assert hashed == [] and rows(same) == rows(leaves)
+    more = spark.createDataFrame([(99, "x", "2026-02"), (98, None, "2026-09")], schema)
+    more.write.mode("append").partitionBy("mes").parquet(path)
+    left = read().filter("mes is null or mes <> '2026-01'")
+    new, hashed = fingerprint.refreshed_leaves(left, leaves, "mes")
+    assert hashed == [("2026-02",), ("2026-09",)]
+    assert rows(fingerprint.combined(new)) == rows(fingerprint.fingerprint(left))
+    plan = fingerprint.fingerprint_by(read().filter(F.col("mes").eqNullSafe(F.lit("2026-02"))), "mes")
+    assert "PartitionFilters: [(mes" in plan._jdf.queryExecution().toString()
+
+
 def test_quality_operators(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", None)], "k string, v int")
     assert rows(quality.not_null(df, "k")) == [(None, 3)]

@@ -237,6 +237,53 @@ def test_snapshot_is_published_and_loaded_on_change_only(spark, tmp_path):
     assert not stale and second != first and tables["t"].first().titulo == "v2"
 
 
+def test_publishers_at_once_leave_one_current_version(spark, tmp_path, monkeypatch):
+    """Each gets a number of its own, whatever their clocks say; equal contents are published once."""
+    root = str(tmp_path / "snapshots")
+    late = {"t": spark.createDataFrame([("1", "late")], "id string, titulo string")}
+    early = {"t": spark.createDataFrame([("1", "early")], "id string, titulo string")}
+    same = {"t": spark.createDataFrame([("1", "early")], "id string, titulo string")}
+    write, clock = snapshots._write_version, iter(["2030-01-01 00:00:00", "2020-01-01 00:00:00"] * 2)
+    monkeypatch.setattr(snapshots, "utc_text", lambda: next(clock))
+
+    def overtaken(tables, root):
+        """While one publisher writes, another one publishes."""
+        monkeypatch.setattr(snapshots, "_write_version", write)
+        monkeypatch.setattr(snapshots, "utc_text", lambda: "2020-01-01 00:00:00")
+        assert snapshots.publish_if_changed(early, root)
+        monkeypatch.setattr(snapshots, "utc_text", lambda: "2010-01-01 00:00:00")
+        return write(tables, root)
+
+    monkeypatch.setattr(snapshots, "_write_version", overtaken)
+    assert snapshots.publish_if_changed(late, root)
+    assert sorted(p.name for p in (tmp_path / "snapshots/order").iterdir()) == [f"{n:020d}" for n in (1, 2)]
+    tables, _, stale = snapshots.load_if_changed(spark, root)
+    assert not stale and tables["t"].first().titulo == "late"  # the later number, though the earlier clock
+    monkeypatch.setattr(snapshots, "_write_version", overtaken)
+    assert not snapshots.publish_if_changed(same, root)
+    assert len(list((tmp_path / "snapshots/order").iterdir())) == 3
+    assert snapshots.load_if_changed(spark, root)[0]["t"].first().titulo == "early"
+
+
+def test_exclusive_creation(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "order" / "1")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: snapshots._create(spark, path, str(i)), range(8)))
+    assert sum(won) == 1 and open(path).read() == str(won.index(True))
+    assert [p.name for p in (tmp_path / "order").iterdir()] == ["1"]
+
+
+def test_exclusive_creation_without_a_local_path(spark, tmp_path, monkeypatch):
+    """The way for shared file systems, here over a local one."""
+    monkeypatch.setattr(snapshots, "_default_is_local", lambda spark: False)
+    path = str(tmp_path / "order" / "1")
+    assert snapshots._create(spark, path, "a") and not snapshots._create(spark, path, "b")
+    assert spark.read.text(str(tmp_path / "order")).first().value == "a"
+    assert not list((tmp_path / "order").glob(".1-*"))
+
+
 def test_stale_contents_are_usable_but_not_remembered(spark, tmp_path):
     root = str(tmp_path / "snapshots")
     snapshots.publish_snapshot({"t": spark.createDataFrame([("1",)], "id string")}, root)
