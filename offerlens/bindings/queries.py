@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import dates, numbers, replies, text
-from ..operators import aggregates, dedup, fingerprint, lookup, quality, tables
+from ..operators import aggregates, bitmaps, dedup, fingerprint, lookup, quality, tables
 from ..plans import build, extraction, incremental, marts, queue, reports, staging
 from ..sources import catalog as catalogs
 from ..sources import journal, offer_pages, snapshots
@@ -317,6 +317,17 @@ def a1_distinct_by_month(spark: SparkSession, d: str) -> DataFrame:
     return aggregates.distinct_count_by(_order_months(spark, d), "o_custkey", "mes", out="num_clientes")
 
 
+def a1_any_period(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with each return flag in each year and, as year 0, in all of them, from monthly bitmaps alone."""
+    month = F.date_trunc("month", "l_shipdate")
+    items = table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", month.alias("mes"))
+    numbers = bitmaps.numbered(items, "l_orderkey", F.col("mes"))
+    monthly = bitmaps.id_bitmaps(items.join(numbers, "l_orderkey"), "numero", "l_returnflag", "mes")
+    mart = tables.materialize(monthly)
+    years = mart.withColumn("anio", F.explode(F.array(F.year("mes"), F.lit(0))))
+    return bitmaps.distinct_ids(years, "l_returnflag", "anio", out="pedidos")
+
+
 def a2_distinct_by_key_month(spark: SparkSession, d: str) -> DataFrame:
     return aggregates.distinct_count_by(
         _order_months(spark, d), "o_custkey", "o_orderpriority", "mes", out="num_clientes"
@@ -740,6 +751,7 @@ _QUERIES = (
     j5_match_counts,
     j9_array_lookup,
     a1_distinct_by_month,
+    a1_any_period,
     a2_distinct_by_key_month,
     a4_mean_median,
     a5_conditional_ratio,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerlens import schemas
-from offerlens.operators import aggregates, dedup, fingerprint, lookup, quality, tables
+from offerlens.operators import aggregates, bitmaps, dedup, fingerprint, lookup, quality, tables
 
 
 def rows(df, *order):
@@ -251,6 +251,26 @@ def test_fingerprint_tree_reads_changed_partitions_only(spark, tmp_path):
     assert "PartitionFilters: [(mes" in plan._jdf.queryExecution().toString()
 
 
+def test_bitmaps_count_distinct_ids_over_any_period(spark):
+    data = [(f"o{i % 700}", i % 12, "ab"[i % 2]) for i in range(0, 4000, 3)] + [("o1", 3, "a")] * 50 + [(None, 3, "a")]
+    df = spark.createDataFrame(data, "id string, mes int, tec string")
+    numbers = bitmaps.numbered(df, "id", F.col("mes"))
+    assert numbers.count() == numbers.select("numero").distinct().count() == 700
+    monthly = bitmaps.id_bitmaps(df.join(numbers, "id", "left"), "numero", "tec", "mes")
+    for low, high in ((0, 11), (2, 7), (3, 3), (20, 30)):
+        some = monthly.filter(F.col("mes").between(low, high))
+        mine = [(i, m, t) for i, m, t in data if low <= m <= high and i]
+        expected = {t: len({i for i, _, u in mine if u == t}) for t in {t for _, _, t in mine}}
+        assert {r.tec: r.num_ofertas for r in bitmaps.distinct_ids(some, "tec").collect()} == expected
+        assert bitmaps.distinct_ids(some).first().num_ofertas == len({i for i, _, _ in mine})
+    more = spark.createDataFrame([("o1", 13), ("x1", 13), ("x2", 13)], "id string, mes int")
+    later = bitmaps.numbered(more, "id", F.col("mes"), numbers)
+    before = dict(map(tuple, numbers.collect()))
+    after = dict(map(tuple, later.collect()))
+    assert before.items() <= after.items() and len(after) == 702 and len(set(after.values())) == 702
+    assert min(after["x1"], after["x2"]) > max(before.values())
+
+
 def test_quality_operators(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", None)], "k string, v int")
     assert rows(quality.not_null(df, "k")) == [(None, 3)]
