@@ -16,10 +16,11 @@ sampled suffixes are sorted by comparison and all others are induced from them:
    common are repeats.
 
 Hot seeds: a task first merges equal surroundings, so copies of a document are sent once per task. A seed that
-still has more than ``HOT`` different surroundings is not brought together. Ranges of ``RANGE`` neighbouring windows
-are named by a digest of the bytes these share; names that occur twice are shards for another round of sorting and
-inducing, and where a range itself is that hot its windows are named one by one. Counts of names are combined before
-they are shuffled.
+still has more than ``HOT`` different surroundings is not brought together: its suffixes recurse. Every ``RANGE``-th
+byte to their left starts a suffix with a seed of ``LENGTH - RANGE + 1`` bytes, tasks merge those with equal
+surroundings, and a range sort deals them out, so one seed may spread over many partitions. Where such a seed is hot
+itself, or lies at the edge of a partition, the recursion ends with suffixes whose seed is the whole window: equal
+ones are neighbours in sorted order, and what lies at partitions' edges, two windows of each, is settled by counting.
 
 Tuples are small against the texts; texts are shuffled once, and those with a repeated seed once more.
 """
@@ -42,8 +43,11 @@ LENGTH, SEED = 200, 40
 _SEEDS = LENGTH - SEED + 1
 #: windows that are sampled at once
 SEGMENT = 200_000
-#: surroundings of one seed that may meet in a partition; windows that a range of a hot seed holds
+#: surroundings of one seed that may meet in a partition; bytes from one suffix of a hot seed's recursion to the next
 HOT, RANGE = 1024, 16
+_LONGER = LENGTH - RANGE + 1
+#: tuples whose ranges are merged together
+_MERGED_TUPLES = 500
 #: rows that are induced together, and bytes of surroundings that a task merges
 ROWS, MERGED = 20_000, 8_000_000
 _PER_TASK = 1 << 40
@@ -258,48 +262,141 @@ def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(held)
 
 
-def _digest(distance: int, data: bytes) -> bytes:
-    return hashlib.blake2b(data, digest_size=16, salt=distance.to_bytes(2, "little")).digest()
+_RANGES = "slots array<long>, lead long, base int, near int, left binary, right binary"
+_ENDS = "slot long, low long, high long, window binary"
+_ENDS_ARROW = pa.schema([("slot", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("window", pa.binary())])
 
 
-def _names(one: tuple, base: int, single: bool) -> Iterator[tuple[int, bytes]]:
-    """``(distance, name)`` of the windows ``base`` to ``base + RANGE - 1``: one name for what all of them share,
-    which each of their owners has in full, or one for each window that the suffix owns."""
-    left, right, far, near = one
-    around = left + right
-    if not single:
-        yield base, _digest(base, around[far - base : far - base - RANGE + 1 + LENGTH])
-        return
-    for d in range(max(near, base), min(far, base + RANGE - 1) + 1):
-        yield d, _digest(d, around[far - d : far - d + LENGTH])
+def _ends(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(list(c), f.type) for c, f in zip(zip(*rows), _ENDS_ARROW)], schema=_ENDS_ARROW)
 
 
-def _named(single: bool):
-    """``(slot, distance, name)`` of every range of a hot surrounding, or of every window of the ranges given."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
-                columns = [batch.column(c).to_pylist() for c in ("left", "right", "far", "near")]
-                slots = batch.column("slot").to_pylist()
-                given = batch.column("bases").to_pylist() if single else [None] * len(slots)
-                out = [
-                    (slot, *named)
-                    for slot, bases, one in zip(slots, given, zip(*columns))
-                    for base in (bases if single else range(one[3] // RANGE * RANGE, one[2] + 1, RANGE))
-                    for named in _names(one, base, single)
-                ]
-                cols = list(zip(*out)) or [()] * 3
-                yield pa.record_batch(
-                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())],
-                    names=["slot", "distance", "name"],
-                )
+def _longer_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of hot tuples, the suffixes that start ``base`` bytes to their left with the windows up to the next ``base``;
+    equal ones of some tuples are merged and list their slots."""
+    schema = pa.schema(
+        [("slots", pa.list_(pa.int64())), ("lead", pa.int64()), ("base", pa.int32()), ("near", pa.int32()),
+         ("left", pa.binary()), ("right", pa.binary())]
+    )
+    for whole in batches:
+        for start in range(0, whole.num_rows, _MERGED_TUPLES):
+            batch = whole.slice(start, _MERGED_TUPLES)
+            merged: dict[tuple, list[int]] = {}
+            columns = (batch.column(c).to_pylist() for c in ("slot", "left", "right", "far", "near"))
+            for slot, left, right, far, near in zip(*columns):
+                around = left + right
+                for base in range(near // RANGE * RANGE, far + 1, RANGE):
+                    at = far - base
+                    key = base, max(near - base, 0), around[max(at - RANGE + 1, 0) : at], around[at : at + LENGTH]
+                    merged.setdefault(key, []).append(slot)
+            slots = list(merged.values())
+            cols = [slots, [s[0] for s in slots], *zip(*merged)] if merged else [()] * 6
+            yield pa.record_batch([pa.array(list(c), f.type) for c, f in zip(cols, schema)], schema=schema)
+
+
+class _Hot:
+    """Pops suffixes with longer seeds in sorted order; ``rows`` gathers what is known of their windows.
+
+    Neighbours that agree in everything repeat in all their windows, and one of them goes on as a witness without a
+    slot. The others of a seed are induced together, or their windows are sent one by one."""
 
-    return run
+    def __init__(self):
+        self.rows: list[tuple] = []
+        #: [right, left, near, base, slot]: different suffixes of the seed at hand, and of finished seeds
+        self.run: list[list] = []
+        self.ready: list[list] = []
+        self.edge, self.hot = True, False
+
+    def push(self, slots: list[int], base: int, near: int, left: bytes, right: bytes) -> None:
+        if self.run and right[:_LONGER] != self.run[-1][0][:_LONGER]:
+            self.finish(self.edge)
+            self.edge = False
+        equal = self.run[-1] if self.run and self.run[-1][:2] == [right, left] else None
+        if equal is None:
+            self.run.append([right, left, near, base, slots[0] if len(slots) == 1 else None])
+        elif equal[4] is not None:
+            self.rows.append((equal[4], equal[3] + near, equal[3] + len(left), None))
+            equal[4] = None
+        if equal is not None or len(slots) > 1:
+            self.rows += [(slot, base + near, base + len(left), None) for slot in slots]
+        self.hot = self.hot or len(self.run) > HOT
+        if self.hot:
+            # the last one may have equals yet to come
+            self.send(self.run[:-1])
+            self.run = self.run[-1:]
+
+    def finish(self, edge: bool) -> None:
+        """The seed at hand is complete in this partition; at its edge it may go on in another."""
+        if edge or self.hot:
+            self.send(self.run)
+        elif len(self.run) > 1:
+            self.ready += self.run
+        self.run, self.hot = [], False
+        if len(self.ready) >= ROWS:
+            self.induce()
+
+    def send(self, suffixes: list[list]) -> None:
+        for right, left, near, base, slot in suffixes:
+            around, far = left + right, len(left)
+            for d in range(near, far + 1):
+                self.rows.append((slot, base + d, base + d, around[far - d : far - d + LENGTH]))
+
+    def induce(self) -> None:
+        if not self.ready:
+            return
+        right, left, near, base, slot = zip(*self.ready)
+        far = np.array([len(x) for x in left], np.int64)
+        low, high = induced(
+            _bytes_matrix([x[::-1] for x in left], max(1, int(far.max()))), _bytes_matrix(list(right), LENGTH), far,
+            np.array(near, np.int64),
+        )
+        self.rows += [
+            (slot[i], base[i] + int(low[i]), base[i] + int(high[i]), None)
+            for i in np.flatnonzero(low >= 0).tolist()
+            if slot[i] is not None
+        ]
+        self.ready = []
 
 
-_NAMED = "slot long, distance int, name binary"
+def _induce_longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(slot, low, high)`` of windows that are settled, and with ``window`` those that are not."""
+    hot = _Hot()
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("slots", "base", "near", "left", "right"))):
+            hot.push(*row)
+            if len(hot.rows) >= ROWS:
+                yield _ends(hot.rows)
+                hot.rows = []
+    hot.finish(True)
+    hot.induce()
+    if hot.rows:
+        yield _ends(hot.rows)
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of windows in sorted order, those with an equal neighbour, and with ``window`` one row for the first and the
+    last window of the partition: its slot if it has no equal here, else none."""
+    rows: list[tuple] = []
+    key, n, held, edge = None, 0, None, True
+    for batch in batches:
+        for slot, at, window in zip(*(batch.column(c).to_pylist() for c in ("slot", "low", "window"))):
+            if window != key:
+                if n and edge:
+                    rows.append((*(held if n == 1 else (None, 0, 0)), key))
+                    edge = False
+                key, n, held = window, 0, (slot, at, at)
+            elif n == 1 and held[0] is not None:
+                rows.append((*held, None))
+            n += 1
+            if n > 1 and slot is not None:
+                rows.append((slot, at, at, None))
+        if len(rows) >= ROWS:
+            yield _ends(rows)
+            rows = []
+    if n:
+        rows.append((*(held if n == 1 else (None, 0, 0)), key))
+    if rows:
+        yield _ends(rows)
 
 
 def _sorted_and_induced(tuples: DataFrame) -> DataFrame:
@@ -310,30 +407,18 @@ def _sorted_and_induced(tuples: DataFrame) -> DataFrame:
 
 
 def _hot(hot: DataFrame) -> DataFrame:
-    """``(slot, low, high)`` of surroundings of hot seeds. Ranges of windows that occur twice become shards of their
-    own, sorted and induced like any other; only the windows of ranges that are hot themselves are named singly."""
-    ranges = hot.mapInArrow(_named(False), _NAMED)
-    again = store(ranges.groupBy("name").agg(F.count("*").alias("n")).where("n > 1"), "ranges")
-    open_ = store(ranges.join(again, "name").select("slot", F.col("distance").alias("base"), "name", "n"), "open-ranges")
-    some = hot.join(open_.where(F.col("n") <= HOT), "slot")
-    far = F.least(F.col("far"), F.col("base") + RANGE - 1).cast("short")
-    found = _sorted_and_induced(
-        some.select(
-            F.col("name").alias("shard"),
-            "slot",
-            F.substring("left", F.col("far") - far + 1, far.cast("int")).alias("left"),
-            "right",
-            far.alias("far"),
-            F.greatest("near", "base").cast("short").alias("near"),
-        )
-    )
-    many = open_.where(F.col("n") > HOT).groupBy("slot").agg(F.collect_list("base").alias("bases"))
-    single = store(hot.join(many, "slot"), "hot-ranges").mapInArrow(_named(True), _NAMED)
-    twice = store(single.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "windows")
-    ends = single.join(twice, "name").groupBy("slot").agg(
-        F.min("distance").cast("long").alias("low"), F.max("distance").cast("long").alias("high")
-    )
-    return found.unionByName(ends).groupBy("slot").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    """``(slot, low, high)`` of surroundings of hot seeds, by recursion with longer seeds."""
+    longer = hot.mapInArrow(_longer_seeds, _RANGES)
+    order = ["right", "left", "lead"]
+    longer = longer.repartitionByRange(*order).sortWithinPartitions(*order)
+    longer = store(longer.mapInArrow(_induce_longer, _ENDS), "longer", "zstd")
+    windows = longer.where("window IS NOT NULL").repartitionByRange("window", "slot")
+    windows = store(windows.sortWithinPartitions("window", "slot").mapInArrow(_neighbours, _ENDS), "windows", "zstd")
+    edges = windows.where("window IS NOT NULL").groupBy("window").agg(F.collect_list(F.struct("slot", "low", "high")).alias("rows"))
+    edges = edges.where(F.size("rows") > 1).select(F.inline("rows")).where("slot IS NOT NULL")
+    settled = [t.where("window IS NULL").select("slot", "low", "high") for t in (longer, windows)]
+    every = settled[0].unionByName(settled[1]).unionByName(edges)
+    return every.groupBy("slot").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
@@ -341,7 +426,8 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
 
     ``spans`` are the maximal runs ``(start, stop)`` of UTF-8 bytes of the whole text that a string of ``LENGTH``
     bytes covers which also starts anywhere else, in the same document too; ``kept_sha256`` is the digest of the
-    other bytes. A null text counts as empty; texts of fewer than ``LENGTH`` bytes and an empty table have none."""
+    other bytes. A null text counts as empty; texts of fewer than ``LENGTH`` bytes and an empty table have none.
+    Repeated rows are rows of their own and repeat each other; ids may be null; other columns are not looked at."""
     docs = keyed(documents)
     samples = store(docs.select("row", "text").mapInArrow(_sample, "seed long, row long, at int, far short, near short"), "samples", "zstd")
     seeds = store(samples.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "seeds")

@@ -229,7 +229,7 @@ def brute_repeats(all_texts):
     return sorted(out)
 
 
-@pytest.mark.parametrize("hot", [1024, 4])
+@pytest.mark.parametrize("hot", [1024, 4, 1])
 def test_repeated_spans(spark, monkeypatch, hot):
     """Also with so low a limit that most seeds are hot, and ranges of windows too."""
     monkeypatch.setattr(suffixes, "HOT", hot)
@@ -249,6 +249,22 @@ def test_repeated_spans(spark, monkeypatch, hot):
     assert expected == sorted((r.n_bytes, tuple((s.start, s.stop) for s in r.spans), r.kept_sha256) for r in got)
 
 
+def test_repeats_of_one_hot_passage(spark, monkeypatch):
+    """A passage in every text, between different words and in copies, with null ids and columns of clashing names."""
+    monkeypatch.setattr(suffixes, "HOT", 8)
+    rng = random.Random(6)
+    words = lambda k: "".join(rng.choices("abcdefgh ", k=k))
+    passage = words(420)
+    texts = [words(rng.randrange(250)) + passage + words(rng.randrange(250)) for _ in range(60)]
+    texts += [texts[0]] * 5 + [words(300), None, ""]
+    rows = [(None if i % 7 == 0 else i % 5, t, i, -i, "x") for i, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, slot long, row long, seed string").repartition(7)
+    got = suffixes.repeated_spans(table).collect()
+    assert sorted(r.doc_id or -1 for r in got) == sorted(r[0] or -1 for r in rows)
+    expected = brute_repeats([(t or "").encode() for t in texts])
+    assert expected == sorted((r.n_bytes, tuple((s.start, s.stop) for s in r.spans), r.kept_sha256) for r in got)
+
+
 def test_samples_do_not_depend_on_segments(monkeypatch):
     rng = random.Random(8)
     text = "".join(rng.choices("abc ", k=1500)).encode() + b"z" * 700
