@@ -249,7 +249,7 @@ def test_repeated_spans(spark, monkeypatch, hot):
     assert expected == sorted((r.n_bytes, tuple((s.start, s.stop) for s in r.spans), r.kept_sha256) for r in got)
 
 
-def test_repeats_of_one_hot_passage(spark, monkeypatch):
+def test_repeats_of_one_hot_passage(spark, monkeypatch, tmp_path):
     """A passage in every text, between different words and in copies, with null ids and columns of clashing names."""
     monkeypatch.setattr(suffixes, "HOT", 8)
     rng = random.Random(6)
@@ -258,8 +258,9 @@ def test_repeats_of_one_hot_passage(spark, monkeypatch):
     texts = [words(rng.randrange(250)) + passage + words(rng.randrange(250)) for _ in range(60)]
     texts += [texts[0]] * 5 + [words(300), None, ""]
     rows = [(None if i % 7 == 0 else i % 5, t, i, -i, "x") for i, t in enumerate(texts)]
-    table = spark.createDataFrame(rows, "doc_id long, text string, slot long, row long, seed string").repartition(7)
-    got = suffixes.repeated_spans(table).collect()
+    table = spark.createDataFrame(rows, "doc_id long, text string, slot long, row long, seed string")
+    table.repartition(7).write.parquet(str(tmp_path / "table"))
+    got = suffixes.repeated_spans(spark.read.parquet(str(tmp_path / "table"))).collect()
     assert sorted(r.doc_id or -1 for r in got) == sorted(r[0] or -1 for r in rows)
     expected = brute_repeats([(t or "").encode() for t in texts])
     assert expected == sorted((r.n_bytes, tuple((s.start, s.stop) for s in r.spans), r.kept_sha256) for r in got)
