@@ -143,6 +143,42 @@ def test_exact_median_of_extreme_values(spark):
     assert found == {"a": 0.0, "b": inf}
 
 
+@pytest.mark.parametrize("reach", [3, 0, -100])
+def test_exact_median_of_large_groups(spark, monkeypatch, reach):
+    """Groups beyond the sketch's accuracy; bands that are too narrow, or empty, change nothing."""
+    monkeypatch.setattr(aggregates, "REACH", reach)
+    rng = random.Random(reach)
+    pools = {
+        "close": [rng.gauss(0, 1) for _ in range(9000)],
+        "ties": [float(rng.choice([1, 1, 1, 2, 3])) for _ in range(7001)],
+        "halves": [1.0] * 3000 + [2.0] * 3000,
+        "skewed": [rng.paretovariate(0.7) for _ in range(5000)],
+        None: [float(x) for x in range(2500)],
+    }
+    data = [(k, v) for k, pool in pools.items() for v in pool]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "k string, v double").repartition(13, "v")
+    found = {r.k: (r.n, r.mediana) for r in aggregates.exact_median(df, "v", "k").collect()}
+    assert found == {k: (len(p), statistics.median(p)) for k, p in pools.items()}
+
+
+def test_exact_median_moves_few_rows(spark):
+    """What is counted and shuffled of a group of different values is its band, not its values."""
+    n = 200_000
+    rows = spark.range(n).select(F.lit("a").alias("k"), F.hash("id").cast("double").alias("_v"))
+    ends = [0.5 - aggregates.REACH / aggregates.ACCURACY, 0.5 + aggregates.REACH / aggregates.ACCURACY]
+    low, high = rows.agg(F.percentile("_v", ends)).first()[0]
+    bounds = spark.createDataFrame([("a", low, high)], "_b_k string, _from double, _to double")
+    counted = aggregates.banded_counts(rows, bounds, "k")
+    assert counted.count() < n / 50
+    assert counted.agg(F.sum("_n")).first()[0] == n
+
+
+def test_exact_median_without_room_for_bounds(spark, monkeypatch):
+    monkeypatch.setattr(aggregates, "fits_broadcast", lambda df: False)
+    test_exact_median(spark)
+
+
 def test_approximate_median_is_close(spark):
     df = spark.range(1, 1002).select(F.lit("a").alias("k"), F.col("id").cast("double").alias("v"))
     out = aggregates.mean_median_by(df, "v", "k", approx=True).first()
