@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from datetime import datetime
 
@@ -29,7 +30,7 @@ from ..functions.text import (
 )
 from ..operators.lookup import canonical_items
 from ..operators.tables import materialize, read_table, work_dir
-from ..sources.journal import Journal, open_journal
+from ..sources.journal import Journal, Meeting, open_journal
 from .queue import pending_offers
 
 # Fixed value: version stored with every attempt made with the default template.
@@ -109,12 +110,15 @@ def run_in_rounds(dealt: DataFrame, fn: Callable[[str], str], journal: Journal,
 
     Callers are barrier tasks: each makes up to ``calls`` calls, records them, and then all agree whether to go on.
     After the first quota signal nobody starts another round, so offers are tried newest first, and at most one
-    round is tried in part. A task that is run again answers from the journal. Results are written once.
+    round is tried in part. A task that is run again answers from the journal. Results are written once. Spark starts
+    the callers together; they agree through the journal's folder, which a round of quick calls does not wait for.
     """
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         context = BarrierTaskContext.get()
         caller, known = context.partitionId(), journal.recorded(context.partitionId())
+        name, *_ = context.allGather(uuid.uuid4().hex)
+        meeting = Meeting(journal, name, caller, len(context.getTaskInfos()))
         rows = (row for batch in batches for row in batch.itertuples(index=False))
         number, spent, ended = 0, False, False
         while True:
@@ -138,8 +142,8 @@ def run_in_rounds(dealt: DataFrame, fn: Callable[[str], str], journal: Journal,
             if new:
                 journal.write(caller, number, new)
             yield pd.DataFrame(done, columns=["id_oferta", "respuesta_llm", "call_error"])
+            said = meeting.said(number, "spent" if spent else "ended" if ended else "on", "on")
             number += 1
-            said = context.allGather("spent" if spent else "ended" if ended else "on")
             if "spent" in said or set(said) == {"ended"}:
                 return
 

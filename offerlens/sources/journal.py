@@ -3,10 +3,14 @@
 Each record is a small Parquet file in the shared folder, complete once it has its name. A task that is run again
 reads what its own number has recorded in this run; a run that is started again reads what any task had recorded. A
 run that ended is closed, and the next one starts afresh.
+
+Callers also meet there after each round. Spark's own barrier looks for its answer once a second, which is most of the
+time of a round of quick calls.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -23,6 +27,8 @@ REPLIES = T.StructType(
 )
 _ROWS = pa.schema([(n, pa.string()) for n in REPLIES.names])
 _CLOSED = "cerrada"
+#: Seconds between looks for the others' words, at first and at most.
+_FIRST_LOOK, _LAST_LOOK = 0.001, 1.0
 
 
 @dataclass(frozen=True)
@@ -64,6 +70,46 @@ class Journal:
             out.write(b"")
 
 
+class Meeting:
+    """Callers that say a word each, round by round; ``name`` is new for each attempt, so no old word is heard.
+
+    A caller's word is a small file that the next one replaces. Whoever is in a later round has heard all words of this
+    one and went on, so its word of this one is not needed to know that all go on.
+    """
+
+    def __init__(self, journal: Journal, name: str, caller: int, callers: int):
+        self.store, folder = journal._folder()
+        self.store.create_dir(folder, recursive=True)
+        self.paths = [f"{folder}/_{name}-{i:05d}" for i in range(callers)]
+        self.caller = caller
+
+    def _word(self, path: str, number: int, on: str) -> str | None:
+        """A caller's word in a round, ``on`` if it is in a later one; None before it has come."""
+        try:
+            with self.store.open_input_stream(path) as told:
+                line = told.read().decode()
+        except FileNotFoundError:
+            return None
+        if not line.endswith("\n"):
+            return None  # being written
+        at, word = line.split()
+        return word if int(at) == number else on if int(at) > number else None
+
+    def said(self, number: int, word: str, on: str) -> list[str]:
+        """What all callers say in a round; waits for them. ``on`` is the word by which all go on."""
+        with self.store.open_output_stream(self.paths[self.caller]) as out:
+            out.write(f"{number} {word}\n".encode())
+        words, waiting, pause = [word], set(self.paths) - {self.paths[self.caller]}, _FIRST_LOOK
+        while waiting:
+            heard = {path: self._word(path, number, on) for path in waiting}
+            words += [w for w in heard.values() if w is not None]
+            waiting = {path for path, w in heard.items() if w is None}
+            if waiting:
+                time.sleep(pause)
+                pause = min(2 * pause, _LAST_LOOK)
+        return words
+
+
 def open_journal(root: str) -> Journal:
     """The run under ``root`` that has not been closed, else a new one."""
     store, folder = Journal(root, "")._folder()

@@ -3,8 +3,10 @@
 import json
 import os
 import re
+import time
 import uuid
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -17,7 +19,7 @@ from offerlens.operators.tables import ensure_schema
 from offerlens.plans import extraction, marts, queue, reports, staging
 from offerlens.plans.build import build_all
 from offerlens.sources.catalog import load_catalog, read_seed
-from offerlens.sources.journal import open_journal
+from offerlens.sources.journal import Meeting, open_journal
 from offerlens.sources.marts import load_marts
 
 ENTRIES = [
@@ -329,6 +331,39 @@ def test_a_task_that_runs_again_answers_from_the_journal(spark, tmp_path):
     assert first == again and len(first) == 12 and len(model.calls()) == 12
 
 
+def test_rounds_of_quick_calls_do_not_wait(spark, tmp_path):
+    """Agreeing took a second a round, whatever the calls took."""
+    model, run = Counted(tmp_path / "calls", quota=150), open_journal(str(tmp_path / "journal"))
+    work = spark.range(240).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("id_oferta"), F.concat(F.lit("puesto"), "id").alias("prompt"))
+    dealt = extraction.deal(work.orderBy("id_oferta"), 4)
+    start = time.time()
+    found = extraction.run_in_rounds(dealt, model, run, calls=1).collect()
+    assert time.time() - start < 25
+    assert sorted(r.id_oferta for r in found) == [f"{i:03d}" for i in range(150)]
+
+
+def test_callers_hear_all_words_of_a_round(tmp_path):
+    """Nobody goes on before all have spoken, words of another attempt do not count, and a quick caller loses no slow one."""
+    run, turns = open_journal(str(tmp_path)), [5, 3, 4]
+    begun = [[] for _ in turns]
+
+    def caller(i, name):
+        meeting, number = Meeting(run, name, i, len(turns)), 0
+        while True:
+            time.sleep(0.01 * i)
+            begun[i].append((number, time.time()))
+            said = meeting.said(number, "ended" if number >= turns[i] else "on", "on")
+            number += 1
+            if set(said) == {"ended"}:
+                return number
+
+    with ThreadPoolExecutor(len(turns)) as pool:
+        for name in ("a", "b"):
+            assert list(pool.map(caller, range(len(turns)), [name] * len(turns))) == [6, 6, 6]
+    for earlier, later in zip(range(11), range(1, 12)):
+        assert max(b[earlier][1] for b in begun) <= min(b[later][1] for b in begun) + 0.02
+
+
 @pytest.mark.parametrize(("n", "callers"), [(0, 3), (1, 3), (10, 3), (100, 7)])
 def test_deal(spark, n, callers):
     work = spark.range(n).select("id").repartition(5).orderBy(F.desc("id"))
