@@ -49,12 +49,18 @@ class ExtractorConfigurationError(Exception):
 
 
 def _called(fn: Callable[[str], str], prompt: str) -> tuple[str | None, str | None]:
-    """(reply, error) of one call; quota and configuration signals go on."""
+    """(reply, error) of one call; quota and configuration signals go on.
+
+    Signals are known by name: where this package travels by value, the caller's function may raise its own copy.
+    """
     try:
         return fn(prompt), None
-    except (QuotaExhausted, ExtractorConfigurationError):
-        raise
-    except Exception as exc:  # a failing call is recorded, never fatal
+    except Exception as exc:
+        names = {(c.__module__, c.__qualname__) for c in type(exc).__mro__}
+        for signal in (QuotaExhausted, ExtractorConfigurationError):
+            if (signal.__module__, signal.__qualname__) in names:
+                raise signal(*exc.args) from exc
+        # a failing call is recorded, never fatal
         return None, f"llm_error: {type(exc).__name__}: {exc}"
 
 

@@ -331,6 +331,18 @@ def test_a_task_that_runs_again_answers_from_the_journal(spark, tmp_path):
     assert first == again and len(first) == 12 and len(model.calls()) == 12
 
 
+@pytest.mark.parametrize("signal", [extraction.QuotaExhausted, extraction.ExtractorConfigurationError])
+def test_a_copy_of_a_signal_is_a_signal(signal):
+    """A package that travels by value is a copy, and so are its classes."""
+    copy = type(signal.__name__, (Exception,), {"__module__": signal.__module__})
+
+    def extractor(_):
+        raise copy("nothing left")
+
+    with pytest.raises(signal, match="nothing left"):
+        extraction._called(extractor, "p")
+
+
 def test_rounds_of_quick_calls_do_not_wait(spark, tmp_path):
     """Agreeing took a second a round, whatever the calls took."""
     model, run = Counted(tmp_path / "calls", quota=150), open_journal(str(tmp_path / "journal"))
