@@ -91,13 +91,15 @@ def is_flat(stored: DataFrame) -> bool:
 def append_rows(rows: DataFrame, path: str, key: str | None, buckets: int = BUCKETS) -> int:
     """Append to the table at ``path``, laid out by ``key``; without one, as they are. Returns how many rows.
 
-    Adaptive execution joins small buckets into one task and splits large ones. Rows are counted while they are
-    written, above the exchange: an empty exchange would take the count with it.
+    Adaptive execution joins small buckets into one task and splits large ones. Without it, as in a stream, that hint
+    is ignored, and each task would write a file in each bucket; rows are then dealt out by bucket. Rows are counted
+    while they are written, above the exchange: an empty exchange would take the count with it.
     """
     written = Observation()
     if key is not None:
         placed = rows.withColumns({LAYOUT[0]: F.lit(buckets), LAYOUT[1]: bucket(F.col(key), buckets)})
-        rows = placed.hint("rebalance", LAYOUT[1])
+        adaptive = rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+        rows = placed.hint("rebalance", LAYOUT[1]) if adaptive else placed.repartition(LAYOUT[1])
     writer = rows.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append")
     (writer if key is None else writer.partitionBy(*LAYOUT)).parquet(path)
     return written.get["n"]

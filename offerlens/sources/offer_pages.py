@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -23,34 +23,50 @@ def field(offer: Column, name: str, path: str = "$", kind: str = "string") -> Co
     return F.try_variant_get(F.try_element_at(offer, F.lit(name)), path, kind)
 
 
-def page_key() -> Column:
-    """Place of an offer: files by name, numerically by a trailing page number, then position in the page.
+def file_place(file: Column) -> list[Column]:
+    """(stem, number) of a file's name: the digits before its extension are the number; without extension, empty.
 
-    Content decides last, for files that hold several pages.
+    Plain functions, as this is computed for each offer and a pattern would take longer than its parse.
     """
-    stem = F.regexp_extract("_file", r"^(.*?)(\d*)\.[^./]*$", 1)
-    number = F.regexp_extract("_file", r"^(.*?)(\d*)\.[^./]*$", 2).try_cast("long")
-    return F.struct(stem.alias("stem"), number.alias("number"), F.col("_pos"), F.col("_hash"))
+    extension = F.substring_index(file, ".", -1)
+    named = F.contains(file, F.lit(".")) & ~F.contains(extension, F.lit("/"))
+    name = F.when(named, F.left(file, F.length(file) - F.length(extension) - 1)).otherwise(F.lit(""))
+    stem = F.rtrim(name, F.lit("0123456789"))
+    return [stem.alias("stem"), F.substr(name, F.length(stem) + 1).try_cast("long").alias("number")]
+
+
+def content_hash() -> Column:
+    return F.xxhash64(F.to_json("oferta"))
+
 
+def page_place() -> Column:
+    """Place of an offer: files by name, numerically by a trailing page number, then position in the page."""
+    return F.struct(*file_place(F.col("_file")), F.col("_pos"))
 
-def page_order() -> list[Column]:
-    return [page_key().asc()]
+
+def page_key() -> Column:
+    """``page_place``, and content last, for files that hold several pages."""
+    return F.struct(*file_place(F.col("_file")), F.col("_pos"), content_hash().alias("_hash"))
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:
-    """Columns (id, oferta, _file, _pos, _hash) of every offer that has an id, duplicates included."""
+    """Columns (id, oferta, _file, _pos) of every offer that has an id, duplicates included."""
     offers = pages.select(
         F.col("_metadata.file_path").alias("_file"), F.posexplode("results").alias("_pos", "oferta")
     )
     return offers.select(
-        field(F.col("oferta"), "id").alias("id"),
-        "oferta",
-        "_file",
-        "_pos",
-        F.xxhash64(F.to_json("oferta")).alias("_hash"),
+        field(F.col("oferta"), "id").alias("id"), "oferta", "_file", "_pos"
     ).filter("id IS NOT NULL")
 
 
+def first_offers(offers: DataFrame) -> DataFrame:
+    """First of each id of ``explode_pages`` by ``page_key``; contents are hashed only where places are equal."""
+    same_id = Window.partitionBy("id")
+    first = offers.withColumn("_rank", F.rank().over(same_id.orderBy(page_place()))).filter("_rank = 1")
+    tied = first.withColumn("_tied", F.count(F.lit(1)).over(same_id))
+    return latest_by(tied, ["id"], [F.when(F.col("_tied") > 1, content_hash())], tie_break=[])
+
+
 def read_offer_pages(spark: SparkSession, path: str) -> DataFrame:
     """Offers (id, oferta) of all pages, one page per file, first occurrence of each id."""
     return read_pages(spark, path, multi_line=True)
@@ -59,7 +75,7 @@ def read_offer_pages(spark: SparkSession, path: str) -> DataFrame:
 def read_pages(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     """``read_offer_pages``; without ``multi_line``, of files with one page per line, which can be split."""
     pages = spark.read.schema(schemas.OFFER_PAGE).option("multiLine", multi_line).json(path)
-    return latest_by(explode_pages(pages), ["id"], page_order(), tie_break=[]).select("id", "oferta")
+    return first_offers(explode_pages(pages)).select("id", "oferta")
 
 
 def flatten_offers(
