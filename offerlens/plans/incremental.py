@@ -12,6 +12,8 @@ with the same ids and gives the same result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from ..functions.dates import month_start, year_month
 from ..operators.dedup import repost_dedup
 from ..operators.lookup import canonical_items, fits_broadcast
 from ..operators.tables import materialize
-from .staging import CANONICAL, STAGED, latest_attempts, latest_offers, offers_with_attempts
+from .staging import CANONICAL, STAGED, clean_attempts, latest_offers, latest_successes, offers_with_attempts
 
 MONTH = "mes"
 UNDATED = "sin_fecha"
@@ -33,10 +35,14 @@ def _month(date: Column) -> Column:
 
 def joined_offers(offers: DataFrame, attempts: DataFrame, catalog: DataFrame | None) -> DataFrame:
     """One row per offer with its best attempt and its month; re-posts are still there."""
-    best = latest_attempts(attempts)
+    return _joined(latest_offers(offers, with_description=False), latest_successes(attempts), catalog)
+
+
+def _joined(offers: DataFrame, successes: DataFrame, catalog: DataFrame | None) -> DataFrame:
+    best = clean_attempts(successes)
     if catalog is not None:
         best = canonical_items(best, "tecnologias", catalog, CANONICAL)
-    joined = offers_with_attempts(latest_offers(offers, with_description=False), best)
+    joined = offers_with_attempts(offers, best)
     kept = [c for c in [*COLUMNS, CANONICAL] if c in joined.columns]
     return joined.select(*kept, _month(F.col("fecha_publicacion")).alias(MONTH))
 
@@ -84,6 +90,20 @@ def _of(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return rows.join(wanted, F.col(column).cast("string") == F.col("_id"), "left_semi")
 
 
+def _latest_of(
+    rows: DataFrame, ids: DataFrame, column: str, latest: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Latest row of each of the distinct ids. Few ids (measured) are sent to the rows, which are then ranked.
+
+    Many meet rows that are ranked already, of which a task sends one per id. That is no semi-join: Spark would move it
+    below the ranking, and all rows would be shuffled.
+    """
+    if fits_broadcast(ids):
+        return latest(_of(rows, ids, column))
+    wanted = ids.select(F.col("id_oferta").alias("_id"))
+    return latest(rows).join(wanted, F.col("id_oferta") == F.col("_id")).drop("_id")
+
+
 def update_staging(
     spark: SparkSession,
     offers: DataFrame,
@@ -98,7 +118,9 @@ def update_staging(
     ``offers`` and ``attempts`` are the raw tables with everything that arrived. Months reach the driver, no ids.
     """
     ids = materialize(changed.select(F.col("id_oferta").cast("string")).dropna().distinct())
-    new = materialize(joined_offers(_of(offers, ids, "id"), _of(attempts, ids, "id_oferta"), catalog))
+    known = _latest_of(offers, ids, "id", lambda rows: latest_offers(rows, with_description=False))
+    tried = _latest_of(attempts, ids, "id_oferta", latest_successes)
+    new = materialize(_joined(known, tried, catalog))
     stored = _read(spark, f"{root}/ofertas_unidas")
     old = _of(stored, ids, "id_oferta").select(MONTH)
     touched = [r[0] for r in old.union(new.select(MONTH)).distinct().collect()]

@@ -72,11 +72,8 @@ def clean_attempts(attempts: DataFrame) -> DataFrame:
     )
 
 
-def latest_attempts(attempts: DataFrame) -> DataFrame:
-    """Latest success per offer; a later failure never hides it.
-
-    Ranked before it is cleaned, so only the winning replies are parsed.
-    """
+def latest_successes(attempts: DataFrame) -> DataFrame:
+    """Latest success per offer, as it was recorded; a later failure never hides it."""
     good = attempts.filter(F.col("error").isNull() & F.col("id_oferta").isNotNull()).select(
         F.col("id_oferta").cast("string").alias("id_oferta"),
         "fecha_extraccion",
@@ -87,8 +84,12 @@ def latest_attempts(attempts: DataFrame) -> DataFrame:
         "salario_min",
         "salario_max",
     )
-    latest = latest_by(good, ["id_oferta"], [F.col("fecha_extraccion").desc_nulls_last()], ordered=("fecha_extraccion",))
-    return clean_attempts(latest)
+    return latest_by(good, ["id_oferta"], [F.col("fecha_extraccion").desc_nulls_last()], ordered=("fecha_extraccion",))
+
+
+def latest_attempts(attempts: DataFrame) -> DataFrame:
+    """Latest success per offer; ranked before it is cleaned, so only the winning replies are parsed."""
+    return clean_attempts(latest_successes(attempts))
 
 
 def offers_with_attempts(offers: DataFrame, attempts: DataFrame) -> DataFrame:
