@@ -295,3 +295,37 @@ def test_stale_contents_are_usable_but_not_remembered(spark, tmp_path):
     for _ in range(2):
         tables, known, stale = snapshots.load_if_changed(spark, root, "old")
         assert (known, stale) == ("old", True) and tables["t"].count() == 1
+
+
+def test_place_of_a_file_without_patterns(spark, tmp_path):
+    """As the pattern that it replaces says; reading pages uses no pattern and hashes equal places only."""
+    names = ["/a/p12.json", "/a.b/p", "/a/p.json", "/a/12.json", "/a/p1.2.json", "/a/.json", "/a/p007.j", "/x/p99999999999999999999.json", "p1", "/a/p3."]
+    files = spark.createDataFrame([(n,) for n in names], "f string")
+    pattern = r"^(.*?)(\d*)\.[^./]*$"
+    old = [F.regexp_extract("f", pattern, 1), F.regexp_extract("f", pattern, 2).try_cast("long")]
+    rows = files.select(F.struct(*offer_pages.file_place(F.col("f"))), F.struct(*old)).collect()
+    assert all(tuple(a) == tuple(b) for a, b in rows)
+    land(tmp_path / "pages", "p1.json", [OFFER])
+    found = offer_pages.read_offer_pages(spark, str(tmp_path / "pages"))
+    assert "regexp_extract" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_content_decides_between_equal_places(spark, tmp_path):
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    lines = [{"count": 1, "results": [{"id": 1, "title": t}]} for t in "abc"]
+    (folder / "p1.json").write_text("\n".join(map(json.dumps, lines)))
+    title = offer_pages.field(F.col("oferta"), "title")
+    first = [r[0] for r in offer_pages.read_pages(spark, str(folder), False).select(title).collect()]
+    pages = spark.read.schema(schemas.OFFER_PAGE).json(str(folder))
+    every = offer_pages.explode_pages(pages).orderBy(offer_pages.page_key()).select(title).collect()
+    assert first == [every[0][0]] and len(every) == 3
+
+
+def test_a_stream_writes_one_file_a_bucket(spark, tmp_path):
+    """Adaptive execution is off in a stream; each task wrote a file in each bucket."""
+    folder, table = tmp_path / "pages", str(tmp_path / "raw")
+    land(folder, "p1.json", [{**OFFER, "id": str(i)} for i in range(400)])
+    stream_ingest(spark, str(folder), table, str(tmp_path / "state"), buckets=4).awaitTermination()
+    assert spark.read.parquet(table).count() == 400
+    assert len(list((tmp_path / "raw").rglob("*.parquet"))) == 4
