@@ -16,12 +16,13 @@ def work_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
-def store(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
+def store(df: DataFrame, label: str, codec: str = "snappy", options: dict | None = None) -> DataFrame:
     """Write a work table to the shared folder and read it back: lineage ends here, and a task that is run
-    again after a lost executor reads the same rows. Nothing deletes it; expire the folder like checkpoints."""
+    again after a lost executor reads the same rows. Nothing deletes it; expire the folder like checkpoints.
+    ``options`` are the writer's."""
     spark = df.sparkSession
     path = f"{work_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    df.write.options(compression=codec, **options or {}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -20,6 +20,10 @@ each task and no key is hot. Keys move sorted, as differences to the key before,
 range; a task adds up a range of at most ``RANGE`` keys or so at a time. A corpus with too many keys for that moves
 them one by one instead, with the same result.
 
+What a task holds does not depend on how much it reads: a chunk is looked at ``PIECE`` words at a time, a key and its
+count wait in one number of 64 bits in a table of ``RANGE`` numbers, phrases by their words leave ``NAMED`` at a time,
+and chunks are stored in row groups of ``GROUP`` bytes, as a reader holds a whole one.
+
 Defined results: null and empty texts have no words; a null language counts as ``und``; null ids, repeated rows and
 extra columns do not matter, as every row counts; an empty table gives no rows. A language without a candidate
 has no rows. Texts of any length are read whole.
@@ -44,14 +48,18 @@ _MARKS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + _MARKS, bytes(range(97, 123)) + b"\n" * len(_MARKS))
 #: bits of a filter; its blocks have ``2**17`` bits, so one block travels as one row of 16 KB
 FILTER, BLOCK = 1 << 26, 1 << 17
-#: words of a chunk, and of a chunk of the sample
-CHUNK = 1_000_000
+#: words of a chunk, and of a chunk of the sample; words looked at together, unless nothing ends a piece
+CHUNK, PIECE = 1_000_000, 1 << 18
+#: bytes of a row group of chunks
+GROUP = 1 << 24
 #: a hash decides whether a document is in the sample
 SAMPLE = 8
 #: standard deviations by which a phrase of the least frequency may fall short in the sample
 SLACK = 2.5
 #: bits of a key, keys in a row, keys added up at once (also those a task holds), ranges at most
 BITS, RUN, RANGE, RANGES = 44, 4096, 1 << 21, 1 << 14
+#: the other bits of a number that holds a key and a count; phrases by their words that a task holds; rows sent at once
+COUNT, NAMED, ROWS = np.uint64(64 - BITS), 1 << 19, 1024
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PHRASE = "lang string, phrase string, words int, n long"
 
@@ -84,6 +92,7 @@ class Filter:
 
     def __init__(self, blocks: dict[int, bytes]):
         self.blocks = blocks
+        self.table = None
 
     def has(self, h: np.ndarray) -> np.ndarray:
         out = np.ones(len(h), bool)
@@ -93,17 +102,24 @@ class Filter:
         return out
 
     def _bytes(self) -> np.ndarray:
-        if not hasattr(self, "_table"):
-            self._table = np.zeros(FILTER // 8, np.uint8)
+        if self.table is None:
+            self.table = np.zeros(FILTER // 8, np.uint8)
             for i, bits in self.blocks.items():
-                self._table[i * BLOCK // 8 : (i + 1) * BLOCK // 8] = np.frombuffer(bits, np.uint8)
-        return self._table
+                self.table[i * BLOCK // 8 : (i + 1) * BLOCK // 8] = np.frombuffer(bits, np.uint8)
+        return self.table
 
-    def __getstate__(self):
-        return self.blocks
+    def __reduce__(self):
+        """Compressed, block by block; a task that reads it holds the table alone."""
+        return _unpacked_filter, ({i: pa.compress(b, "zstd", asbytes=True) for i, b in self.blocks.items()},)
 
-    def __setstate__(self, blocks):
-        self.blocks = blocks
+
+def _unpacked_filter(blocks: dict[int, bytes]) -> Filter:
+    out = Filter({})
+    table = out._bytes()
+    for i, bits in blocks.items():
+        raw = pa.decompress(bits, BLOCK // 8, "zstd")
+        table[i * BLOCK // 8 : (i + 1) * BLOCK // 8] = np.frombuffer(raw, np.uint8)
+    return out
 
 
 def probes(h: np.ndarray) -> list[np.ndarray]:
@@ -220,14 +236,22 @@ class Line:
     def __init__(self, batch: pa.RecordBatch, at: int):
         self.langs = batch.column("langs")[at].values
         self.words = batch.column("words")[at].values
-        self.lang, self.line = (
-            np.frombuffer(batch.column(c)[at].as_py(), np.uint32).astype(np.int64) for c in ("lang", "line")
-        )
+        lang, self.line = (np.frombuffer(batch.column(c)[at].as_buffer(), np.uint32) for c in ("lang", "line"))
+        self.lang = lang.astype(np.int64)
         seeds = [lang_seed(x) for x in self.langs.to_pylist()]
         hashes = [word_hash(w, seeds[i]) for w, i in zip(self.words.to_pylist(), self.lang.tolist())]
         self.hashes = np.array(hashes, np.uint64)
-        self.count = np.bincount(self.line, minlength=len(self.words))
-        self.count[0] = 0
+
+    def pieces(self) -> Iterator[Line]:
+        """The line in parts of about ``PIECE`` words, each with the counts of its own words; no phrase crosses them."""
+        line, ends = self.line, np.flatnonzero(self.line == 0)
+        at = np.searchsorted(ends, np.arange(PIECE, len(line), PIECE))
+        cuts = [0, *np.unique(ends[at[at < len(ends)]]).tolist(), len(line)]
+        for start, stop in zip(cuts, cuts[1:]):
+            self.line = line[start:stop].astype(np.int64)
+            self.count = np.bincount(self.line, minlength=len(self.words))
+            self.count[0] = 0
+            yield self
 
     def levels(self, most: int, usable):
         """Per length from 2: the shorter phrase and the last word of each distinct phrase (numbers of the level
@@ -260,7 +284,7 @@ class Line:
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[Line]:
     for batch in batches:
         for at in range(batch.num_rows):
-            yield Line(batch, at)
+            yield from Line(batch, at).pieces()
 
 
 def added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -273,6 +297,25 @@ def added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[start], np.add.reduceat(n, start)
 
 
+def numbers(keys: np.ndarray, n: np.ndarray) -> Iterator[np.ndarray]:
+    """A key and its count in one number, which sorts by key; a count that needs more bits takes several numbers."""
+    while len(keys):
+        some = np.minimum(n, 1 << int(COUNT))
+        yield keys << COUNT | (some - 1).astype(np.uint64)
+        left = n > some
+        keys, n = keys[left], (n - some)[left]
+
+
+def summed(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``added``, of ``numbers``, which are sorted in place."""
+    x.sort()
+    keys = x >> COUNT
+    start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    keys = keys[start]
+    x &= np.uint64((1 << int(COUNT)) - 1)
+    return keys, np.add.reduceat(x, start).astype(np.int64) + np.diff(start, append=len(x))
+
+
 def planes(x: np.ndarray) -> bytes:
     """Numbers without the bytes that are zero in all of them, all lowest bytes first, compressed."""
     width = max(1, -(-int(x.max()).bit_length() // 8))
@@ -302,28 +345,32 @@ def _moved(counted, ranges: int):
     """``counted`` gives (keys, counts) of a task's rows; added up, they leave in rows of one range each."""
 
     def packed(held):
-        keys, n = added(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
+        keys, n = summed(held)
         part = _part(keys, ranges)
         cuts = [c for a, b in _runs(part) for c in range(a, b, RUN)] + [len(keys)]
         spans = [(a, b) for a, b in zip(cuts, cuts[1:])]
-        rows = [
-            (int(part[a]), b - a, planes(np.diff(keys[a:b], prepend=np.uint64(0))), planes(n[a:b])) for a, b in spans
-        ]
-        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-        return pa.record_batch(columns, names=["part", "size", "keys", "n"])
+        for at in range(0, len(spans), ROWS):
+            rows = [
+                (int(part[a]), b - a, planes(np.diff(keys[a:b], prepend=np.uint64(0))), planes(n[a:b]))
+                for a, b in spans[at : at + ROWS]
+            ]
+            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+            yield pa.record_batch(columns, names=["part", "size", "keys", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size = np.empty(RANGE, np.uint64), 0
         for keys, n in counted(batches):
-            if len(keys):
-                held.append((keys, n.astype(np.int64)))
-                size += len(keys)
-            if size >= RANGE:
-                yield packed(held)
-                held, size = [], 0
-        if held:
-            yield packed(held)
+            for new in numbers(keys, n):
+                while len(new):
+                    some = new[: RANGE - size]
+                    held[size : size + len(some)] = some
+                    size, new = size + len(some), new[len(some) :]
+                    if size == RANGE:
+                        yield from packed(held)
+                        size = 0
+        if size:
+            yield from packed(held[:size])
 
     return run
 
@@ -375,7 +422,8 @@ def reached(chunks: DataFrame, counted, least: int, words: int) -> DataFrame:
 
 def _words(batches: Iterator[pa.RecordBatch]):
     for line in _lines(batches):
-        yield key(line.hashes[1:], 1), line.count[1:]
+        some = np.flatnonzero(line.count)
+        yield key(line.hashes[some], 1), line.count[some]
 
 
 def _sampled(words: Filter, most: int):
@@ -448,10 +496,10 @@ def _named(most: int, frequent: Filter):
         for part in rows(batches):
             held.append(part)
             size += part.num_rows
-            if size >= RANGE // 4:
+            if size >= NAMED:
                 held = [_added_phrases(held)]
                 size = held[0].num_rows
-                if size >= RANGE // 8:
+                if size >= NAMED // 2:
                     yield held[0]
                     held, size = [], 0
         if held:
@@ -469,8 +517,10 @@ def _phrases(lang: pa.Array, phrase: pa.Array, words: int, keys: np.ndarray, n:
 
 
 def _added_phrases(parts: list[pa.Table]) -> pa.Table:
-    out = pa.concat_tables(parts).group_by(_NAMES).aggregate([("key", "min"), ("n", "sum")])
-    return out.rename_columns([*_NAMES, "key", "n"])
+    """Rows of equal words, added up; where the tables have keys, with those."""
+    some = [("key", "min")] if "key" in parts[0].column_names else []
+    out = pa.concat_tables(parts).group_by(_NAMES, use_threads=False).aggregate([*some, ("n", "sum")])
+    return out.rename_columns([*_NAMES, *[c for c, _ in some], "n"])
 
 
 def _single_phrases(counted):
@@ -481,22 +531,26 @@ def _single_phrases(counted):
     return run
 
 
+_SPAN = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
+
+
 def _moved_phrases(counted, ranges: int):
-    """As ``_moved``: phrases leave in rows of one range of keys."""
+    """As ``_moved``: phrases leave in rows of one range of keys, compressed, without their keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in counted(batches):
-            table = table.sort_by("key")
+            table = table.sort_by("key").combine_chunks()
             part = _part(table.column("key").to_numpy(), ranges)
             spans = [(c, min(c + RUN, b)) for a, b in _runs(part) for c in range(a, b, RUN)]
-            packed = []
-            for a, b in spans:
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                    out.write_table(table.slice(a, b - a))
-                packed.append(sink.getvalue().to_pybytes())
-            parts = pa.array([int(part[a]) for a, _ in spans], pa.int32())
-            yield pa.record_batch([parts, pa.array(packed, pa.binary())], names=["part", "phrases"])
+            whole = table.select(_SPAN.names).to_batches()[0]
+            for at in range(0, len(spans), ROWS):
+                some = spans[at : at + ROWS]
+                raw = [whole.slice(a, b - a).serialize() for a, b in some]
+                columns = [
+                    pa.array([int(part[a]) for a, _ in some], pa.int32()), pa.array([x.size for x in raw], pa.int32()),
+                    pa.array([pa.compress(x, "zstd", asbytes=True) for x in raw], pa.binary()),
+                ]
+                yield pa.record_batch(columns, names=["part", "size", "phrases"])
 
     return run
 
@@ -509,15 +563,17 @@ def _enough_phrases(least: int):
         def kept():
             table = _added_phrases(held)
             some = pc.or_(pc.greater_equal(table.column("n"), least), pc.equal(table.column("words"), 0))
-            return table.filter(some).drop_columns("key").to_batches()
+            return table.filter(some).to_batches()
 
         for batch in batches:
-            for at, packed in zip(batch.column("part").to_pylist(), batch.column("phrases")):
+            for at, size, packed in zip(*(batch.column(c) for c in ("part", "size", "phrases"))):
+                at, size = at.as_py(), size.as_py()
                 if at != part and held:
                     yield from kept()
                     held = []
                 part = at
-                held.append(pa.ipc.open_stream(packed.as_buffer()).read_all())
+                raw = pa.decompress(packed.as_buffer(), size, "zstd")
+                held.append(pa.Table.from_batches([pa.ipc.read_record_batch(raw, _SPAN)]))
                 if len(held) >= 64:  # equal phrases of many tasks shrink
                     held = [_added_phrases(held)]
         if held:
@@ -533,7 +589,7 @@ def named(chunks: DataFrame, most: int, frequent: Filter, support: int, words: i
         rows = chunks.mapInArrow(_single_phrases(counted), _PHRASE)
         total = rows.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
         return total.where((F.col("n") >= support) | (F.col("words") == 0))
-    rows = chunks.mapInArrow(_moved_phrases(counted, ranges), "part int, phrases binary")
+    rows = chunks.mapInArrow(_moved_phrases(counted, ranges), "part int, size int, phrases binary")
     return rows.repartition("part").sortWithinPartitions("part").mapInArrow(_enough_phrases(support), _PHRASE)
 
 
@@ -559,7 +615,8 @@ def frequent_phrases(
         F.coalesce(pick(documents, "lang", "string"), F.lit("und")).alias("lang"),
         pick(documents, "text", "string"),
     )
-    chunks = store(docs.mapInArrow(_chunks, _CHUNK), "chunks", "zstd")
+    groups = {"parquet.block.size": GROUP, "parquet.page.size.row.check.min": 1}
+    chunks = store(docs.mapInArrow(_chunks, _CHUNK), "chunks", "zstd", groups)
     size = chunks.agg(F.sum("size")).first()[0] or 0
     words = store(reached(chunks, _words, support, size), "words")
     mean = support / sample

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__  # noqa: F401  (tasks get the package by value, patched settings included)
 from offerlens.llm import phrases
+from offerlens.llm.common import store
 
 SCHEMA = "doc_id long, text string, lang string, phrase string, n int, `a` string"
 
@@ -127,3 +128,65 @@ def test_packed_numbers_come_back():
     for bits in (1, 9, 40, 63):
         x = np.array([rng.randrange(1 << bits) for _ in range(100)], np.uint64)
         assert (phrases.unplaned(phrases.planes(x), 100) == x).all()
+
+
+def test_counts_and_keys_in_one_number():
+    keys = np.array([7, 1 << 43, 7, 9], np.uint64)
+    n = np.array([1, 1 << 20, (3 << 20) + 5, 2], np.int64)
+    parts = list(phrases.numbers(keys, n))
+    found = phrases.summed(np.concatenate(parts))
+    assert [x.tolist() for x in found] == [[7, 9, 1 << 43], [(3 << 20) + 6, 2, 1 << 20]]
+    assert sum(map(len, parts)) == 7
+
+
+def test_parts_of_a_line_share_no_phrase(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "PIECE", 7)
+    monkeypatch.setattr(phrases, "NAMED", 16)
+    monkeypatch.setattr(phrases, "ROWS", 3)
+    rows = awkward_rows(5, 80)
+    assert collocated(spark, rows, support=4, sample=3) == brute(rows, 4, 5, 2000)
+
+
+def test_a_task_holds_little():
+    """Three million words, all phrases counted: arrays alone took 251 MB at the peak, and 133 MB now."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    chunk = phrases.Chunk()
+    words = [f"w{i}" for i in range(3000)]
+    for _ in range(1000):
+        chunk.add("en", ". ".join(" ".join(words[i] for i in rng.integers(0, 3000, 20)) for _ in range(50)).encode())
+    batch = chunk.row(True)
+    every = phrases.Filter({i: b"\xff" * (phrases.BLOCK // 8) for i in range(phrases.FILTER // phrases.BLOCK)})
+    run = phrases._moved(phrases._sampled(every, 5), 64)
+    tracemalloc.start()
+    moved = sum(sum(x.column("size").to_pylist()) for x in run(iter([batch] * 3)))
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert moved > 3_000_000
+    assert peak < 150
+
+
+def test_a_task_holds_one_table_of_a_filter():
+    import pickle
+
+    half = phrases.Filter({i: bytes([i % 256]) * (phrases.BLOCK // 8) for i in range(phrases.FILTER // phrases.BLOCK)})
+    packed = pickle.dumps(half)
+    there = pickle.loads(packed)
+    assert len(packed) < 1e6 and not there.blocks
+    assert (there._bytes() == half._bytes()).all()
+
+
+def test_chunks_are_stored_in_small_row_groups(spark, monkeypatch):
+    """A reader holds a whole row group: the chunks of a task came in one."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(phrases, "CHUNK", 500)
+    monkeypatch.setattr(phrases, "GROUP", 4000)
+    stored = []
+    monkeypatch.setattr(phrases, "store", lambda df, label, *a: stored.append((label, out := store(df, label, *a))) or out)
+    collocated(spark, awkward_rows(), support=5, sample=4)
+    files = [f.removeprefix("file://") for label, df in stored if label == "chunks" for f in df.inputFiles()]
+    groups = [pq.ParquetFile(f).metadata for f in files]
+    assert max(m.num_rows for m in groups) > 2
+    assert all(m.num_row_groups > 1 for m in groups if m.num_rows > 2)
