@@ -181,13 +181,19 @@ def p7_flatten_offers(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _land(pages: DataFrame, folder: str, most: int) -> None:
+    """Add files of at most ``most`` pages, one a line: compressed, as landed pages are many times the tables; a
+    compressed file can't be split, so it must be small."""
+    pages.write.mode("append").option("maxRecordsPerFile", most).json(folder, compression="gzip")
+
+
 def s1_read_pages(spark: SparkSession, d: str) -> DataFrame:
     """Land all orders twice as pages of JSON and read them: the first occurrence of each id."""
     folder = f"{tables.work_dir(spark)}/landing"
     offers = _landed_offers(spark, d).select("offer")
     pages = offers.select(F.lit(2).alias("count"), F.array("offer", "offer").alias("results"))
     for _ in range(2):
-        pages.write.mode("append").option("maxRecordsPerFile", 1000).json(folder)
+        _land(pages, folder, 1000)
     found = offer_pages.read_pages(spark, folder, multi_line=False)
     return offer_pages.flatten_offers(found).select(*_LANDED)
 
@@ -213,7 +219,7 @@ def t1_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     offers = _landed_offers(spark, d)
     pages = offers.select(F.lit(1).alias("count"), F.array("offer").alias("results"))
     for _ in range(2):
-        pages.write.mode("append").json(f"{root}/landing")
+        _land(pages, f"{root}/landing", 10_000)
         ingest.stream_ingest(
             spark, f"{root}/landing", f"{root}/raw", f"{root}/state", multi_line=False
         ).awaitTermination()

@@ -26,11 +26,13 @@ def field(offer: Column, name: str, path: str = "$", kind: str = "string") -> Co
 def file_place(file: Column) -> list[Column]:
     """(stem, number) of a file's name: the digits before its extension are the number; without extension, empty.
 
-    Plain functions, as this is computed for each offer and a pattern would take longer than its parse.
+    Of compressed pages, the codec's suffix belongs to the extension (``p12.json.gz``). Plain functions, as this is
+    computed for each offer and a pattern would take longer than its parse.
     """
     extension = F.substring_index(file, ".", -1)
     named = F.contains(file, F.lit(".")) & ~F.contains(extension, F.lit("/"))
     name = F.when(named, F.left(file, F.length(file) - F.length(extension) - 1)).otherwise(F.lit(""))
+    name = F.when(F.endswith(name, F.lit(".json")), F.left(name, F.length(name) - len(".json"))).otherwise(name)
     stem = F.rtrim(name, F.lit("0123456789"))
     return [stem.alias("stem"), F.substr(name, F.length(stem) + 1).try_cast("long").alias("number")]
 

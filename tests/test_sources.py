@@ -329,3 +329,46 @@ def test_a_stream_writes_one_file_a_bucket(spark, tmp_path):
     stream_ingest(spark, str(folder), table, str(tmp_path / "state"), buckets=4).awaitTermination()
     assert spark.read.parquet(table).count() == 400
     assert len(list((tmp_path / "raw").rglob("*.parquet"))) == 4
+
+
+def test_compressed_pages_go_by_number(spark, tmp_path):
+    """The digits of ``p10.json.gz`` were not found: it came before ``p9.json.gz``."""
+    import gzip
+
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    for n in (10, 9, 11):
+        page = json.dumps({"count": 1, "results": [{"id": 1, "title": f"t{n}"}]})
+        (folder / f"p{n}.json.gz").write_bytes(gzip.compress(page.encode()))
+    title = offer_pages.field(F.col("oferta"), "title")
+    for multi_line in (True, False):
+        assert [r[0] for r in offer_pages.read_pages(spark, str(folder), multi_line).select(title).collect()] == ["t9"]
+    table = str(tmp_path / "raw")
+    stream_ingest(spark, str(folder), table, str(tmp_path / "state"), multi_line=False).awaitTermination()
+    assert [r.titulo for r in spark.read.parquet(table).collect()] == ["t9"]
+
+
+@pytest.mark.parametrize(("query", "most"), [("s1_read_pages", 1000), ("t1_stream_ingest", 10_000)])
+def test_landed_orders_are_small_next_to_their_text(spark, tmp_path, monkeypatch, query, most):
+    """They lay there as plain text, many times the size of the tables."""
+    import gzip
+
+    from offerlens.bindings import queries
+
+    n = most + 500
+    customers = ["id as c_custkey", "cast(id % 3 as int) as c_nationkey"]
+    spark.range(50).selectExpr(*customers).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(3).selectExpr("cast(id as int) as n_nationkey", "concat('nation ', id) as n_name").write.parquet(
+        f"{tmp_path}/nation.parquet"
+    )
+    spark.range(0, n, 1, 1).selectExpr(
+        "id as o_orderkey", "id % 50 as o_custkey", "'O' as o_orderstatus", "id / 7 as o_totalprice",
+        "timestamp_ntz '1996-01-02 00:00:00' as o_orderdate", "'2-HIGH' as o_orderpriority",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(queries.tables, "work_dir", lambda _: f"{tmp_path}/work")
+    found = getattr(queries, query)(spark, str(tmp_path))
+    assert found.count() == n
+    files = [f for f in (tmp_path / "work" / "landing").iterdir() if f.name.startswith("part-")]
+    texts = [gzip.decompress(f.read_bytes()) for f in files]
+    assert len(files) == 4 and max(t.count(b"\n") for t in texts) == most
+    assert sum(f.stat().st_size for f in files) * 5 < sum(map(len, texts))
