@@ -241,6 +241,7 @@ class Line:
         seeds = [lang_seed(x) for x in self.langs.to_pylist()]
         hashes = [word_hash(w, seeds[i]) for w, i in zip(self.words.to_pylist(), self.lang.tolist())]
         self.hashes = np.array(hashes, np.uint64)
+        self.flags = None
 
     def pieces(self) -> Iterator[Line]:
         """The line in parts of about ``PIECE`` words, each with the counts of its own words; no phrase crosses them."""
@@ -449,9 +450,11 @@ def _counts(most: int, now: Filter, before: list[Filter]):
             def usable(k, h, shorter, rest):
                 nonlocal flags, counted
                 if k == 1:
-                    flags = [f.has(h) for f in (now, *before)]
-                    for f in flags:
-                        f[0] = False
+                    if line.flags is None:  # the same for all parts of a line
+                        line.flags = [f.has(h) for f in (now, *before)]
+                        for f in line.flags:
+                            f[0] = False
+                    flags = line.flags
                 else:
                     both = [np.r_[f, False][shorter] & np.r_[f, False][rest] for f in flags]
                     counted = np.logical_or.reduce([np.zeros(len(h), bool), *both[1:]])
